@@ -328,3 +328,203 @@ def q_normalise_label(spark, sf_dir):
     part = read_input(spark, sf_dir, "part")
     raw = F.concat(F.lit("+ "), F.col("p_brand"), F.lit(" +  "), F.col("p_type"), F.lit(" "))
     return part.select("p_partkey", normalise_label(raw).alias("label"))
+
+
+# --------------------------------------------------------------------------- cards
+
+from vitrine.operators import pages as P  # noqa: E402
+from vitrine.operators.dialects import DIALECTS  # noqa: E402
+from vitrine.sources import listing_html as L  # noqa: E402
+
+CARD_OUTPUT = ["page_url"] + P.BRONZE_FIELDS
+
+CARD_FACTS_SQL = """
+facts AS (
+  SELECT p_partkey AS pk, p_brand AS category, p_partkey // 1000 AS block,
+         p_name || ' #' || CAST(p_partkey AS VARCHAR) AS name,
+         CAST(CAST(p_retailprice * p_size AS DECIMAL(18,2)) * 100 AS BIGINT) AS price_cents,
+         p_size = 50 AS broken,
+         p_size % 13 AS n,
+         p_size % 4 <> 0 AS rated,
+         (p_size % 50) / 10.0 AS rating_num,
+         p_size * 3 + 1 AS users,
+         'https://img.example.com/p/' || CAST(p_partkey AS VARCHAR) || '.jpg' AS img_url,
+         row_number() OVER (PARTITION BY p_brand, p_partkey // 1000 ORDER BY p_partkey) AS position
+  FROM part
+),
+cards AS (
+  SELECT *, CASE WHEN n > 0 THEN price_cents // n END AS inst_cents FROM facts
+  WHERE position <= 25 AND NOT broken
+)
+"""
+
+
+def _card_oracle(dialect: str) -> str:
+    spec = DIALECTS[dialect]
+    site = spec["site"]
+    rating_missing = "CAST(NULL AS DOUBLE)" if dialect == "B" else "-999.0"
+    return f"""
+WITH {CARD_FACTS_SQL}
+SELECT '{site}/categoria/' || lower(replace(category, '#', '-')) || '?bloco=' || CAST(block AS VARCHAR) AS page_url,
+       name,
+       '{site}/produto/' || CAST(pk AS VARCHAR) AS url,
+       category,
+       price_cents / 100.0 AS price_in_cash,
+       CASE WHEN n > 0 THEN (inst_cents * n) / 100.0 END AS price_in_installments,
+       CASE WHEN n > 0 THEN n ELSE 0 END AS installments_num,
+       CASE WHEN n > 0 THEN inst_cents / 100.0 ELSE -999.0 END AS installment_value,
+       img_url AS img,
+       '{spec["seller"]}' AS seller,
+       CASE WHEN rated THEN rating_num ELSE {rating_missing} END AS rating,
+       CASE WHEN rated THEN users ELSE 0 END AS rating_users,
+       position
+FROM cards
+"""
+
+
+def _cards_query(dialect: str):
+    def run(spark, sf_dir):
+        part = read_input(spark, sf_dir, "part")
+        pages = L.listing_pages(part, dialect)
+        return P.extract_products(pages, dialect).select(*CARD_OUTPUT)
+
+    run.__doc__ = f"X8-X27, dialect {dialect}: listing pages rendered from part, cards parsed back."
+    return run
+
+
+for _d in ("A", "B", "C"):
+    register(f"cards_dialect_{_d.lower()}", _card_oracle(_d))(_cards_query(_d))
+
+
+@register(
+    "topk_per_category",
+    f"""
+WITH {CARD_FACTS_SQL}
+SELECT category, count(*) AS n_cards, max(position) AS last_position, min(position) AS first_position
+FROM facts WHERE position <= 25 GROUP BY category, block
+""",
+)
+def q_topk_per_category(spark, sf_dir):
+    """First 25 cards per category page, positions count failed cards too."""
+    part = read_input(spark, sf_dir, "part")
+    cards = P.split_cards(L.listing_pages(part, "A"), "A")
+    return cards.groupBy("category", "page_id").agg(
+        F.count(F.lit(1)).alias("n_cards"),
+        F.max("position").alias("last_position"),
+        F.min("position").alias("first_position"),
+    ).drop("page_id")
+
+
+@register(
+    "brl_round_trip",
+    """
+SELECT o_orderkey, CAST(round(o_totalprice, 2) AS DECIMAL(18,2)) AS price,
+       CAST(round(o_totalprice, 2) AS DECIMAL(18,2)) AS price_nbsp,
+       CAST(round(o_totalprice, 2) AS DECIMAL(18,2)) AS price_plain_thousands
+FROM orders
+""",
+)
+def q_brl_round_trip(spark, sf_dir):
+    """BRL text -> decimal; 'R$ 1.234,56', 'ou R$<nbsp>1.234,56 à vista', '1.234,56'."""
+    from vitrine.functions import money as M
+
+    orders = read_input(spark, sf_dir, "orders")
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    text = L.money_text(cents)
+    return orders.select(
+        "o_orderkey",
+        M.brl(F.concat(F.lit("R$ "), text)).alias("price"),
+        M.brl(F.concat(F.lit("ou R$ "), text, F.lit(" à vista"))).alias("price_nbsp"),
+        M.brl(text).alias("price_plain_thousands"),
+    )
+
+
+@register(
+    "installment_total",
+    """
+SELECT o_orderkey,
+       (o_orderkey % 12) + 1 AS installments_num,
+       CAST(CAST(round(o_totalprice * 100) AS BIGINT) // ((o_orderkey % 12) + 1) AS DECIMAL(18,2)) / 100 AS installment_value,
+       CAST(CAST(CAST(round(o_totalprice * 100) AS BIGINT) // ((o_orderkey % 12) + 1) AS DECIMAL(18,2)) / 100
+            * ((o_orderkey % 12) + 1) AS DECIMAL(18,2)) AS price_in_installments
+FROM orders
+""",
+)
+def q_installment_total(spark, sf_dir):
+    """X16, X17, X20: 'Nx de R$ V' -> count, value, exact total value x count."""
+    from vitrine.functions import money as M
+
+    orders = read_input(spark, sf_dir, "orders")
+    n = (F.col("o_orderkey") % 12 + 1).cast("int")
+    cents = F.floor(F.round(F.col("o_totalprice") * 100).cast("bigint") / n).cast("bigint")
+    text = F.concat(n.cast("string"), F.lit("x de R$ "), L.money_text(cents), F.lit(" sem juros"))
+    value = M.value_after_currency(text)
+    count = M.installment_count(text)
+    return orders.select(
+        "o_orderkey",
+        count.alias("installments_num"),
+        value.alias("installment_value"),
+        M.installment_total(value, count).alias("price_in_installments"),
+    )
+
+
+# --------------------------------------------------------------------------- category links
+
+UNESCAPE_SQL = (
+    "replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
+)
+NAV_SQL = """
+nav AS (
+  SELECT page_id, url, regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1) AS nav FROM pages
+),
+lists AS (
+  SELECT page_id, url,
+         regexp_extract_all(nav, '<a href="([^"]*)">([^<]*)</a>', 1) AS hrefs,
+         regexp_extract_all(nav, '<a href="([^"]*)">([^<]*)</a>', 2) AS labels
+  FROM nav
+),
+links AS (
+  SELECT page_id, url, i AS pos, hrefs[i] AS href, labels[i] AS label_html
+  FROM (SELECT *, unnest(generate_series(1, len(hrefs))) AS i FROM lists)
+)
+"""
+
+
+@register("nav_links", f"WITH {NAV_SQL} SELECT page_id, url, pos, href, label_html FROM links")
+def q_nav_links(spark, sf_dir):
+    """X4 (generic menu region), X12: every <nav> link of every page with its position."""
+    pages = read_input(spark, sf_dir, "pages")
+    return L.nav_links_raw(pages)
+
+
+def _trimmed(x: str) -> str:
+    return f"regexp_replace({x}, '^[\\s\\x{{a0}}]+|[\\s\\x{{a0}}]+$', '', 'g')"
+
+
+def _links_oracle(dialect: str) -> str:
+    spec = DIALECTS[dialect]
+    text = UNESCAPE_SQL.format(x="label_html")
+    if dialect == "A":
+        body = f"SELECT page_id, pos, {text} AS name, '{spec['site']}' || href AS url FROM links"
+    elif dialect == "B":
+        body = f"""
+SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS pos,
+       {_trimmed(text)} AS name,
+       '{spec['site']}' || href || '/l/' || CAST(pos AS VARCHAR) || '/' || '{spec['category_query']}' AS url
+FROM links WHERE pos % 3 <> 0"""
+    else:
+        body = f"SELECT page_id, pos, {_trimmed(text)} AS name, 'https://lista.example.com' || href AS url FROM links"
+    return f"WITH {NAV_SQL} {body}"
+
+
+def _links_query(dialect: str):
+    def run(spark, sf_dir):
+        pages = read_input(spark, sf_dir, "pages")
+        return P.category_links(L.menu_pages(pages, dialect), dialect)
+
+    run.__doc__ = f"X{4 + 'ABC'.index(dialect)}: category links of dialect {dialect} menus built from the pages' nav links."
+    return run
+
+
+for _d in ("A", "B", "C"):
+    register(f"category_links_{_d.lower()}", _links_oracle(_d))(_links_query(_d))
