@@ -528,3 +528,242 @@ def _links_query(dialect: str):
 
 for _d in ("A", "B", "C"):
     register(f"category_links_{_d.lower()}", _links_oracle(_d))(_links_query(_d))
+
+
+# --------------------------------------------------------------------------- sources and bronze
+
+from vitrine.plans import bronze  # noqa: E402
+from vitrine.sources import standins as S  # noqa: E402
+
+HOST_SQL = "regexp_extract(url, '^https?://([^/?#]+)', 1)"
+SOURCES_SQL = """
+src AS (
+  SELECT s_suppkey AS id, s_name AS name, s_acctbal,
+         'https://' || lower(n_name) || '.example/' || CAST(s_suppkey AS VARCHAR) || '/' AS home
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey
+)
+"""
+
+
+@register(
+    "active_sources",
+    f"""
+WITH {SOURCES_SQL}
+SELECT id, name,
+       2 + (CASE WHEN s_acctbal > 3000 THEN 1 ELSE 0 END) + (CASE WHEN s_acctbal > 6000 THEN 1 ELSE 0 END) AS n_urls,
+       CASE WHEN s_acctbal > 8000 THEN 1 ELSE 0 END AS n_categories
+FROM src WHERE s_acctbal >= 0
+""",
+)
+def q_active_sources(spark, sf_dir):
+    """Keep active sources; url and category counts."""
+    sources = S.sources_from_suppliers(read_input(spark, sf_dir, "supplier"), read_input(spark, sf_dir, "nation"))
+    return P.active_sources(sources).select("id", "name", "n_urls", "n_categories")
+
+
+@register(
+    "category_page_choice",
+    f"""
+WITH {SOURCES_SQL}
+SELECT id, name,
+       CASE WHEN s_acctbal > 6000 THEN home || 'todas-categorias'
+            WHEN s_acctbal > 3000 THEN home || 'categorias'
+            ELSE home END AS category_url
+FROM src
+""",
+)
+def q_category_page_choice(spark, sf_dir):
+    """Category page = last kind-1 url, else the kind-0 (home) url."""
+    sources = S.sources_from_suppliers(read_input(spark, sf_dir, "supplier"), read_input(spark, sf_dir, "nation"))
+    return sources.select("id", "name", P.category_page_url("url").alias("category_url"))
+
+
+LABEL_SQL = "coalesce(nullif(" + _trimmed(UNESCAPE_SQL.format(x="label_html")) + ", ''), '')"
+
+SELLERS_SRC_SQL = f"""
+cand AS (
+  SELECT {HOST_SQL} AS host, url, page_id, CASE WHEN contains(url, '?') THEN '1' ELSE '0' END AS kind FROM pages
+),
+hosts AS (
+  SELECT host, min(page_id) AS id, bool_or(starts_with(url, 'https://')) AS active FROM cand GROUP BY host
+),
+chosen AS (
+  SELECT host, url AS category_url, page_id FROM (
+    SELECT *, row_number() OVER (PARTITION BY host ORDER BY (kind = '1') DESC, page_id DESC) AS rn FROM cand
+  ) WHERE rn = 1
+),
+found AS (
+  SELECT c.host, string_agg({LABEL_SQL} || '=' || 'https://' || c.host || l.href, ';' ORDER BY l.pos) AS txt,
+         count(*) AS n
+  FROM chosen c JOIN links l ON l.page_id = c.page_id GROUP BY c.host
+)
+"""
+
+
+@register(
+    "bronze_sellers",
+    f"""
+WITH {NAV_SQL}, {SELLERS_SRC_SQL}
+SELECT CAST(h.id AS VARCHAR) AS id, h.host AS name, c.category_url,
+       coalesce(f.n, 0) + (CASE WHEN starts_with(h.host, 'www.') THEN 1 ELSE 0 END) AS n_categories,
+       concat_ws(';', CASE WHEN starts_with(h.host, 'www.') THEN 'Ofertas=https://' || h.host || '/ofertas' END, f.txt)
+         AS categories_text,
+       '2024-03-31' AS dt_refe_crga, TIMESTAMP '2024-03-31 06:00:00' AS dh_exec
+FROM hosts h JOIN chosen c ON c.host = h.host LEFT JOIN found f ON f.host = h.host
+WHERE h.active
+""",
+)
+def q_bronze_sellers(spark, sf_dir):
+    """J2 + X1, X2 (aggregate form), X7, X13: one row per active seller with
+    configured + found categories, partition stamp of the run."""
+    sources, links = S.sources_from_pages(read_input(spark, sf_dir, "pages"))
+    sellers = bronze.build_sellers(sources, links, "2024-03-31 06:00:00")
+    text = F.concat_ws(
+        ";",
+        F.transform("categories", lambda m: F.concat(F.map_keys(m)[0], F.lit("="), F.map_values(m)[0])),
+    )
+    return sellers.select(
+        "id", "name", F.col("url")[0][0].alias("category_url"), F.size("categories").alias("n_categories"),
+        text.alias("categories_text"), PARTITION_COLUMN, "dh_exec",
+    )
+
+
+def _mixed_listing(spark, sf_dir):
+    part = read_input(spark, sf_dir, "part")
+    letter = F.element_at(F.array(F.lit("A"), F.lit("B"), F.lit("C")),
+                          (F.regexp_extract("p_brand", r"([0-9]+)", 1).cast("int") % 3 + 1).cast("int"))
+    return L.listing_pages(part, letter)
+
+
+def _mixed_cards_oracle(start: str) -> str:
+    cases = []
+    for i, d in enumerate("ABC"):
+        spec = DIALECTS[d]
+        cases.append((i, spec))
+    site = "CASE b % 3 " + " ".join(f"WHEN {i} THEN '{s['site']}'" for i, s in cases) + " END"
+    seller = "CASE b % 3 " + " ".join(f"WHEN {i} THEN '{s['seller']}'" for i, s in cases) + " END"
+    return f"""
+WITH {CARD_FACTS_SQL},
+mixed AS (
+  SELECT *, CAST(regexp_extract(category, '([0-9]+)', 1) AS INTEGER) AS b FROM cards
+),
+rows AS (
+  SELECT {site} || '/categoria/' || lower(replace(category, '#', '-')) || '?bloco=' || CAST(block AS VARCHAR) AS page_url,
+         name, {site} || '/produto/' || CAST(pk AS VARCHAR) AS url, category,
+         price_cents / 100.0 AS price_in_cash,
+         CASE WHEN n > 0 THEN (inst_cents * n) / 100.0 END AS price_in_installments,
+         CASE WHEN n > 0 THEN n ELSE 0 END AS installments_num,
+         CASE WHEN n > 0 THEN inst_cents / 100.0 ELSE -999.0 END AS installment_value,
+         img_url AS img, {seller} AS seller,
+         CASE WHEN rated THEN rating_num WHEN b % 3 = 1 THEN CAST(NULL AS DOUBLE) ELSE -999.0 END AS rating,
+         CASE WHEN rated THEN users ELSE 0 END AS rating_users,
+         position
+  FROM mixed
+)
+SELECT CAST({start} + row_number() OVER (ORDER BY seller, category, page_url, position) AS VARCHAR) AS id,
+       name, url, category, price_in_cash, price_in_installments, installments_num, installment_value, img,
+       seller, rating, rating_users, position,
+       '2024-03-31' AS dt_refe_crga, TIMESTAMP '2024-03-31 06:00:00' AS dh_exec
+FROM rows
+"""
+
+
+@register("bronze_products", _mixed_cards_oracle("0"))
+def q_bronze_products(spark, sf_dir):
+    """J1 + X3, X28: listing pages of three shops (dialect by seller), fixed
+    schema, ids from 1 (no stored table), stamps."""
+    pages = _mixed_listing(spark, sf_dir)
+    return bronze.build_products(bronze.extract_listing_products(pages), 0, "2024-03-31 06:00:00")
+
+
+# --------------------------------------------------------------------------- categories silver
+
+CAT_LINKS_SQL = f"""
+cl AS (
+  SELECT page_id, {HOST_SQL} AS host, pos, {LABEL_SQL} AS name, 'https://' || {HOST_SQL} || href AS link_url,
+         TIMESTAMP '2024-03-01 00:00:00' + page_id * INTERVAL 1 HOUR AS dh
+  FROM links
+),
+loads AS (SELECT DISTINCT page_id, host, dh, strftime(dh, '%Y-%m-%d') AS dt FROM cl),
+parts AS (SELECT DISTINCT dt FROM loads),
+runinfo AS (
+  SELECT max(dh) AS run_ts, strftime(max(dh), '%Y-%m-%d') AS run_date,
+         (SELECT max(dt) FROM parts WHERE dt < (SELECT max(dt) FROM parts)) AS prev_dt
+  FROM loads
+)
+"""
+
+
+def _flat_sql(where: str) -> str:
+    return f"""(
+  SELECT DISTINCT trim(regexp_replace(cl.name, '\\+\\s*', '', 'g')) AS DS_CATEGORY, n.host AS NM_SELLER,
+         cl.link_url AS DS_URL, n.dh AS DH_ORIGIN_EXEC
+  FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY dh DESC, dt DESC) AS rn
+                       FROM loads WHERE {where}) WHERE rn = 1) n
+  JOIN cl ON cl.page_id = n.page_id
+)"""
+
+
+ID_ORDER_SQL = "concat_ws('|', DS_CATEGORY, NM_SELLER), DS_URL, DH_ORIGIN_EXEC"
+
+
+@register(
+    "categories_full",
+    f"""
+WITH {NAV_SQL}, {CAT_LINKS_SQL}, flat AS {_flat_sql('TRUE')}
+SELECT CAST(row_number() OVER (ORDER BY {ID_ORDER_SQL}) AS INTEGER) AS ID_CATEGORY,
+       DS_CATEGORY, NM_SELLER, DS_URL, DH_ORIGIN_EXEC,
+       (SELECT run_date FROM runinfo) AS dt_refe_crga, (SELECT run_ts FROM runinfo) AS dh_exec
+FROM flat
+""",
+)
+def q_categories_full(spark, sf_dir):
+    """J5 + C3, C9-C12: newest category list per seller over all loads, ids from 1."""
+    sellers = S.seller_loads_from_pages(read_input(spark, sf_dir, "pages"))
+    run_ts = sellers.agg(F.max("dh_exec")).scalar()
+    return silver.build_categories_full(sellers, run_ts)
+
+
+def _incremental_sql(dense: bool) -> str:
+    new_id = (
+        "CASE WHEN old_id IS NOT NULL THEN old_id ELSE "
+        "(SELECT coalesce(max(ID_CATEGORY), 0) FROM old) + row_number() OVER (PARTITION BY old_id IS NULL ORDER BY "
+        f"{ID_ORDER_SQL}) END"
+        if dense
+        else f"coalesce(old_id, (SELECT coalesce(max(ID_CATEGORY), 0) FROM old) + row_number() OVER (ORDER BY {ID_ORDER_SQL}))"
+    )
+    return f"""
+WITH {NAV_SQL}, {CAT_LINKS_SQL},
+oldflat AS {_flat_sql('dt < (SELECT prev_dt FROM runinfo)')},
+old AS (SELECT row_number() OVER (ORDER BY {ID_ORDER_SQL}) AS ID_CATEGORY, * FROM oldflat),
+fresh AS {_flat_sql('dt = (SELECT prev_dt FROM runinfo)')},
+merged AS (
+  SELECT o.ID_CATEGORY AS old_id,
+         coalesce(f.DS_CATEGORY, o.DS_CATEGORY) AS DS_CATEGORY, coalesce(f.NM_SELLER, o.NM_SELLER) AS NM_SELLER,
+         coalesce(f.DS_URL, o.DS_URL) AS DS_URL, coalesce(f.DH_ORIGIN_EXEC, o.DH_ORIGIN_EXEC) AS DH_ORIGIN_EXEC
+  FROM old o FULL OUTER JOIN fresh f ON o.DS_CATEGORY = f.DS_CATEGORY AND o.NM_SELLER = f.NM_SELLER
+)
+SELECT CAST({new_id} AS INTEGER) AS ID_CATEGORY, DS_CATEGORY, NM_SELLER, DS_URL, DH_ORIGIN_EXEC,
+       (SELECT run_date FROM runinfo) AS dt_refe_crga, (SELECT run_ts FROM runinfo) AS dh_exec
+FROM merged
+"""
+
+
+def _incremental_query(dense: bool):
+    def run(spark, sf_dir):
+        sellers = S.seller_loads_from_pages(read_input(spark, sf_dir, "pages"))
+        run_ts = sellers.agg(F.max("dh_exec")).scalar()
+        parts = sellers.select(PARTITION_COLUMN).distinct()
+        latest = parts.agg(F.max(PARTITION_COLUMN)).scalar()
+        prev = parts.filter(F.col(PARTITION_COLUMN) < latest).agg(F.max(PARTITION_COLUMN)).scalar()
+        earlier = sellers.filter(F.col(PARTITION_COLUMN) < prev)
+        old = silver.build_categories_full(earlier, run_ts)
+        return silver.build_categories_incremental(sellers, old, run_ts, ignore_delay=False, dense=dense)
+
+    run.__doc__ = ("J6 + C13-C15: merge the D-1 load into an earlier full load; "
+                   + ("dense ids for new rows." if dense else "ids as coded (rank over all merged rows)."))
+    return run
+
+
+register("categories_incremental", _incremental_sql(False))(_incremental_query(False))
+register("categories_incremental_dense", _incremental_sql(True))(_incremental_query(True))
