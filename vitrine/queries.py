@@ -767,3 +767,193 @@ def _incremental_query(dense: bool):
 
 register("categories_incremental", _incremental_sql(False))(_incremental_query(False))
 register("categories_incremental_dense", _incremental_sql(True))(_incremental_query(True))
+
+
+# --------------------------------------------------------------------------- tables
+
+from vitrine.session import scratch_location  # noqa: E402
+from vitrine.sources import export as X  # noqa: E402
+
+
+def _scratch_db(spark) -> str:
+    import uuid as _uuid
+
+    configure(spark)
+    name = f"vitrine_q_{_uuid.uuid4().hex[:10]}"
+    T.create_database(spark, name, scratch_location(spark, name))
+    return name
+
+
+SPLIT_DATE = "2024-01-16"
+
+
+@register(
+    "append_merge_schema",
+    f"""
+WITH {PRODUCTS_SQL}
+SELECT * REPLACE (CAST(NULL AS INTEGER) AS rating_users) FROM products WHERE dt_refe_crga < '{SPLIT_DATE}'
+UNION ALL
+SELECT * FROM products WHERE dt_refe_crga >= '{SPLIT_DATE}'
+""",
+)
+def q_append_merge_schema(spark, sf_dir):
+    """First load creates the table (no rating_users column),
+    second load appends with a new column: added by ALTER TABLE, old rows NULL."""
+    products, _ = _products(spark, sf_dir)
+    name = f"{_scratch_db(spark)}.b_products"
+    first = products.filter(F.col(PARTITION_COLUMN) < SPLIT_DATE).drop("rating_users")
+    T.save_table(spark, first, name, PARTITION_COLUMN, "append", "merge")
+    second = products.filter(F.col(PARTITION_COLUMN) >= SPLIT_DATE)
+    T.save_table(spark, second.select(*reversed(second.columns)), name, PARTITION_COLUMN, "append", "merge")
+    return T.read_table(spark, name)
+
+
+@register(
+    "overwrite_partition",
+    f"""
+WITH {PRODUCTS_SQL}
+SELECT * FROM products WHERE dt_refe_crga < (SELECT max(dt_refe_crga) FROM products)
+UNION ALL
+SELECT * REPLACE (price_in_cash * 2 AS price_in_cash) FROM products
+WHERE dt_refe_crga = (SELECT max(dt_refe_crga) FROM products)
+""",
+)
+def q_overwrite_partition(spark, sf_dir):
+    """T9 (Q1, Q2): overwrite the newest partition twice with reordered
+    columns; the others stay, the rerun does not duplicate."""
+    products, _ = _products(spark, sf_dir)
+    name = f"{_scratch_db(spark)}.b_products"
+    T.save_table(spark, products, name, PARTITION_COLUMN, "append")
+    newest = T.latest_partition(products).withColumn("price_in_cash", F.col("price_in_cash") * 2)
+    shuffled = newest.select(*sorted(newest.columns))
+    T.save_table(spark, shuffled, name, PARTITION_COLUMN, "overwrite")
+    T.save_table(spark, shuffled, name, PARTITION_COLUMN, "overwrite")
+    return T.read_table(spark, name)
+
+
+@register(
+    "overwrite_table",
+    f"""
+WITH {PRODUCTS_SQL}
+SELECT * FROM products WHERE dt_refe_crga = (SELECT min(dt_refe_crga) FROM products)
+""",
+)
+def q_overwrite_table(spark, sf_dir):
+    """Overwrite without partition column replaces the whole table."""
+    products, _ = _products(spark, sf_dir)
+    name = f"{_scratch_db(spark)}.b_products"
+    T.save_table(spark, products, name, PARTITION_COLUMN, "append")
+    first = products.filter(F.col(PARTITION_COLUMN) == products.agg(F.min(PARTITION_COLUMN)).scalar())
+    T.save_table(spark, first, name, None, "overwrite")
+    return T.read_table(spark, name)
+
+
+@register(
+    "drop_partition",
+    f"""
+WITH {PRODUCTS_SQL}
+SELECT * FROM products
+WHERE dt_refe_crga NOT IN ((SELECT max(dt_refe_crga) FROM products), (SELECT min(dt_refe_crga) FROM products))
+""",
+)
+def q_drop_partition(spark, sf_dir):
+    """Drop the newest partition, then a given one (the oldest)."""
+    products, _ = _products(spark, sf_dir)
+    name = f"{_scratch_db(spark)}.b_products"
+    T.save_table(spark, products, name, PARTITION_COLUMN, "append")
+    T.drop_partition(spark, name, latest=True)
+    oldest = T.list_partitions(spark, name).agg(F.min(PARTITION_COLUMN)).first()[0]
+    T.drop_partition(spark, name, value=oldest, latest=True)
+    return T.read_table(spark, name)
+
+
+@register(
+    "truncate_table",
+    f"""
+WITH {PRODUCTS_SQL}
+SELECT * FROM products WHERE dt_refe_crga = (SELECT max(dt_refe_crga) FROM products)
+""",
+)
+def q_truncate_table(spark, sf_dir):
+    """Truncate keeps the table and schema; the next load is alone in it."""
+    products, _ = _products(spark, sf_dir)
+    db = _scratch_db(spark)
+    name = f"{db}.b_products"
+    T.save_table(spark, products, name, PARTITION_COLUMN, "append")
+    T.truncate_table(spark, name)
+    T.save_table(spark, T.latest_partition(products), name, PARTITION_COLUMN, "append")
+    T.drop_table(spark, f"{db}.not_there")
+    return T.read_table(spark, name)
+
+
+@register(
+    "register_path",
+    f"""
+WITH {PRODUCTS_SQL}
+SELECT * FROM products WHERE dt_refe_crga = (SELECT max(dt_refe_crga) FROM products)
+""",
+)
+def q_register_path(spark, sf_dir):
+    """Files written by path, read by path, registered as a table,
+    newest partition read from the table."""
+    products, _ = _products(spark, sf_dir)
+    db = _scratch_db(spark)
+    path = scratch_location(spark, "files")
+    products.write.partitionBy(PARTITION_COLUMN).parquet(path)
+    assert T.read_path(spark, path, latest_only=True).columns
+    T.register_table(spark, f"{db}.registered", path)
+    return T.read_table(spark, f"{db}.registered", latest_only=True)
+
+
+@register(
+    "partitions_of_table",
+    f"""
+WITH {PRODUCTS_SQL}
+SELECT DISTINCT dt_refe_crga FROM products
+""",
+)
+def q_partitions_of_table(spark, sf_dir):
+    """T6 from the catalog (SHOW PARTITIONS), T18 list tables."""
+    products, _ = _products(spark, sf_dir)
+    db = _scratch_db(spark)
+    name = f"{db}.b_products"
+    T.save_table(spark, products, name, PARTITION_COLUMN, "append")
+    assert T.list_tables(spark, db) == ["b_products"]
+    return T.list_partitions(spark, name)
+
+
+@register("read_missing", "SELECT * FROM (SELECT 'x' AS ID_ORIGIN) WHERE false")
+def q_read_missing(spark, sf_dir):
+    """A missing table reads as an empty frame with the expected schema."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    configure(spark)
+    schema = StructType([StructField("ID_ORIGIN", StringType())])
+    missing = T.read_table(spark, f"{_scratch_db(spark)}.absent", missing_ok=True, schema=schema)
+    events = read_input(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("ID_ORIGIN"))
+    return missing.unionByName(events.join(missing, "ID_ORIGIN", "left_semi"))
+
+
+EXPORT_COLS = ["id", "url", "price_in_cash", "position", PARTITION_COLUMN]
+
+
+@register(
+    "export_csv_capped",
+    f"WITH {PRODUCTS_SQL} SELECT id, url, price_in_cash, position, dt_refe_crga FROM products",
+)
+def q_export_csv_capped(spark, sf_dir):
+    """One CSV file with header (cap 1,048,576 rows), read back."""
+    products, _ = _products(spark, sf_dir)
+    target = scratch_location(spark, "export") + "/products.csv"
+    X.export_csv(products.select(*EXPORT_COLS), target)
+    schema = "id string, url string, price_in_cash double, position int, dt_refe_crga string"
+    return spark.read.schema(schema).option("header", "true").csv(target)
+
+
+@register("export_parquet", f"WITH {PRODUCTS_SQL} SELECT * FROM products")
+def q_export_parquet(spark, sf_dir):
+    """One Parquet file, read back."""
+    products, _ = _products(spark, sf_dir)
+    target = scratch_location(spark, "export") + "/products.parquet"
+    X.export_parquet(products, target)
+    return spark.read.parquet(target)
