@@ -17,6 +17,7 @@ def make_spark():
         SparkSession.builder.master("local[8]")
         .appName("vitrine-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
         .config("spark.driver.memory", "4g")

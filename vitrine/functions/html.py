@@ -62,10 +62,9 @@ def element_pattern(tag: str, attr: str | None = None, value: str | None = None,
 
 
 def inner(html: Column | str, tag: str, attr: str | None = None, value: str | None = None, mode: str = "exact") -> Column:
-    """Inner HTML of the first matching element; NULL when there is none."""
+    """Inner HTML of the first matching element; NULL when there is none or it is empty."""
     got = F.regexp_extract(_c(html), element_pattern(tag, attr, value, mode), 1)
-    found = F.regexp_like(_c(html), F.lit(element_pattern(tag, attr, value, mode)))
-    return F.when(found, got)
+    return F.when(got != "", got)
 
 
 def nested_inner(html: Column | str, tag: str, attr: str | None = None, value: str | None = None, mode: str = "exact") -> Column:
@@ -74,7 +73,7 @@ def nested_inner(html: Column | str, tag: str, attr: str | None = None, value: s
     leaf = rf"(?:[^<]|<(?!/?{tag}\b))"
     pat = rf"(?s){start_tag_pattern(tag, attr, value, mode)}((?:{leaf}|<{tag}\b[^>]*>{leaf}*</{tag}>)*)</{tag}>"
     got = F.regexp_extract(_c(html), pat, 1)
-    return F.when(F.regexp_like(_c(html), F.lit(pat)), got)
+    return F.when(got != "", got)
 
 
 def start_tag(html: Column | str, tag: str, attr: str | None = None, value: str | None = None, mode: str = "exact") -> Column:
@@ -88,7 +87,7 @@ def attr(tag_text: Column | str, name: str) -> Column:
     """Value of attribute ``name`` in a start tag; NULL when absent."""
     pat = rf'\s{name}="([^"]*)"'
     got = F.regexp_extract(_c(tag_text), pat, 1)
-    return F.when(F.regexp_like(_c(tag_text), F.lit(pat)), unescape(got))
+    return F.when(got != "", unescape(got))
 
 
 def elements(html: Column | str, tag: str, attr_name: str | None = None, value: str | None = None, mode: str = "exact") -> Column:

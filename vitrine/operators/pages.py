@@ -271,35 +271,66 @@ def card_fields(cards: DataFrame, dialect: str, missing: str = "reference", keep
     """
     spec = DIALECTS[dialect]
     c = F.col("card")
+    # Raw elements are cut out once, in their own projection; the typed
+    # fields below refer to these columns instead of re-running the regexes.
     if dialect == "A":
-        name = H.text_of(H.inner(c, "h2", "data-testid", "product-card::name"))
-        price = M.brl(H.text_of(H.inner(c, "p", "data-testid", "product-card::price")))
-        inst = H.text_of(H.inner(c, "span", "data-testid", "product-card::installment"))
+        raw = {
+            "_name": H.inner(c, "h2", "data-testid", "product-card::name"),
+            "_price": H.inner(c, "p", "data-testid", "product-card::price"),
+            "_inst": H.text_of(H.inner(c, "span", "data-testid", "product-card::installment")),
+            "_a": H.start_tag(c, "a"),
+            "_img": H.start_tag(c, "img"),
+            "_rating": H.text_of(H.inner(c, "div", "data-testid", "product-card::rating")),
+        }
+    elif dialect == "B":
+        raw = {
+            "_name": H.inner(c, "h2", "data-testid", "product-title"),
+            "_price": H.inner(c, "p", "data-testid", "price-value"),
+            "_inst": H.text_of(H.inner(c, "p", "data-testid", "installment")),
+            "_a": H.start_tag(c, "a"),
+            "_img": H.start_tag(c, "img", "data-testid", "image"),
+            "_rating": H.text_of(H.inner(H.inner(c, "div", "data-testid", "review"), "span", "format", "score-count")),
+        }
+    elif dialect == "C":
+        raw = {
+            "_name": H.inner(c, "a", "class", "poly-component__title", "token"),
+            "_a": H.start_tag(c, "a", "class", "poly-component__title", "token"),
+            "_whole": H.inner(c, "span", "class", "andes-money-amount__fraction", "token"),
+            "_cents": H.inner(c, "span", "class", re.escape("andes-money-amount__cents andes-money-amount__cents--superscript-24")),
+            "_inst_html": H.nested_inner(c, "span", "class", "poly-price__installments", "token"),
+            "_img": H.start_tag(c, "img", "class", "poly-component__picture", "token"),
+            "_reviews": H.inner(c, "div", "class", "poly-component__reviews", "token"),
+        }
+    else:
+        raw = None
+    if raw is None:
+        raise ValueError(dialect)
+    cards = cards.select(*[k for k in cards.columns if k != "card"], *[v.alias(k) for k, v in raw.items()])
+    r = F.col
+    if dialect == "A":
+        name = H.text_of("_name")
+        price = M.brl(H.text_of("_price"))
+        inst = r("_inst")
         inst_value = M.value_after_currency(inst)
         inst_count = M.installment_count(inst)
         inst_total = M.installment_total(inst_value, inst_count)
-        url = _absolute(H.attr(H.start_tag(c, "a"), "href"), spec["site"], always=False)
-        img = H.attr(H.start_tag(c, "img"), "src")
-        rating_text = H.text_of(H.inner(c, "div", "data-testid", "product-card::rating"))
+        url = _absolute(H.attr("_a", "href"), spec["site"], always=False)
+        img = H.attr("_img", "src")
+        rating_text = r("_rating")
         rating_missing = F.lit(M.MISSING_VALUE)
     elif dialect == "B":
-        name = H.text_of(H.inner(c, "h2", "data-testid", "product-title"))
-        price = M.brl(H.text_of(H.inner(c, "p", "data-testid", "price-value")))
-        inst = H.text_of(H.inner(c, "p", "data-testid", "installment"))
+        name = H.text_of("_name")
+        price = M.brl(H.text_of("_price"))
+        inst = r("_inst")
         inst_total, inst_count, inst_value = M.total_count_value(inst)
-        url = _absolute(H.attr(H.start_tag(c, "a"), "href"), spec["site"], always=True)
-        img = H.attr(H.start_tag(c, "img", "data-testid", "image"), "src")
-        review = H.inner(c, "div", "data-testid", "review")
-        rating_text = H.text_of(H.inner(review, "span", "format", "score-count"))
+        url = _absolute(H.attr("_a", "href"), spec["site"], always=True)
+        img = H.attr("_img", "src")
+        rating_text = r("_rating")
         rating_missing = F.lit(None).cast("double")
-    elif dialect == "C":
-        title_tag = H.start_tag(c, "a", "class", "poly-component__title", "token")
-        name = H.text_of(H.inner(c, "a", "class", "poly-component__title", "token"))
-        price = M.whole_plus_cents(
-            H.inner(c, "span", "class", "andes-money-amount__fraction", "token"),
-            H.inner(c, "span", "class", re.escape("andes-money-amount__cents andes-money-amount__cents--superscript-24")),
-        )
-        inst_html = H.nested_inner(c, "span", "class", "poly-price__installments", "token")
+    else:
+        name = H.text_of("_name")
+        price = M.whole_plus_cents(r("_whole"), r("_cents"))
+        inst_html = r("_inst_html")
         inst = F.when(inst_html.isNotNull(), F.coalesce(H.text_of(inst_html), F.lit("")))
         inst_value = M.whole_plus_cents(
             H.inner(inst_html, "span", "class", "andes-money-amount__fraction", "token"),
@@ -307,19 +338,16 @@ def card_fields(cards: DataFrame, dialect: str, missing: str = "reference", keep
         )
         inst_count = F.coalesce(M.installment_count(inst), F.lit(0))
         inst_total = M.installment_total(inst_value, inst_count)
-        url = H.attr(title_tag, "href")
-        img_tag = H.start_tag(c, "img", "class", "poly-component__picture", "token")
-        src = H.attr(img_tag, "src")
-        img = F.when(src.startswith("data:image"), H.attr(img_tag, "data-src")).otherwise(src)
-        reviews = H.inner(c, "div", "class", "poly-component__reviews", "token")
+        url = H.attr("_a", "href")
+        src = H.attr("_img", "src")
+        img = F.when(src.startswith("data:image"), H.attr("_img", "data-src")).otherwise(src)
+        reviews = r("_reviews")
         rating_text = F.when(
             reviews.isNotNull(),
             F.concat_ws(" ", H.text_of(H.inner(reviews, "span", "class", "poly-reviews__rating", "token")),
                         H.text_of(H.inner(reviews, "span", "class", "poly-reviews__total", "token"))),
         )
         rating_missing = F.lit(M.MISSING_VALUE)
-    else:
-        raise ValueError(dialect)
 
     has_inst = inst.isNotNull()
     null_mode = missing == "null"
@@ -342,7 +370,7 @@ def card_fields(cards: DataFrame, dialect: str, missing: str = "reference", keep
         F.array(*[F.when(fields[k].isNull(), F.lit(k)) for k in ("name", "url", "price_in_cash")]),
         lambda x: x.isNotNull(),
     )
-    keep = [k for k in cards.columns if k not in ("card",) and k not in fields]
+    keep = [k for k in cards.columns if not k.startswith("_") and k not in fields]
     out = cards.select(*keep, *[v.alias(k) for k, v in fields.items()], errors.alias("parse_errors"))
     if not keep_failed:
         out = out.filter(F.size("parse_errors") == 0)

@@ -22,7 +22,7 @@ from pyspark.sql.types import (
 from vitrine.operators import pages as P
 from vitrine.operators.dialects import DIALECTS, PRODUCTS_LIMIT
 from vitrine.operators.relational import max_or_default
-from vitrine.session import PARTITION_COLUMN, layer_table
+from vitrine.session import PARTITION_COLUMN, checkpoint_root, layer_table
 from vitrine.sources import tables as T
 
 # Bronze product schema (before the load stamps).
@@ -81,6 +81,12 @@ def build_products(products: DataFrame, start_id, run_ts, dedup: bool = True) ->
     rows = products.select("page_url", *[f.name for f in PRODUCTS_SCHEMA if f.name != "id"])
     if dedup:
         rows = rows.dropDuplicates()
+    # Numbering reads its input three times (count, splitter sample, rows);
+    # the parsed rows are written once to the shared checkpoint folder so
+    # the pages are parsed once, and a lost executor re-reads files instead
+    # of re-parsing pages.
+    checkpoint_root(rows.sparkSession)
+    rows = rows.checkpoint(eager=True)
     with_ids = P.assign_product_ids(rows, start_id)
     return T.with_load_stamp(to_schema(with_ids, PRODUCTS_SCHEMA), run_ts)
 
@@ -117,11 +123,12 @@ def run_bronze(
     links: DataFrame,
     run_ts,
     limit: int | None = PRODUCTS_LIMIT,
+    databases: dict[str, str] | None = None,
 ) -> dict[str, str]:
     """Products appended (ids continue after the stored maximum),
     sellers' partition overwritten."""
-    products_name = layer_table("BRONZE", "products")
-    sellers_name = layer_table("BRONZE", "sellers")
+    products_name = layer_table("BRONZE", "products", databases)
+    sellers_name = layer_table("BRONZE", "sellers", databases)
     T.create_database(spark, products_name.split(".")[0])
     stored = T.read_table(spark, products_name, missing_ok=True, schema=PRODUCTS_SCHEMA)
     start = max_or_default(stored, "id")

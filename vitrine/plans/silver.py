@@ -124,13 +124,14 @@ def run_silver(
     load_type: str | None = None,
     id_mode: str = "stable",
     dense: bool = False,
+    databases: dict[str, str] | None = None,
 ) -> dict[str, str]:
     """Catalog, then last version (needs the catalog ids), then categories."""
-    products_name = layer_table("BRONZE", "products")
-    sellers_name = layer_table("BRONZE", "sellers")
-    catalog_name = layer_table("SILVER", "catalog")
-    version_name = layer_table("SILVER", "last_version")
-    categories_name = layer_table("SILVER", "categories")
+    products_name = layer_table("BRONZE", "products", databases)
+    sellers_name = layer_table("BRONZE", "sellers", databases)
+    catalog_name = layer_table("SILVER", "catalog", databases)
+    version_name = layer_table("SILVER", "last_version", databases)
+    categories_name = layer_table("SILVER", "categories", databases)
     T.create_database(spark, catalog_name.split(".")[0])
     done: dict[str, str] = {}
 

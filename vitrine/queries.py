@@ -957,3 +957,61 @@ def q_export_parquet(spark, sf_dir):
     target = scratch_location(spark, "export") + "/products.parquet"
     X.export_parquet(products, target)
     return spark.read.parquet(target)
+
+
+# --------------------------------------------------------------------------- end to end
+
+DAY1, DAY2 = "2024-04-01 06:00:00", "2024-04-02 06:00:00"
+
+
+@register(
+    "pipeline_last_version",
+    f"""
+SELECT id AS ID_ORIGIN, name AS NM_PRODUCT, url AS DS_URL, img AS DS_IMG, category AS DS_CATEGORY,
+       price_in_cash AS VL_CASH, price_in_installments AS VL_INSTALLMENTS, installments_num AS NR_INSTALLMENTS,
+       installment_value AS VL_SINGLE_INSTALLMENT, seller AS NM_SELLER, rating AS VL_RATING,
+       rating_users AS QT_RATING_USERS, position AS NR_POSITION,
+       concat_ws('-', substring(seller, 1, 4), md5(url)) AS ID_CATALOG,
+       '2024-04-02' AS dt_refe_crga, TIMESTAMP '{DAY2}' AS dh_exec
+FROM ({_mixed_cards_oracle("0")}) base
+""",
+)
+def q_pipeline_last_version(spark, sf_dir):
+    """J8 twice (ids of day 2 continue after day 1), then J9 on day 2: the
+    last version comes from day 1 (one day behind), with catalog ids."""
+    bronze_db, silver_db = _scratch_db(spark), _scratch_db(spark)
+    dbs = {"BRONZE": bronze_db, "SILVER": silver_db}
+    listing = _mixed_listing(spark, sf_dir)
+    sources, links = S.sources_from_pages(read_input(spark, sf_dir, "pages"))
+    bronze.run_bronze(spark, listing, sources, links, DAY1, databases=dbs)
+    bronze.run_bronze(spark, listing, sources, links, DAY2, databases=dbs)
+    silver.run_silver(spark, DAY2, databases=dbs)
+    return T.read_table(spark, f"{silver_db}.s_last_ver_products", latest_only=True)
+
+
+@register(
+    "pipeline_product_ids",
+    f"""
+SELECT dt_refe_crga, count(*) AS n, min(CAST(id AS BIGINT)) AS first_id, max(CAST(id AS BIGINT)) AS last_id
+FROM (
+  SELECT '2024-04-01' AS dt_refe_crga, id FROM ({_mixed_cards_oracle("0")}) a
+  UNION ALL
+  SELECT '2024-04-02', CAST(CAST(id AS BIGINT) + (SELECT count(*) FROM ({_mixed_cards_oracle("0")}) c) AS VARCHAR)
+  FROM ({_mixed_cards_oracle("0")}) b
+) GROUP BY dt_refe_crga
+""",
+)
+def q_pipeline_product_ids(spark, sf_dir):
+    """Product ids continue after the stored maximum across loads."""
+    bronze_db = _scratch_db(spark)
+    dbs = {"BRONZE": bronze_db}
+    listing = _mixed_listing(spark, sf_dir)
+    sources, links = S.sources_from_pages(read_input(spark, sf_dir, "pages"))
+    bronze.run_bronze(spark, listing, sources, links, DAY1, databases=dbs)
+    bronze.run_bronze(spark, listing, sources, links, DAY2, databases=dbs)
+    table = T.read_table(spark, f"{bronze_db}.b_products")
+    return table.groupBy(PARTITION_COLUMN).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(F.col("id").cast("bigint")).alias("first_id"),
+        F.max(F.col("id").cast("bigint")).alias("last_id"),
+    )

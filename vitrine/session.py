@@ -53,10 +53,14 @@ def configure(spark: SparkSession, time_zone: str | None = None) -> SparkSession
     return spark
 
 
-def layer_table(layer: str, table: str) -> str:
-    """Qualified name of a layer table, e.g. ``layer_table('SILVER', 'catalog')``."""
+def layer_table(layer: str, table: str, databases: dict[str, str] | None = None) -> str:
+    """Qualified name of a layer table, e.g. ``layer_table('SILVER', 'catalog')``.
+
+    ``databases`` maps a layer to another database name (isolated runs).
+    """
     spec = LAYERS[layer.upper()]
-    return f"{spec['database']}.{spec['tables'][table]}"
+    database = (databases or {}).get(layer.upper(), spec["database"])
+    return f"{database}.{spec['tables'][table]}"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
