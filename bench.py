@@ -50,6 +50,8 @@ def main() -> None:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(max(8, int(cpus) * 2)))
         .config("spark.sql.adaptive.enabled", "true")
+        # small inputs, CPU-bound parsing: keep AQE from folding all rows into one task
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", os.environ.get("BENCH_ADVISORY", "1m"))
         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "6g"))
         .getOrCreate()

@@ -707,6 +707,15 @@ def _flat_sql(where: str) -> str:
 ID_ORDER_SQL = "concat_ws('|', DS_CATEGORY, NM_SELLER), DS_URL, DH_ORIGIN_EXEC"
 
 
+def _stored_sellers(spark, sf_dir):
+    """The seller history plays the stored bronze table: written once to the
+    checkpoint folder, then read by every pass of the job."""
+    from vitrine.session import checkpoint_root
+
+    checkpoint_root(spark)
+    return S.seller_loads_from_pages(read_input(spark, sf_dir, "pages")).checkpoint(eager=True)
+
+
 @register(
     "categories_full",
     f"""
@@ -719,7 +728,7 @@ FROM flat
 )
 def q_categories_full(spark, sf_dir):
     """J5 + C3, C9-C12: newest category list per seller over all loads, ids from 1."""
-    sellers = S.seller_loads_from_pages(read_input(spark, sf_dir, "pages"))
+    sellers = _stored_sellers(spark, sf_dir)
     run_ts = sellers.agg(F.max("dh_exec")).scalar()
     return silver.build_categories_full(sellers, run_ts)
 
@@ -751,13 +760,17 @@ FROM merged
 
 def _incremental_query(dense: bool):
     def run(spark, sf_dir):
-        sellers = S.seller_loads_from_pages(read_input(spark, sf_dir, "pages"))
+        sellers = _stored_sellers(spark, sf_dir)
         run_ts = sellers.agg(F.max("dh_exec")).scalar()
         parts = sellers.select(PARTITION_COLUMN).distinct()
         latest = parts.agg(F.max(PARTITION_COLUMN)).scalar()
         prev = parts.filter(F.col(PARTITION_COLUMN) < latest).agg(F.max(PARTITION_COLUMN)).scalar()
         earlier = sellers.filter(F.col(PARTITION_COLUMN) < prev)
-        old = silver.build_categories_full(earlier, run_ts)
+        # the earlier load plays the stored silver table: written once
+        from vitrine.session import checkpoint_root
+
+        checkpoint_root(spark)
+        old = silver.build_categories_full(earlier, run_ts).checkpoint(eager=True)
         return silver.build_categories_incremental(sellers, old, run_ts, ignore_delay=False, dense=dense)
 
     run.__doc__ = ("J6 + C13-C15: merge the D-1 load into an earlier full load; "

@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The lake is batch only: every load is one run stamped with an explicit
+``run_ts``, and no source it reproduces has a stream, watermark or state.
+Incremental behaviour (append-only bronze loads, dynamic partition
+overwrite, the incremental category merge) lives in ``vitrine.plans``.
+"""
