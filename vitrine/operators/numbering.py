@@ -109,8 +109,9 @@ def number_rows(
 
     within = Window.partitionBy(RANGE).orderBy(F.col(KEY))
     numbered = ranged.withColumn("__nr_local", F.row_number().over(within))
-    # Rows per range: at most len(splitters) + 1 rows, so the broadcast is bounded.
-    sizes = numbered.groupBy(RANGE).agg(F.max("__nr_local").alias("__nr_size"))
+    # Rows per range, counted map-side (only range ids cross the network):
+    # at most len(splitters) + 1 rows, so the broadcast is bounded.
+    sizes = ranged.groupBy(RANGE).agg(F.count(F.lit(1)).alias("__nr_size"))
     before = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(RANGE, F.coalesce(F.sum("__nr_size").over(before), F.lit(0)).alias("__nr_offset"))
     out = numbered.join(F.broadcast(offsets), RANGE)
