@@ -11,6 +11,7 @@ all field parsing is again Catalyst expressions.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -240,6 +241,10 @@ def split_cards(pages: DataFrame, dialect: str, limit: int | None = PRODUCTS_LIM
         rows = pages.select(*keep, F.posexplode(cards).alias("pos0", "card"))
         return rows.select(*keep, (F.col("pos0") + 1).cast("int").alias("position"), "card")
     if dialect == "C":
+        # The task function travels by value: workers need not import vitrine.
+        from pyspark import cloudpickle
+
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
         schema = StructType([f for f in pages.schema if f.name != "html"]).add("position", IntegerType()).add("card", StringType())
         return pages.mapInArrow(_andes_batches(keep, limit), schema)
     raise ValueError(dialect)
