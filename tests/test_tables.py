@@ -69,3 +69,21 @@ def test_missing_table_and_load_type(spark, db):
     assert silver.choose_load_type(missing, "incremental") == "incremental"
     with pytest.raises(Exception):
         T.read_table(spark, f"{db}.none")
+
+
+def test_schema_overwrite_replaces_table(spark, db):
+    name = f"{db}.t"
+    T.save_table(spark, rows(spark, [("a", 1, "d1"), ("b", 2, "d2")]), name, "dt_refe_crga", "append")
+    new = spark.createDataFrame([("c", "x", "d3")], "id string, v string, dt_refe_crga string")
+    T.save_table(spark, new, name, "dt_refe_crga", "overwrite", "overwrite")
+    got = spark.table(name)
+    assert dict(got.dtypes)["v"] == "string"
+    assert [tuple(r) for r in got.select("id", "v", "dt_refe_crga").collect()] == [("c", "x", "d3")]
+
+
+def test_overwrite_reading_own_table(spark, db):
+    name = f"{db}.t"
+    T.save_table(spark, rows(spark, [("a", 1, "d1"), ("b", 2, "d2")]), name, "dt_refe_crga", "append")
+    again = T.read_table(spark, name, latest_only=True).withColumn("v", F.col("v") + 10)
+    T.save_table(spark, again, name, "dt_refe_crga", "overwrite")
+    assert sorted((r.id, r.v) for r in spark.table(name).collect()) == [("a", 1), ("b", 12)]
