@@ -51,10 +51,10 @@ products AS (
          value AS price_in_cash,
          CAST(NULL AS DOUBLE) AS price_in_installments,
          0 AS installments_num,
-         -999.0 AS installment_value,
+         CAST(-999.0 AS DOUBLE) AS installment_value,
          'https://img.loja.example/' || CAST(user_id AS VARCHAR) || '.jpg' AS img,
          event_type AS seller,
-         -999.0 AS rating,
+         CAST(-999.0 AS DOUBLE) AS rating,
          0 AS rating_users,
          CAST(json_extract_string(props, '$.k') AS INTEGER) + 1 AS position,
          strftime(ts, '%Y-%m-%d') AS dt_refe_crga,
@@ -349,7 +349,7 @@ facts AS (
          (p_size % 50) / 10.0 AS rating_num,
          p_size * 3 + 1 AS users,
          'https://img.example.com/p/' || CAST(p_partkey AS VARCHAR) || '.jpg' AS img_url,
-         row_number() OVER (PARTITION BY p_brand, p_partkey // 1000 ORDER BY p_partkey) AS position
+         CAST(row_number() OVER (PARTITION BY p_brand, p_partkey // 1000 ORDER BY p_partkey) AS INTEGER) AS position
   FROM part
 ),
 cards AS (
@@ -443,8 +443,8 @@ def q_brl_round_trip(spark, sf_dir):
     "installment_total",
     """
 SELECT o_orderkey,
-       (o_orderkey % 12) + 1 AS installments_num,
-       CAST(CAST(round(o_totalprice * 100) AS BIGINT) // ((o_orderkey % 12) + 1) AS DECIMAL(18,2)) / 100 AS installment_value,
+       CAST((o_orderkey % 12) + 1 AS INTEGER) AS installments_num,
+       CAST((CAST(round(o_totalprice * 100) AS BIGINT) // ((o_orderkey % 12) + 1)) / 100 AS DECIMAL(18,2)) AS installment_value,
        CAST(CAST(CAST(round(o_totalprice * 100) AS BIGINT) // ((o_orderkey % 12) + 1) AS DECIMAL(18,2)) / 100
             * ((o_orderkey % 12) + 1) AS DECIMAL(18,2)) AS price_in_installments
 FROM orders
@@ -484,7 +484,7 @@ lists AS (
   FROM nav
 ),
 links AS (
-  SELECT page_id, url, i AS pos, hrefs[i] AS href, labels[i] AS label_html
+  SELECT page_id, url, CAST(i AS INTEGER) AS pos, hrefs[i] AS href, labels[i] AS label_html
   FROM (SELECT *, unnest(generate_series(1, len(hrefs))) AS i FROM lists)
 )
 """
@@ -508,7 +508,7 @@ def _links_oracle(dialect: str) -> str:
         body = f"SELECT page_id, pos, {text} AS name, '{spec['site']}' || href AS url FROM links"
     elif dialect == "B":
         body = f"""
-SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS pos,
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY pos) AS INTEGER) AS pos,
        {_trimmed(text)} AS name,
        '{spec['site']}' || href || '/l/' || CAST(pos AS VARCHAR) || '/' || '{spec['category_query']}' AS url
 FROM links WHERE pos % 3 <> 0"""
@@ -538,7 +538,7 @@ from vitrine.sources import standins as S  # noqa: E402
 HOST_SQL = "regexp_extract(url, '^https?://([^/?#]+)', 1)"
 SOURCES_SQL = """
 src AS (
-  SELECT s_suppkey AS id, s_name AS name, s_acctbal,
+  SELECT CAST(s_suppkey AS INTEGER) AS id, s_name AS name, s_acctbal,
          'https://' || lower(n_name) || '.example/' || CAST(s_suppkey AS VARCHAR) || '/' AS home
   FROM supplier JOIN nation ON s_nationkey = n_nationkey
 )
@@ -605,7 +605,7 @@ found AS (
     f"""
 WITH {NAV_SQL}, {SELLERS_SRC_SQL}
 SELECT CAST(h.id AS VARCHAR) AS id, h.host AS name, c.category_url,
-       coalesce(f.n, 0) + (CASE WHEN starts_with(h.host, 'www.') THEN 1 ELSE 0 END) AS n_categories,
+       CAST(coalesce(f.n, 0) + (CASE WHEN starts_with(h.host, 'www.') THEN 1 ELSE 0 END) AS INTEGER) AS n_categories,
        concat_ws(';', CASE WHEN starts_with(h.host, 'www.') THEN 'Ofertas=https://' || h.host || '/ofertas' END, f.txt)
          AS categories_text,
        '2024-03-31' AS dt_refe_crga, TIMESTAMP '2024-03-31 06:00:00' AS dh_exec
