@@ -4,9 +4,9 @@
 by order)``. The plain window moves every row into one task; here the rows
 are cut into about 200 ranges by splitters taken from a bounded sample:
 
-1. count the rows, sample about ``oversample * max_splitters`` order keys,
-   pick evenly spaced splitters and keep them as literals (a re-run task
-   sees the very same ranges, unlike a re-drawn sample);
+1. sample about ``oversample * max_splitters`` order keys in one pass (the
+   smallest seeded hashes), pick evenly spaced splitters and keep them as
+   literals (a re-run task sees the very same ranges);
 2. range number per row by a binary search over the literals;
 3. rows per range (at most ``max_splitters + 1`` rows) -> running offsets,
    broadcast back (its size is bounded by the splitter count);
@@ -57,25 +57,26 @@ def _range_of(key: Column, splitters: list[Column]) -> Column:
 def choose_splitters(keys: DataFrame, max_splitters: int = 200, oversample: int = 20, seed: int = 7) -> list[str]:
     """JSON texts of evenly spaced sample keys; ``keys`` has the one column KEY.
 
-    Only a bounded sample (about ``oversample * max_splitters`` rows) reaches
-    the driver.
+    The sample is the ``oversample * max_splitters`` keys with the smallest
+    seeded hash: one pass over the input (per-task top-k, then one merge),
+    the same sample on every re-run, and a bounded number of rows reaching
+    the driver. The sample is then put in key order by Spark, so ordering
+    follows Spark's own comparison of the key types.
     """
-    total = keys.count()
     target = max_splitters * oversample
-    if total <= target // 4 or max_splitters < 1:
-        return []
-    fraction = min(1.0, target / total)
-    sample = [
-        r[0]
-        for r in keys.sample(False, fraction, seed)
-        .select(F.to_json(F.struct(F.col(KEY).alias("k"))).alias("j"), F.col(KEY))
-        .distinct()
-        .orderBy(KEY)
-        .select("j")
-        .collect()
-    ]
-    if len(sample) < 2:
+    if max_splitters < 1:
         return []
+    hashed = keys.select(KEY, F.xxhash64(KEY, F.lit(seed)).alias("h"))
+    # Limit over (Project over Sort) plans as TakeOrderedAndProject: the JSON
+    # text is made only for the rows kept.
+    top = hashed.orderBy("h", KEY).select(F.to_json(F.struct(F.col(KEY).alias("k"))).alias("j")).limit(target)
+    texts = [r[0] for r in top.collect()]
+    if len(texts) < target // 4:
+        return []  # small input: one range is the plain window
+    spark = keys.sparkSession
+    wrapper = f"struct<k:{keys.schema[KEY].dataType.simpleString()}>"
+    local = spark.createDataFrame([(t,) for t in sorted(set(texts))], "j string")
+    sample = [r[0] for r in local.orderBy(F.from_json("j", wrapper)["k"]).collect()]
     step = len(sample) / (max_splitters + 1)
     picked, seen = [], set()
     for i in range(1, max_splitters + 1):
