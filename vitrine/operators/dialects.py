@@ -46,5 +46,10 @@ def dialect_of_seller(seller: str) -> str:
 
 def dialect_table(spark: SparkSession) -> DataFrame:
     """Three-row table seller -> dialect, for a join on seller (size fixed: broadcastable)."""
-    rows = [(k, v["seller"], v["site"]) for k, v in DIALECTS.items()]
-    return spark.createDataFrame(rows, "dialect string, seller string, site string")
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from vitrine.operators.relational import frame_from_rows
+
+    schema = StructType([StructField(n, StringType(), False) for n in ("dialect", "seller", "site")])
+    rows = [{"dialect": k, "seller": v["seller"], "site": v["site"]} for k, v in DIALECTS.items()]
+    return frame_from_rows(spark, rows, schema)

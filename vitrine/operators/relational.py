@@ -177,7 +177,11 @@ def sql_over_view(df: DataFrame, query: str) -> DataFrame:
     """Run SQL with ``{df}`` standing for the frame."""
     name = f"_vitrine_v_{uuid.uuid4().hex[:12]}"
     df.createOrReplaceTempView(name)
-    return df.sparkSession.sql(query.format(df=name))
+    try:
+        # the query is analysed here, with the view's plan inlined
+        return df.sparkSession.sql(query.format(df=name))
+    finally:
+        df.sparkSession.catalog.dropTempView(name)
 
 
 def frame_from_rows(spark: SparkSession, rows: Iterable[dict], schema: StructType) -> DataFrame:

@@ -222,9 +222,11 @@ SELECT DISTINCT dt_refe_crga FROM products ORDER BY 1 DESC
 """,
 )
 def q_partition_list_desc(spark, sf_dir):
-    """Distinct load dates, newest first."""
+    """Distinct load dates, newest first, as SQL over a temp view."""
+    from vitrine.operators.relational import sql_over_view
+
     products, _ = _products(spark, sf_dir)
-    return products.select(PARTITION_COLUMN).distinct().orderBy(F.col(PARTITION_COLUMN).desc())
+    return sql_over_view(products, f"SELECT DISTINCT {PARTITION_COLUMN} FROM {{df}} ORDER BY 1 DESC")
 
 
 @register(
@@ -932,6 +934,7 @@ def q_partitions_of_table(spark, sf_dir):
     name = f"{db}.b_products"
     T.save_table(spark, products, name, PARTITION_COLUMN, "append")
     assert T.list_tables(spark, db) == ["b_products"]
+    assert T.describe_database(spark, db).count() > 0
     return T.list_partitions(spark, name)
 
 
@@ -1028,3 +1031,27 @@ def q_pipeline_product_ids(spark, sf_dir):
         F.min(F.col("id").cast("bigint")).alias("first_id"),
         F.max(F.col("id").cast("bigint")).alias("last_id"),
     )
+
+
+@register(
+    "dialect_dispatch",
+    f"""
+WITH {CARD_FACTS_SQL},
+b AS (SELECT DISTINCT category, block, CAST(regexp_extract(category, '([0-9]+)', 1) AS INTEGER) % 3 AS d FROM facts)
+SELECT CASE d WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END AS dialect,
+       CASE d WHEN 0 THEN '{DIALECTS["A"]["seller"]}' WHEN 1 THEN '{DIALECTS["B"]["seller"]}'
+              ELSE '{DIALECTS["C"]["seller"]}' END AS seller,
+       CASE d WHEN 0 THEN '{DIALECTS["A"]["site"]}' WHEN 1 THEN '{DIALECTS["B"]["site"]}'
+              ELSE '{DIALECTS["C"]["site"]}' END AS site,
+       count(*) AS n_pages
+FROM b GROUP BY 1, 2, 3
+""",
+)
+def q_dialect_dispatch(spark, sf_dir):
+    """Listing pages joined to the three-row dialect table (built
+    from local rows with a fixed schema; broadcast, as its size is fixed)."""
+    from vitrine.operators.dialects import dialect_table
+
+    pages = _mixed_listing(spark, sf_dir).select("page_id", "seller")
+    joined = pages.join(F.broadcast(dialect_table(spark)), "seller")
+    return joined.groupBy("dialect", "seller", "site").agg(F.count(F.lit(1)).alias("n_pages"))

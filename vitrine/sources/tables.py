@@ -318,7 +318,7 @@ def describe_database(spark: SparkSession, name: str) -> DataFrame:
 
 def list_tables(spark: SparkSession, name: str) -> list[str]:
     """Table names of a database."""
-    return sorted(t.name for t in spark.catalog.listTables(name))
+    return sorted(t.name for t in spark.catalog.listTables(name) if not t.isTemporary)
 
 
 def drop_database(spark: SparkSession, name: str) -> None:
