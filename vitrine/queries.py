@@ -106,7 +106,7 @@ SELECT c.*, r.run_date AS dt_refe_crga, r.run_ts AS dh_exec FROM catalog c, run
 """,
 )
 def q_catalog_products(spark, sf_dir):
-    """J3 + C1, C4, C6, T22: product catalog with a stable id per URL."""
+    """J3 + C1, C4, C6, T22, T23: product catalog with a stable id per URL (session configured first)."""
     products, run_ts = _products(spark, sf_dir)
     return silver.build_catalog(products, run_ts)
 
@@ -237,7 +237,7 @@ SELECT DISTINCT dh_exec FROM products ORDER BY 1 DESC
 """,
 )
 def q_load_list_desc(spark, sf_dir):
-    """Distinct load timestamps, newest first."""
+    """Distinct load timestamps, newest first."""
     products, _ = _products(spark, sf_dir)
     return T.list_loads(products)
 
@@ -890,7 +890,7 @@ SELECT * FROM products WHERE dt_refe_crga = (SELECT max(dt_refe_crga) FROM produ
 """,
 )
 def q_truncate_table(spark, sf_dir):
-    """Truncate keeps the table and schema; the next load is alone in it."""
+    """Truncate keeps the table and schema; the next load is alone in it."""
     products, _ = _products(spark, sf_dir)
     db = _scratch_db(spark)
     name = f"{db}.b_products"
@@ -898,6 +898,7 @@ def q_truncate_table(spark, sf_dir):
     T.truncate_table(spark, name)
     T.save_table(spark, T.latest_partition(products), name, PARTITION_COLUMN, "append")
     T.drop_table(spark, f"{db}.not_there")
+    T.drop_database(spark, _scratch_db(spark))
     return T.read_table(spark, name)
 
 
@@ -928,7 +929,7 @@ SELECT DISTINCT dt_refe_crga FROM products
 """,
 )
 def q_partitions_of_table(spark, sf_dir):
-    """T6 from the catalog (SHOW PARTITIONS), T18 list tables."""
+    """T6 from the catalog (SHOW PARTITIONS), T18 list/describe, C21 database check."""
     products, _ = _products(spark, sf_dir)
     db = _scratch_db(spark)
     name = f"{db}.b_products"
@@ -993,8 +994,9 @@ FROM ({_mixed_cards_oracle("0")}) base
 """,
 )
 def q_pipeline_last_version(spark, sf_dir):
-    """J8 twice (ids of day 2 continue after day 1), then J9 on day 2: the
-    last version comes from day 1 (one day behind), with catalog ids."""
+    """J8 twice (ids of day 2 continue after day 1), then J9 on day 2 with J7
+    (empty silver: full load); the last version comes from day 1 (one day
+    behind), with catalog ids."""
     bronze_db, silver_db = _scratch_db(spark), _scratch_db(spark)
     dbs = {"BRONZE": bronze_db, "SILVER": silver_db}
     listing = _mixed_listing(spark, sf_dir)

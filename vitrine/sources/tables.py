@@ -134,8 +134,10 @@ def list_partitions(spark: SparkSession, name: str) -> DataFrame:
 
 
 def list_loads(df: DataFrame, column: str = LOAD_TS_COLUMN) -> DataFrame:
-    """Distinct load timestamps, newest first."""
-    return df.select(column).distinct().orderBy(F.col(column).desc())
+    """Distinct load timestamps, newest first."""
+    from vitrine.operators.relational import distinct_values
+
+    return distinct_values(df, column).orderBy(F.col(column).desc())
 
 
 def aim_partition_frame(
