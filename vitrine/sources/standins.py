@@ -90,20 +90,20 @@ def seller_loads_from_pages(pages: DataFrame) -> DataFrame:
 
     links = nav_links_raw(pages).select(
         "page_id",
+        F.col("url").alias("page_url"),
         host_of("url").alias("host"),
         "pos",
         F.coalesce(text_of("label_html"), F.lit("")).alias("name"),
         F.concat(F.lit("https://"), host_of("url"), F.col("href")).alias("url"),
     )
-    found = categories_as_maps(links, ["page_id", "host"])
-    kinds = pages.select(
-        "page_id", F.array(F.array(F.col("url"), F.when(F.col("url").contains("?"), "1").otherwise("0"))).alias("urls")
-    )
+    # one group per page (its page url rides along as a key): no join back
+    found = categories_as_maps(links, ["page_id", "page_url", "host"])
+    kind = F.when(F.col("page_url").contains("?"), "1").otherwise("0")
     ts = F.expr("timestampadd(HOUR, page_id, TIMESTAMP_NTZ '2024-03-01 00:00:00')")
-    return found.join(kinds, "page_id").select(
+    return found.select(
         F.substring(F.md5("host"), 1, 12).alias("id"),
         F.col("host").alias("name"),
-        F.col("urls").alias("url"),
+        F.array(F.array(F.col("page_url"), kind)).alias("url"),
         F.col("found").alias("categories"),
         F.date_format(ts, "yyyy-MM-dd").alias(PARTITION_COLUMN),
         ts.alias(LOAD_TS_COLUMN),
