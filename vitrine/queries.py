@@ -1057,3 +1057,38 @@ def q_dialect_dispatch(spark, sf_dir):
     pages = _mixed_listing(spark, sf_dir).select("page_id", "seller")
     joined = pages.join(F.broadcast(dialect_table(spark)), "seller")
     return joined.groupBy("dialect", "seller", "site").agg(F.count(F.lit(1)).alias("n_pages"))
+
+
+@register(
+    "pipeline_categories",
+    f"""
+WITH {NAV_SQL}, {SELLERS_SRC_SQL},
+fixed AS (
+  SELECT h.host, 0 AS pos, 'Ofertas' AS name, 'https://' || h.host || '/ofertas' AS link_url
+  FROM hosts h WHERE h.active AND starts_with(h.host, 'www.')
+),
+found_links AS (
+  SELECT c.host, l.pos, {LABEL_SQL} AS name, 'https://' || c.host || l.href AS link_url
+  FROM chosen c JOIN hosts h ON h.host = c.host AND h.active JOIN links l ON l.page_id = c.page_id
+),
+flat AS (
+  SELECT DISTINCT trim(regexp_replace(name, '\\+\\s*', '', 'g')) AS DS_CATEGORY, host AS NM_SELLER,
+         link_url AS DS_URL, TIMESTAMP '{DAY1}' AS DH_ORIGIN_EXEC
+  FROM (SELECT * FROM fixed UNION ALL SELECT * FROM found_links)
+)
+SELECT CAST(row_number() OVER (ORDER BY {ID_ORDER_SQL}) AS INTEGER) AS ID_CATEGORY,
+       DS_CATEGORY, NM_SELLER, DS_URL, DH_ORIGIN_EXEC,
+       '2024-04-01' AS dt_refe_crga, TIMESTAMP '{DAY1}' AS dh_exec
+FROM flat
+""",
+)
+def q_pipeline_categories(spark, sf_dir):
+    """J8 then J9 (J7: empty silver gives a full load, J5): the category catalog
+    built from the stored b_sellers table (nested array<map>, T9 overwrite)."""
+    bronze_db, silver_db = _scratch_db(spark), _scratch_db(spark)
+    dbs = {"BRONZE": bronze_db, "SILVER": silver_db}
+    listing = _mixed_listing(spark, sf_dir)
+    sources, links = S.sources_from_pages(read_input(spark, sf_dir, "pages"))
+    bronze.run_bronze(spark, listing, sources, links, DAY1, databases=dbs)
+    silver.run_silver(spark, DAY1, databases=dbs)
+    return T.read_table(spark, f"{silver_db}.s_categories_catalog", latest_only=True)
