@@ -78,7 +78,10 @@ def checkpoint_root(spark: SparkSession) -> str:
             root = current
         elif sc.master.startswith("local"):
             root = tempfile.mkdtemp(prefix="vitrine-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", root)
+            try:
+                spark.conf.set("spark.checkpoint.dir", root)
+            except Exception:  # a core setting some sessions refuse at runtime
+                pass
         else:
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     sc = spark.sparkContext
