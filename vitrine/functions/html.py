@@ -33,7 +33,7 @@ def text_of(c: Column | str) -> Column:
 
     Empty text becomes NULL.
     """
-    txt = F.regexp_replace(unescape(strip_tags(c)), r"^[\s\u00a0]+|[\s\u00a0]+$", "")
+    txt = F.btrim(unescape(strip_tags(c)), F.lit(" \t\n\u000b\f\r\u00a0"))
     return F.when(txt != "", txt)
 
 
