@@ -101,13 +101,15 @@ def category_links(pages: DataFrame, dialect: str) -> DataFrame:
     spec = DIALECTS[dialect]
     tag, attr_name, value = spec["menu_region"]
     area = H.region("html", tag, attr_name, value)
+    extra = [c for c in pages.columns if c not in ("page_id", "html", "url")]
     if dialect == "A":
         anchors = F.regexp_extract_all(
             area, F.lit(f"({H.start_tag_pattern('a', 'class', re.escape(spec['menu_link_class_prefix']), 'prefix')})"), 1
         )
-        rows = pages.select("page_id", F.posexplode(anchors).alias("pos0", "tag"))
+        rows = pages.select("page_id", *extra, F.posexplode(anchors).alias("pos0", "tag"))
         return rows.select(
             "page_id",
+            *extra,
             (F.col("pos0") + 1).alias("pos"),
             H.attr("tag", "title").alias("name"),
             F.concat(F.lit(spec["site"]), H.attr("tag", "href")).alias("url"),
@@ -118,9 +120,10 @@ def category_links(pages: DataFrame, dialect: str) -> DataFrame:
             F.regexp_extract_all(menu, F.lit(r"(?s)(<a\b[^>]*>.*?</a>)"), 1),
             lambda a: F.regexp_like(H.attr(H.start_tag(a, "a"), "href"), F.lit(spec["menu_href"])),
         )
-        rows = pages.select("page_id", F.posexplode(links).alias("pos0", "a"))
+        rows = pages.select("page_id", *extra, F.posexplode(links).alias("pos0", "a"))
         return rows.select(
             "page_id",
+            *extra,
             (F.col("pos0") + 1).alias("pos"),
             F.coalesce(H.text_of("a"), F.lit("")).alias("name"),
             F.concat(F.lit(spec["site"]), H.attr(H.start_tag("a", "a"), "href"), F.lit(spec["category_query"])).alias("url"),
@@ -131,9 +134,10 @@ def category_links(pages: DataFrame, dialect: str) -> DataFrame:
             area, F.lit(f"({H.start_tag_pattern('a', 'class', re.escape(spec['menu_link_class']), 'token')})"), 1
         )
         pairs = F.arrays_zip(names.alias("n"), hrefs.alias("h"))
-        rows = pages.select("page_id", F.posexplode(pairs).alias("pos0", "p"))
+        rows = pages.select("page_id", *extra, F.posexplode(pairs).alias("pos0", "p"))
         return rows.filter(F.col("p.n").isNotNull() & F.col("p.h").isNotNull()).select(
             "page_id",
+            *extra,
             (F.col("pos0") + 1).alias("pos"),
             F.coalesce(H.text_of(F.col("p.n")), F.lit("")).alias("name"),
             H.attr(F.col("p.h"), "href").alias("url"),

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
+    BooleanType,
     DoubleType,
     IntegerType,
     MapType,
@@ -21,7 +22,7 @@ from pyspark.sql.types import (
 
 from vitrine.operators import pages as P
 from vitrine.operators.dialects import DIALECTS, PRODUCTS_LIMIT
-from vitrine.operators.relational import max_or_default
+from vitrine.operators.relational import frame_from_rows, max_or_default
 from vitrine.session import PARTITION_COLUMN, checkpoint_root, layer_table
 from vitrine.sources import tables as T
 
@@ -54,6 +55,64 @@ SELLERS_SCHEMA = StructType(
 )
 
 
+# The source list of the three shops (url kinds: 0 home,
+# 1 categories page, 2 products page), as configured for the bronze run.
+DEFAULT_SOURCES = [
+    {
+        "id": 1,
+        "name": "Zoom",
+        "url": [
+            ["https://www.zoom.com.br/", "0"],
+            ["https://www.zoom.com.br/todas-categorias", "1"],
+            ["https://www.zoom.com.br/cata-pechincha", "2"],
+        ],
+        "categories": [{"Cata-Pechincha": "https://www.zoom.com.br/cata-pechincha"}],
+        "active": True,
+    },
+    {
+        "id": 2,
+        "name": "Magalu",
+        "url": [["https://www.magazineluiza.com.br/", "0"]],
+        "categories": [],
+        "active": True,
+    },
+    {
+        "id": 3,
+        "name": "MercadoLivre",
+        "url": [
+            ["https://www.magazineluiza.com.br/", "0"],
+            ["https://www.mercadolivre.com.br/mais-vendidos", "1"],
+        ],
+        "categories": [],
+        "active": True,
+    },
+]
+SOURCES_SCHEMA = StructType(
+    [
+        StructField("id", IntegerType(), False),
+        StructField("name", StringType()),
+        StructField("url", ArrayType(ArrayType(StringType()))),
+        StructField("categories", ArrayType(MapType(StringType(), StringType()))),
+        StructField("active", BooleanType()),
+    ]
+)
+
+
+def default_sources(spark: SparkSession) -> DataFrame:
+    """The configured source list as a frame."""
+    return frame_from_rows(spark, DEFAULT_SOURCES, SOURCES_SCHEMA)
+
+
+def links_from_menu_pages(menu_pages: DataFrame) -> DataFrame:
+    """Category pages ``(page_id, url, html, seller)`` -> ``(seller, pos, name, url)``,
+    each page parsed in its seller's dialect (X3-X6)."""
+    parts = [
+        P.category_links(menu_pages.filter(F.col("seller") == spec["seller"]), dialect).select("seller", "pos", "name", "url")
+        for dialect, spec in DIALECTS.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def to_schema(df: DataFrame, schema: StructType) -> DataFrame:
     """Project and cast to a fixed schema, by name."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
