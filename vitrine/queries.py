@@ -982,7 +982,7 @@ DAY1, DAY2 = "2024-04-01 06:00:00", "2024-04-02 06:00:00"
 
 
 @register(
-    "pipeline_last_version",
+    "jobs_last_version",
     f"""
 SELECT id AS ID_ORIGIN, name AS NM_PRODUCT, url AS DS_URL, img AS DS_IMG, category AS DS_CATEGORY,
        price_in_cash AS VL_CASH, price_in_installments AS VL_INSTALLMENTS, installments_num AS NR_INSTALLMENTS,
@@ -993,7 +993,7 @@ SELECT id AS ID_ORIGIN, name AS NM_PRODUCT, url AS DS_URL, img AS DS_IMG, catego
 FROM ({_mixed_cards_oracle("0")}) base
 """,
 )
-def q_pipeline_last_version(spark, sf_dir):
+def q_jobs_last_version(spark, sf_dir):
     """J8 twice (ids of day 2 continue after day 1), then J9 on day 2 with J7
     (empty silver: full load); the last version comes from day 1 (one day
     behind), with catalog ids."""
@@ -1008,7 +1008,7 @@ def q_pipeline_last_version(spark, sf_dir):
 
 
 @register(
-    "pipeline_product_ids",
+    "jobs_product_ids",
     f"""
 SELECT dt_refe_crga, count(*) AS n, min(CAST(id AS BIGINT)) AS first_id, max(CAST(id AS BIGINT)) AS last_id
 FROM (
@@ -1019,7 +1019,7 @@ FROM (
 ) GROUP BY dt_refe_crga
 """,
 )
-def q_pipeline_product_ids(spark, sf_dir):
+def q_jobs_product_ids(spark, sf_dir):
     """Product ids continue after the stored maximum across loads."""
     bronze_db = _scratch_db(spark)
     dbs = {"BRONZE": bronze_db}
@@ -1060,7 +1060,7 @@ def q_dialect_dispatch(spark, sf_dir):
 
 
 @register(
-    "pipeline_categories",
+    "jobs_categories",
     f"""
 WITH {NAV_SQL}, {SELLERS_SRC_SQL},
 fixed AS (
@@ -1082,7 +1082,7 @@ SELECT CAST(row_number() OVER (ORDER BY {ID_ORDER_SQL}) AS INTEGER) AS ID_CATEGO
 FROM flat
 """,
 )
-def q_pipeline_categories(spark, sf_dir):
+def q_jobs_categories(spark, sf_dir):
     """J8 then J9 (J7: empty silver gives a full load, J5): the category catalog
     built from the stored b_sellers table (nested array<map>, T9 overwrite)."""
     bronze_db, silver_db = _scratch_db(spark), _scratch_db(spark)
