@@ -65,13 +65,14 @@ def build_last_version(
     catalog: DataFrame | None,
     run_ts,
     ignore_delay: bool = False,
+    partitions: DataFrame | None = None,
 ) -> DataFrame:
     """Newest row per URL within the chosen load, 13 columns + catalog id, stamps.
 
     The load filter comes before the window on purpose: it is a partition
     filter, not a window key, so the result is the newest row *of that load*.
     """
-    chosen = T.read_chosen_partition(bronze_products, run_date_of(run_ts), PARTITION_COLUMN, ignore_delay)
+    chosen = T.read_chosen_partition(bronze_products, run_date_of(run_ts), PARTITION_COLUMN, ignore_delay, partitions)
     newest = latest_per_key(chosen, ["url"], product_version_order())
     version = attach_catalog_id(project_last_version(newest), catalog)
     version = version.select(*[dst for _, dst in LAST_VERSION_COLUMNS], "ID_CATALOG")
@@ -101,10 +102,11 @@ def build_categories_incremental(
     run_ts,
     ignore_delay: bool = False,
     dense: bool = False,
+    partitions: DataFrame | None = None,
     **numbering,
 ) -> DataFrame:
     """Newest row per seller in the chosen load, merged into the stored ids."""
-    chosen = T.read_chosen_partition(sellers, run_date_of(run_ts), PARTITION_COLUMN, ignore_delay)
+    chosen = T.read_chosen_partition(sellers, run_date_of(run_ts), PARTITION_COLUMN, ignore_delay, partitions)
     fresh = flatten_categories(_newest_seller_rows(chosen)).distinct()
     merged = merge_categories(existing, fresh, dense=dense, order=category_id_order(), **numbering)
     return T.with_load_stamp(merged, run_ts)
@@ -139,7 +141,7 @@ def run_silver(
     if products.columns and not products.isEmpty():
         T.save_table(spark, build_catalog(products, run_ts, id_mode), catalog_name, PARTITION_COLUMN, "overwrite")
         catalog = T.read_table(spark, catalog_name, latest_only=True, missing_ok=True, schema=CATALOG_SCHEMA)
-        version = build_last_version(products, catalog, run_ts, ignore_delay)
+        version = build_last_version(products, catalog, run_ts, ignore_delay, T.list_partitions(spark, products_name))
         T.save_table(spark, version, version_name, PARTITION_COLUMN, "overwrite")
         done["catalog"] = catalog_name
         done["last_version"] = version_name
@@ -151,7 +153,9 @@ def run_silver(
         if kind == "full":
             out = build_categories_full(sellers, run_ts)
         else:
-            out = build_categories_incremental(sellers, existing, run_ts, ignore_delay, dense)
+            out = build_categories_incremental(
+                sellers, existing, run_ts, ignore_delay, dense, T.list_partitions(spark, sellers_name)
+            )
         T.save_table(spark, out, categories_name, PARTITION_COLUMN, "overwrite")
         done["categories"] = f"{categories_name} ({kind})"
     return done

@@ -96,7 +96,9 @@ def read_table(
     if latest_only:
         parts = partition_columns(spark, name)
         if parts:
-            df = latest_partition(df, parts[0])
+            # newest value from the catalog's partition list: no file listing
+            newest = list_partitions(spark, name).agg(F.max(parts[0])).scalar()
+            df = df.filter(F.col(parts[0]) == newest)
     return df
 
 
@@ -169,9 +171,14 @@ def read_chosen_partition(
     run_date,
     part: str = PARTITION_COLUMN,
     ignore_delay: bool = False,
+    partitions: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows of the partition chosen by :func:`aim_partition_frame` (T7 + C2)."""
-    aim = aim_partition_frame(df, run_date, part, ignore_delay).scalar()
+    """Rows of the partition chosen by :func:`aim_partition_frame` (T7 + C2).
+
+    ``partitions`` (e.g. :func:`list_partitions` of the table) lets the choice
+    come from the catalog instead of a scan of the partition column.
+    """
+    aim = aim_partition_frame(partitions if partitions is not None else df, run_date, part, ignore_delay).scalar()
     return df.filter(F.col(part) == aim)
 
 
