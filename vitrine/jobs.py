@@ -36,6 +36,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     b.add_argument("--sources", help="table/path of sources; default: the configured three shops")
     b.add_argument("--run-ts", required=True)
     b.add_argument("--limit", type=int, default=25, help="cards per category page; 0 = all")
+    b.add_argument("--id-start", choices=["table", "latest_partition"], default="table",
+                   help="where the stored maximum product id is read")
     s = sub.add_parser("silver", help="build catalog, last version and categories")
     s.add_argument("--run-ts", required=True)
     s.add_argument("--ignore-delay", action="store_true")
@@ -48,7 +50,10 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     if args.run == "bronze":
         sources = _read(spark, args.sources) if args.sources else bronze.default_sources(spark)
         links = bronze.links_from_menu_pages(_read(spark, args.menu_pages))
-        return bronze.run_bronze(spark, _read(spark, args.listing_pages), sources, links, args.run_ts, args.limit or None)
+        return bronze.run_bronze(
+            spark, _read(spark, args.listing_pages), sources, links, args.run_ts, args.limit or None,
+            id_start=args.id_start,
+        )
     return silver.run_silver(spark, args.run_ts, args.ignore_delay, args.load_type, args.id_mode, args.dense)
 
 

@@ -183,13 +183,24 @@ def run_bronze(
     run_ts,
     limit: int | None = PRODUCTS_LIMIT,
     databases: dict[str, str] | None = None,
+    id_start: str = "table",
 ) -> dict[str, str]:
     """Products appended (ids continue after the stored maximum),
-    sellers' partition overwritten."""
+    sellers' partition overwritten.
+
+    ``id_start="table"`` takes the maximum id over the whole table (exact,
+    reads the id column of every partition); ``"latest_partition"`` reads
+    only the newest partition, which holds the maximum as long as loads are
+    appended in date order.
+    """
+    if id_start not in ("table", "latest_partition"):
+        raise ValueError(f"unknown id_start {id_start!r}")
     products_name = layer_table("BRONZE", "products", databases)
     sellers_name = layer_table("BRONZE", "sellers", databases)
     T.create_database(spark, products_name.split(".")[0])
-    stored = T.read_table(spark, products_name, missing_ok=True, schema=PRODUCTS_SCHEMA)
+    stored = T.read_table(
+        spark, products_name, latest_only=id_start == "latest_partition", missing_ok=True, schema=PRODUCTS_SCHEMA
+    )
     start = max_or_default(stored, "id")
     products = build_products(extract_listing_products(listing_pages, limit), start, run_ts)
     T.save_table(spark, products, products_name, PARTITION_COLUMN, "append")

@@ -1020,13 +1020,14 @@ FROM (
 """,
 )
 def q_jobs_product_ids(spark, sf_dir):
-    """Product ids continue after the stored maximum across loads."""
+    """Product ids continue after the stored maximum across loads
+    (second load: maximum read from the newest partition only)."""
     bronze_db = _scratch_db(spark)
     dbs = {"BRONZE": bronze_db}
     listing = _mixed_listing(spark, sf_dir)
     sources, links = S.sources_from_pages(read_input(spark, sf_dir, "pages"))
     bronze.run_bronze(spark, listing, sources, links, DAY1, databases=dbs)
-    bronze.run_bronze(spark, listing, sources, links, DAY2, databases=dbs)
+    bronze.run_bronze(spark, listing, sources, links, DAY2, databases=dbs, id_start="latest_partition")
     table = T.read_table(spark, f"{bronze_db}.b_products")
     return table.groupBy(PARTITION_COLUMN).agg(
         F.count(F.lit(1)).alias("n"),
