@@ -108,7 +108,9 @@ def number_rows(
     splitters = [F.from_json(F.lit(t), wrapper)["k"] for t in texts]
     ranged = keyed.withColumn(RANGE, _range_of(F.col(KEY), splitters) if splitters else F.lit(0))
 
-    within = Window.partitionBy(RANGE).orderBy(F.col(KEY))
+    # sort by the key's fields, not the struct: the sorter gets a prefix
+    # for the first field (same order as the struct comparison)
+    within = Window.partitionBy(RANGE).orderBy(*[F.col(KEY)[f"k{i}"] for i in range(len(order_cols))])
     numbered = ranged.withColumn("__nr_local", F.row_number().over(within))
     # Rows per range, counted map-side (only range ids cross the network):
     # at most len(splitters) + 1 rows, so the broadcast is bounded.
