@@ -109,3 +109,14 @@ def test_catalog_ids_stable_across_loads(spark):
     a = silver.build_catalog(df, D1).first().ID_CATALOG
     b = silver.build_catalog(df, D2).first().ID_CATALOG
     assert a == b and a.startswith("Zoom-")
+
+
+def test_dialect_b_cards_only_inside_the_list(spark):
+    from vitrine.operators.pages import split_cards
+
+    card = '<a data-testid="product-card-container" href="/p/{k}"><div data-testid="review"></div>{k}</a>'
+    html = ('<body><div data-testid="product-list"><div class="row">' + card.format(k=1) + '</div>'
+            + card.format(k=2) + '</div><div class="reco">' + card.format(k=3) + '</div></body>')
+    pages = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    got = [(r.position, r.card.endswith("2</a>")) for r in split_cards(pages, "B").collect()]
+    assert got == [(1, False), (2, True)]

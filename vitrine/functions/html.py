@@ -101,3 +101,27 @@ def region(html: Column | str, tag: str, attr_name: str, value: str) -> Column:
     pat = rf"(?s)({start_tag_pattern(tag, attr_name, value)}.*)"
     got = F.regexp_extract(_c(html), pat, 1)
     return F.when(got != "", got)
+
+
+def balanced_region(html: Column | str, tag: str, attr_name: str, value: str) -> Column:
+    """The first matching element with its content, up to its own closing tag.
+
+    Same-tag elements may nest: the page from the start tag on is split at
+    every open and close tag of ``tag`` and a running depth (``aggregate``)
+    finds the chunk that closes the element. An unclosed element runs to the
+    end of the page. NULL when there is no such element.
+    """
+    rest = region(html, tag, attr_name, value)
+    chunks = F.split(rest, rf"(?=<{tag}\b)|(?=</{tag}\s*>)")
+
+    def step(acc, chunk):
+        delta = F.when(chunk.startswith(f"</{tag}"), F.lit(-1)).when(chunk.startswith(f"<{tag}"), F.lit(1)).otherwise(F.lit(0))
+        depth = acc["depth"] + delta
+        end = F.when((acc["end"] == 0) & (depth == 0), acc["i"] + 1).otherwise(acc["end"])
+        return F.struct(depth.alias("depth"), end.alias("end"), (acc["i"] + 1).alias("i"))
+
+    init = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("end"), F.lit(0).alias("i"))
+    end = F.aggregate(chunks, init, step)["end"]
+    whole = F.array_join(chunks, "")
+    cut = F.array_join(F.slice(chunks, 1, F.greatest(end - 1, F.lit(1))), "")
+    return F.when(rest.isNull(), F.lit(None).cast("string")).when(end == 0, whole).otherwise(cut)

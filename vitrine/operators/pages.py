@@ -82,7 +82,8 @@ def categories_as_maps(links: DataFrame, keys: list[str]) -> DataFrame:
     so each group is bounded by one page."""
     ordered = F.array_sort(F.collect_list(F.struct("pos", "name", "url")))
     return links.groupBy(*keys).agg(
-        F.transform(ordered, lambda x: F.create_map(x["name"], x["url"])).alias("found"),
+        # a map key cannot be NULL: a link without a name gets ''
+        F.transform(ordered, lambda x: F.create_map(F.coalesce(x["name"], F.lit("")), x["url"])).alias("found"),
         F.count(F.lit(1)).alias("n_found"),
     )
 
@@ -236,7 +237,9 @@ def split_cards(pages: DataFrame, dialect: str, limit: int | None = PRODUCTS_LIM
         tag, attr_name, value = spec["card"]
         area = F.col("html")
         if "card_region" in spec:
-            area = H.region("html", *spec["card_region"])
+            # only cards inside the list element (nested divs balanced); cut
+            # in its own projection so its parts are computed once per page
+            pages = pages.select(*keep, H.balanced_region("html", *spec["card_region"]).alias("html"))
         cards = F.regexp_extract_all(
             area, F.lit(f"((?s){H.start_tag_pattern(tag, attr_name, re.escape(value))}.*?</{tag}>)"), 1
         )
