@@ -120,3 +120,30 @@ def test_dialect_b_cards_only_inside_the_list(spark):
     pages = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
     got = [(r.position, r.card.endswith("2</a>")) for r in split_cards(pages, "B").collect()]
     assert got == [(1, False), (2, True)]
+
+
+def test_url_only_in_older_load_in_catalog_not_last_version(spark):
+    from vitrine.plans import silver
+
+    rows = [("1", "u1", "A", 1, D1, 1.0, "2025-04-06"), ("2", "u2", "A", 2, D1, 2.0, "2025-04-06"),
+            ("3", "u1", "A", 1, D2, 3.0, "2025-04-07")]
+    df = spark.createDataFrame(rows, PRODUCT_COLS + ", dt_refe_crga string").select(
+        "*", F.lit("n").alias("name"), F.lit("Zoom").alias("seller"), F.lit(None).cast("string").alias("img"),
+        F.col("price").alias("price_in_cash"), F.lit(None).cast("double").alias("price_in_installments"),
+        F.lit(0).alias("installments_num"), F.lit(-999.0).alias("installment_value"),
+        F.lit(-999.0).alias("rating"), F.lit(0).alias("rating_users"))
+    run = dt.datetime(2025, 4, 8, 6)
+    catalog = silver.build_catalog(df, run)
+    assert sorted(r.DS_URL for r in catalog.collect()) == ["u1", "u2"]
+    version = silver.build_last_version(df, catalog, run).collect()
+    assert [(r.DS_URL, r.ID_ORIGIN, r.ID_CATALOG is not None) for r in version] == [("u1", "3", True)]
+
+
+def test_inactive_source_dropped(spark):
+    from vitrine.operators.pages import active_sources
+
+    rows = [(1, "a", [["h", "0"]], [], True), (2, "b", [["h", "0"]], [], False)]
+    df = spark.createDataFrame(rows, "id int, name string, url array<array<string>>, "
+                                     "categories array<map<string,string>>, active boolean")
+    got = [(r.name, r.n_urls, r.n_categories) for r in active_sources(df).collect()]
+    assert got == [("a", 1, 0)]
