@@ -1,8 +1,9 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Prints one JSON line: {"metric", "value" (sum of medians), "unit", "queries", "sf"}.
-Each query: one warm-up run, then the median of $BENCH_REPEATS runs; a run
-is a full collect of the result (or a count for large results).
+Each query: one warm-up run (all queries first), then the median of
+$BENCH_REPEATS runs taken round-robin over the queries; a run builds the
+query and writes its whole result to the ``noop`` sink.
 """
 
 from __future__ import annotations
@@ -64,17 +65,26 @@ def main() -> None:
     from vitrine.session import configure
 
     configure(spark)
+    names = only or HEADLINE
+
+    def run_once(name: str) -> float:
+        t0 = time.perf_counter()
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
+
+    # Every query is warmed up first, then the timed repeats go round-robin:
+    # in one JVM the code compiled for one query's hot paths changes the
+    # next query's speed, so all queries are timed in the same mixed steady
+    # state instead of right after their own warm-up.
+    warm = {name: run_once(name) for name in names}
+    runs: dict[str, list[float]] = {name: [] for name in names}
+    for _ in range(repeats):
+        for name in names:
+            runs[name].append(run_once(name))
     times: dict[str, float] = {}
-    for name in only or HEADLINE:
-        fn = QUERIES[name]
-        runs = []
-        for i in range(repeats + 1):
-            t0 = time.perf_counter()
-            df = fn(spark, sf_dir)
-            df.write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(runs[1:]), 3)
-        print(f"# {name}: {times[name]}s (warm-up {runs[0]:.2f}s)", file=sys.stderr, flush=True)
+    for name in names:
+        times[name] = round(statistics.median(runs[name]), 3)
+        print(f"# {name}: {times[name]}s (warm-up {warm[name]:.2f}s)", file=sys.stderr, flush=True)
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "sum_of_median_query_seconds",
