@@ -41,3 +41,15 @@ def test_missing_null_mode_dialects_b_and_c(spark):
         assert ref.rating == (None if dialect == "B" else -999.0) and ref.rating_users == 0
         assert (nul.installments_num, nul.installment_value, nul.rating, nul.rating_users) == (None, None, None, None)
         assert ref.price_in_installments is None and nul.price_in_installments is None
+
+
+def test_link_without_name_gets_empty_key(spark):
+    from vitrine.operators.pages import categories_as_maps, category_links
+
+    menu = ('<div data-testid="header::menu-region"><a class="MenuRegion_zmenu__link--more__x" href="/a">x</a>'
+            '<a class="MenuRegion_zmenu__link--more__y" title="Casa" href="/b">y</a></div>')
+    pages = spark.createDataFrame([(1, "u", menu, "Zoom")], "page_id long, url string, html string, seller string")
+    links = category_links(pages, "A")
+    assert [(r.pos, r.name) for r in links.collect()] == [(1, None), (2, "Casa")]
+    found = categories_as_maps(links, ["seller"]).first().found
+    assert found == [{"": "https://www.zoom.com.br/a"}, {"Casa": "https://www.zoom.com.br/b"}]
