@@ -54,3 +54,19 @@ def op10_byte_bpe(spark, sf_dir):
     return encode(
         table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
         outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+@register("op7_fingerprints")
+def op7_fingerprints(spark, sf_dir):
+    """Homomorphic fingerprints of all texts and of their edited texts."""
+    from vitrine.llm.fingerprints import edited_documents
+
+    return edited_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op8_secrets")
+def op8_secrets(spark, sf_dir):
+    """Secrets of every document, weak ones only next to their complements."""
+    from vitrine.llm import secrets
+
+    return secrets.counts(secrets.scan(table(spark, sf_dir, "documents")))
