@@ -70,3 +70,34 @@ def op8_secrets(spark, sf_dir):
     from vitrine.llm import secrets
 
     return secrets.counts(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+@register(
+    "op1_near_vectors",
+    """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+link AS (
+  SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE len(a.e) = len(b.e)
+    AND list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e) * list_dot_product(b.e, b.e)) >= 0.93
+),
+reach(u, w) AS (
+  SELECT u, w FROM link UNION SELECT r.u, l.w FROM reach r JOIN link l ON r.w = l.u
+),
+least AS (SELECT u, min(w) AS m FROM reach GROUP BY u),
+num AS (SELECT u, count(*) AS n FROM link GROUP BY u)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, least(e.vec_id, coalesce(m, e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce(m, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN num ON num.u = e.vec_id LEFT JOIN least ON least.u = e.vec_id
+""",
+)
+def op1_near_vectors(spark, sf_dir):
+    """Near-copies among all embeddings of a label, by p-stable hashing and exact cosines."""
+    from vitrine.llm.near_vectors import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))
