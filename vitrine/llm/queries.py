@@ -101,3 +101,16 @@ def op1_near_vectors(spark, sf_dir):
     from vitrine.llm.near_vectors import near_vectors
 
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@register("op5_language")
+def op5_language(spark, sf_dir):
+    """Language of every document, learned from three quarters of the labelled ones."""
+    from pyspark.sql import functions as F
+
+    from vitrine.llm import language
+
+    docs = table(spark, sf_dir, "documents")
+    model = language.learn(docs, ~language.held_out())
+    return language.identify(docs, model).select(
+        "doc_id", language.held_out().alias("held_out"), "lang_pred", F.col("score"), "cross_entropy", "rejected")
