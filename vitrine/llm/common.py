@@ -48,3 +48,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def commit_file(store, part: str, target: str) -> None:
+    """Give a complete file its name; a file that an earlier attempt left there is the same."""
+    from pyarrow import fs
+
+    if store.get_file_info(target).type != fs.FileType.NotFound:
+        store.delete_file(target)
+    store.move(part, target)

@@ -114,3 +114,27 @@ def op5_language(spark, sf_dir):
     model = language.learn(docs, ~language.held_out())
     return language.identify(docs, model).select(
         "doc_id", language.held_out().alias("held_out"), "lang_pred", F.col("score"), "cross_entropy", "rejected")
+
+
+@register(
+    "op3_warc",
+    """
+WITH h AS (SELECT page_id, coalesce(html, '') AS p FROM pages),
+d AS (
+  SELECT page_id, CAST(strlen(p) AS BIGINT) AS payload_bytes, sha1(p) AS x, max(page_id) OVER (PARTITION BY sha1(p)) AS latest FROM h
+),
+v AS (SELECT *, list_transform(range(8), lambda g: CAST('0x' || substr(x, CAST(5 * g + 1 AS INT), 5) AS BIGINT)) AS five FROM d)
+SELECT page_id, payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                CAST(1 + (five[CAST(i // 4 + 1 AS INT)] // CAST(pow(32, 3 - i % 4) AS BIGINT)) % 32 AS INT), 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = latest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> latest THEN latest END AS refers_to
+FROM v
+""",
+)
+def op3_warc(spark, sf_dir):
+    """A WARC record for every page, read back from the archives."""
+    from vitrine.llm.warc import archive_round_trip
+
+    return archive_round_trip(table(spark, sf_dir, "pages"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine.llm import bpe
-from vitrine.llm.common import scratch_dir
+from vitrine.llm.common import commit_file, scratch_dir
 
 BLOCK_IDS = 1 << 22
 GROUP_BLOCKS = 1024
@@ -69,7 +69,7 @@ def write_token_files(
                     yield pa.RecordBatch.from_arrays(
                         [piece.column(0), pa.array([name] * len(counts), pa.string()), numbers],
                         names=["id", "file", "doc_no"])
-        store.move(part, f"{root}/{name}")
+        commit_file(store, part, f"{root}/{name}")
 
     return rows.mapInArrow(run, f"id {kind}, file string, doc_no bigint").withColumnRenamed("id", id_col)
 
