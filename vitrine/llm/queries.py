@@ -138,3 +138,45 @@ def op3_warc(spark, sf_dir):
     from vitrine.llm.warc import archive_round_trip
 
     return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+@register(
+    "op9_ngram_join",
+    r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+         lambda x: x <> '') AS words FROM documents
+),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i : i + 3], ' '))) END AS shingles
+  FROM w
+),
+sets AS (SELECT min(doc_id) AS rep, list_sort(shingles) AS sh FROM s WHERE len(shingles) > 0 GROUP BY list_sort(shingles)),
+tok AS (SELECT rep, unnest(sh) AS t FROM sets),
+df AS (SELECT t, count(*) AS f FROM tok GROUP BY t HAVING count(*) > 1),
+ranked AS (
+  SELECT tok.rep, tok.t, len(sets.sh) AS n, coalesce(f, 1) AS f,
+         row_number() OVER (PARTITION BY tok.rep ORDER BY coalesce(f, 1), tok.t) AS k
+  FROM tok JOIN sets USING (rep) LEFT JOIN df USING (t)
+),
+pre AS (SELECT rep, t FROM ranked WHERE k <= n - ((85 * n + 99) // 100) + 1 AND f > 1),
+cand AS (SELECT DISTINCT a.rep AS u, b.rep AS v FROM pre a JOIN pre b ON a.t = b.t AND a.rep < b.rep),
+link AS (
+  SELECT u, v FROM cand JOIN sets a ON a.rep = u JOIN sets b ON b.rep = v
+  WHERE 100 * len(list_intersect(a.sh, b.sh)) >= 85 * (len(a.sh) + len(b.sh) - len(list_intersect(a.sh, b.sh)))
+),
+both_ways AS (SELECT u, v FROM link UNION SELECT v, u FROM link),
+reach(u, v) AS (SELECT u, v FROM both_ways UNION SELECT r.u, b.v FROM reach r JOIN both_ways b ON r.v = b.u),
+least AS (SELECT u, min(v) AS m FROM reach GROUP BY u)
+SELECT s.doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles,
+       coalesce(least(rep, coalesce(m, rep)), s.doc_id) AS component_id
+FROM s LEFT JOIN sets ON len(shingles) > 0 AND list_sort(s.shingles) = sets.sh LEFT JOIN least ON least.u = rep
+""",
+)
+def op9_ngram_join(spark, sf_dir):
+    """Documents whose sets of four-word shingles have a Jaccard similarity of 0.85 or more."""
+    from vitrine.llm.ngram_join import ngram_join
+
+    return ngram_join(table(spark, sf_dir, "documents"))
