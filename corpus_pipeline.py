@@ -1,8 +1,86 @@
-"""The corpus pipeline: four stages over the documents table."""
+"""The corpus pipeline: language identification, near-duplicates, secrets, packing.
 
-STAGES = []
-ORACLE_SQL = None
+Each stage reads all that its predecessor kept, as Parquet, and its decisions
+take effect: texts that the language models reject go, one document of each
+group of near-duplicates stays, secrets are masked in the texts, and the
+last stage packs what is left into sequences.
+"""
 
+from __future__ import annotations
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vitrine.llm import language, secrets
+from vitrine.llm.common import scratch_dir, table
+from vitrine.llm.ngram_join import ngram_join
+from vitrine.llm.packing import pack
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a language model accepts, with the language it names.
+
+    Texts without a letter, and texts that no learned language explains, go.
+    """
+    rows = docs.select(*COLUMNS).withColumn("row", F.struct(*COLUMNS))
+    model = language.learn(docs, ~language.held_out())
+    found = language.identify(rows.select("row", "text"), model, id_col="row")
+    return found.filter(~F.col("rejected")).select(
+        "row.doc_id", "row.text", F.col("lang_pred").alias("lang"), "row.source", "row.n_chars")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the smallest id.
+
+    Of several rows with this id only one stays. Documents without words or
+    without an id belong to no group and stay.
+    """
+    groups = ngram_join(docs)
+    gone = groups.filter((F.col("n_shingles") > 0) & (F.col("doc_id") != F.col("component_id"))).select("doc_id").distinct()
+    kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
+    words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    grouped = F.coalesce(words, F.lit(False)) & F.col("doc_id").isNotNull()
+    # a repeated id: a group keeps one row
+    tie = F.when(grouped, F.lit(0)).otherwise(F.monotonically_increasing_id())
+    return kept.withColumn("tie", tie).dropDuplicates(["doc_id", "tie"]).select(*COLUMNS)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret span replaced by a mask."""
+    scanned = secrets.scan(docs).filter(F.size("spans") > 0).dropDuplicates(["doc_id", "digest"])
+    rows = docs.select(*COLUMNS).withColumn("digest", F.xxhash64(F.coalesce("text", F.lit("")))).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.digest") == F.col("s.digest"))
+    joined = rows.join(scanned.alias("s"), same, "left")
+    text = F.when(F.col("s.spans").isNull(), F.col("d.text")).otherwise(secrets.redact(F.col("d.text"), F.col("s.spans")))
+    return joined.select(
+        "d.doc_id", text.alias("text"), "d.lang", "d.source",
+        F.when(F.col("s.spans").isNull(), F.col("d.n_chars")).otherwise(F.length(text)).cast("bigint").alias("n_chars"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of at most 2048 tokens."""
+    import public_tokenizers
+
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("language", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("secrets", mask_secrets),
+    ("packing", pack_sequences),
+]
+ORACLE_SQL = None  # the models and the tokenizer have no SQL form
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents table, each written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    folder = scratch_dir(spark, "pipeline")
+    for name, stage in STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        out.write.parquet(f"{folder}/{name}")
+        docs = spark.read.schema(out.schema).parquet(f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

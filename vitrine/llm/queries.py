@@ -180,3 +180,17 @@ def op9_ngram_join(spark, sf_dir):
     from vitrine.llm.ngram_join import ngram_join
 
     return ngram_join(table(spark, sf_dir, "documents"))
+
+
+def _license_oracle() -> str:
+    from vitrine.llm.licenses import oracle_sql
+
+    return oracle_sql()
+
+
+@register("op4_licenses", _license_oracle())
+def op4_licenses(spark, sf_dir):
+    """Licence rules that match the sentences of each document."""
+    from vitrine.llm.licenses import scan
+
+    return scan(table(spark, sf_dir, "documents"))
