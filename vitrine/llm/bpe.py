@@ -80,8 +80,20 @@ def take_ranges(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) ->
     return values[np.repeat(starts - before, lengths) + np.arange(total)]
 
 
+def remembered(memo: dict[str, bytes], wanted: list[str] | set[str]) -> list[str]:
+    """Those of ``wanted`` that the memo lacks. A memo that would grow beyond its bound
+    forgets what this batch doesn't use."""
+    fresh = [x for x in wanted if x not in memo]
+    if len(memo) + len(fresh) > MEMO_ENTRIES:
+        used = {x: memo[x] for x in wanted if x in memo}
+        memo.clear()
+        memo.update(used)
+    return fresh
+
+
 class PieceEncoder:
-    """ids of single pieces by a ``tokenizers`` model, remembered per worker."""
+    """ids (as uint32 bytes) of chunks of text; a chunk is a run of pieces, and each piece is
+    encoded alone by a ``tokenizers`` model. Both are remembered per worker."""
 
     def __init__(self, spec: str, key: str):
         cache = worker_cache()
@@ -90,29 +102,63 @@ class PieceEncoder:
             from tokenizers import Tokenizer
 
             cache["model", key] = Tokenizer.from_str(spec)
-        self.model = cache["model", key]
-        self.memo: dict[str, bytes] = cache.setdefault(("memo", key), {})
-
-    def encode(self, lists: list[list[str]]) -> dict[str, bytes]:
-        """The memo (ids as uint32 bytes), with every piece of ``lists`` in it."""
-        memo = self.memo
-        pieces = set(chain.from_iterable(lists))
-        fresh = list(pieces.difference(memo))
-        if len(memo) + len(fresh) > MEMO_ENTRIES:
-            memo.clear()
-            fresh = list(pieces)
-        for i in range(0, len(fresh), 10_000):
-            part = fresh[i : i + 10_000]
-            done = self.model.encode_batch_fast([to_byte_chars(p) for p in part], add_special_tokens=False)
-            memo.update((p, array("I", e.ids).tobytes()) for p, e in zip(part, done, strict=True))
-        return memo
+            cache["ends", key] = word_ends(spec)
+        self.model, self.ends = cache["model", key], cache["ends", key]
+        self.pieces: dict[str, bytes] = cache.setdefault(("pieces", key), {})
+        self.chunks: dict[str, bytes] = cache.setdefault(("chunks", key), {})
+
+    def encode(self, chunks: list[str], cut) -> list[bytes]:
+        """ids of each of the distinct ``chunks``; ``cut`` gives the pieces of one."""
+        known, memo = self.chunks, self.pieces
+        fresh = remembered(known, chunks)
+        split = [cut(c) for c in fresh]
+        new = remembered(memo, set(chain.from_iterable(split)))
+        for i in range(0, len(new), 10_000):
+            part = new[i : i + 10_000]
+            memo.update(zip(part, self.encode_pieces([to_byte_chars(p) for p in part]), strict=True))
+        known.update(
+            (c, memo[ps[0]] if len(ps) == 1 else b"".join([memo[p] for p in ps]))
+            for c, ps in zip(fresh, split, strict=True))
+        return [known[c] for c in chunks]
+
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """ids of pieces in byte characters. Where word ends are marked, many pieces
+        go as one text with blanks between, and the marks part their ids again."""
+        if self.ends is not None:
+            found = self.model.encode_batch_fast(
+                [" ".join(pieces[i : i + 1000]) for i in range(0, len(pieces), 1000)], add_special_tokens=False)
+            ids = np.array(list(chain.from_iterable(e.ids for e in found)), dtype="<u4")
+            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(stops) == len(pieces):
+                raw = ids.tobytes()
+                return [raw[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
+        done = self.model.encode_batch_fast(pieces, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in done]
+
+    def run(self, pieces: list[str]) -> bytes:
+        """ids of a run of pieces, each of which is a chunk of its own."""
+        distinct = list(dict.fromkeys(pieces))
+        own = dict(zip(distinct, self.encode(distinct, lambda p: [p]), strict=True))
+        return b"".join([own[p] for p in pieces])
+
+
+def word_ends(spec: str) -> np.ndarray | None:
+    """For each id: does its token end a word? None if the vocabulary marks no word ends."""
+    model = json.loads(spec)["model"]
+    suffix = model["end_of_word_suffix"]
+    if not suffix:
+        return None
+    flags = np.zeros(max(model["vocab"].values()) + 1, dtype=bool)
+    flags[[i for token, i in model["vocab"].items() if token.endswith(suffix)]] = True
+    return flags
 
 
 def word_spec(path: str) -> str:
-    """The vocabulary of words with word ends, as a model over byte characters only."""
+    """The vocabulary of words with word ends, as a model over byte characters between blanks."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    return json.dumps({**spec, "normalizer": None, "pre_tokenizer": None, "post_processor": None, "added_tokens": []})
+    plain = {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "added_tokens": []}
+    return json.dumps({**spec, **plain})
 
 
 # Fixed value: the split pattern of the word vocabulary.
@@ -148,9 +194,7 @@ class WordEncoder:
         counts = np.asarray(pc.list_value_length(lists), dtype=np.int64)
         coded = lists.flatten().dictionary_encode()
         codes = np.asarray(coded.indices, dtype=np.int64)
-        split = [self.chunk_pieces(c) for c in coded.dictionary.to_pylist()]
-        memo = self.pieces.encode(split)
-        parts = [memo[ps[0]] if len(ps) == 1 else b"".join([memo[p] for p in ps]) for ps in split]
+        parts = self.pieces.encode(coded.dictionary.to_pylist(), self.chunk_pieces)
         sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
         flat = np.frombuffer(b"".join(parts), dtype="<u4")
         starts = np.cumsum(sizes) - sizes
@@ -237,11 +281,9 @@ class ByteEncoder:
             keep = ~np.repeat(slow, counts)
             keys = keys[keep]
         used, keys = np.unique(keys, return_inverse=True)
-        split = [self.find((" " if k & 1 else "") + chunks[k >> 1]) for k in used.tolist()]
-        whole = [self.find(texts[int(i)].as_py()) for i in slow_rows]
-        split += whole
-        memo = self.pieces.encode(split)
-        parts = [memo[ps[0]] if len(ps) == 1 else b"".join([memo[p] for p in ps]) for ps in split]
+        parts = self.pieces.encode([(" " if k & 1 else "") + chunks[k >> 1] for k in used.tolist()], self.find)
+        for i in slow_rows:  # as a run of its white-space chunks and the pieces between
+            parts.append(self.pieces.run(self.find(texts[int(i)].as_py())))
         sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
         flat = np.frombuffer(b"".join(parts), dtype="<u4")
         starts = np.cumsum(sizes) - sizes

@@ -211,7 +211,7 @@ def pack(
         id_type = pa.int64()
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for a, b in bpe.slices(batch.column(1), 4 << 20):
+            for a, b in bpe.slices(batch.column(1), 16 << 20):
                 part = batch.slice(a, b - a)
                 packer.add(part.column(0).to_pylist(), *append_end(*encoder.encode(part.column(1)), end_id))
                 if len(packer.ids) >= SEGMENT and (found := packer.flush(last=False)):

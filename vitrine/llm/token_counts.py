@@ -56,7 +56,7 @@ def write_token_files(
         encoder, number = bpe.WordEncoder(vocabulary), 0
         with store.open_output_stream(part) as out:
             for batch in batches:
-                for a, b in bpe.slices(batch.column(1), 4 << 20):
+                for a, b in bpe.slices(batch.column(1), 16 << 20):
                     piece = batch.slice(a, b - a)
                     ids, counts = encoder.encode(piece.column(1))
                     flat = np.full(len(ids) + len(counts), separator, dtype="<u2")
