@@ -9,7 +9,7 @@ after chunk out of it and carries the digest along.
 
 ``write_archives`` writes one archive per task (a new one after ``ARCHIVE_BYTES``) into
 a shared folder; an archive gets its name only when it is complete, and a
-repeated task writes the same bytes again. Each record is a ``response`` with
+repeated task writes the same bytes again. Each record is a gzip member: a ``response`` with
 an HTTP head and the payload, or a ``revisit`` with the head alone that
 refers to the response with the same payload digest.
 
@@ -23,7 +23,10 @@ repeated rows are records of their own; further columns are not read.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import io
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,6 +38,7 @@ from vitrine.llm.common import commit_file, scratch_dir, stored
 
 CHUNK = 1 << 16
 ARCHIVE_BYTES = 1 << 28
+LEVEL = 3
 CHUNK_SCHEMA = "chunk_no bigint, chunk binary, size bigint, digest string, last boolean"
 
 
@@ -167,15 +171,19 @@ def write_archives(rows: DataFrame, folder: str) -> DataFrame:
             keys, urls, payloads, sizes, digests, kinds, refers = (batch.column(i) for i in range(7))
             for i in range(batch.num_rows):
                 if out is None:
-                    name = f"part-{task.partitionId():06d}-{number:04d}.warc"
+                    name = f"part-{task.partitionId():06d}-{number:04d}.warc.gz"
                     part = f"{root}/.{name}.{task.taskAttemptId()}"
                     out, records, number = store.open_output_stream(part), 0, number + 1
                 kind = kinds[i].as_py()
-                out.write(record_head(keys[i].as_py(), urls[i].as_py(), kind, sizes[i].as_py(), digests[i].as_py(), refers[i].as_py()))
+                member = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)  # each record is a gzip member of its own
+                out.write(member.compress(record_head(
+                    keys[i].as_py(), urls[i].as_py(), kind, sizes[i].as_py(), digests[i].as_py(), refers[i].as_py())))
                 if kind == "response":
-                    for _, piece, _, _, _ in chunks_of(reader_of(payloads[i].as_buffer())):
-                        out.write(piece)
-                out.write(b"\r\n\r\n")
+                    read = reader_of(payloads[i].as_buffer())
+                    while piece := read(CHUNK):
+                        out.write(member.compress(piece))
+                out.write(member.compress(b"\r\n\r\n"))
+                out.write(member.flush())
                 records += 1
                 if out.tell() >= ARCHIVE_BYTES:
                     close()
@@ -218,8 +226,6 @@ def read_archives(archives: DataFrame, folder: str, id_type: str = "bigint", wit
     types = [pa.string()] * 4 + [pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import io
-
         from pyarrow import fs
 
         store, root = fs.FileSystem.from_uri(folder)
@@ -235,7 +241,7 @@ def read_archives(archives: DataFrame, folder: str, id_type: str = "bigint", wit
         bare = lambda x: x.removeprefix("<urn:page:").removesuffix(">") if x else None
         for batch in batches:
             for archive in batch.column(0).to_pylist():
-                with io.BufferedReader(store.open_input_stream(f"{root}/{archive}"), 1 << 18) as stream:
+                with store.open_input_stream(f"{root}/{archive}") as raw, io.BufferedReader(gzip.GzipFile(fileobj=raw), 1 << 18) as stream:
                     while (head := read_heads(stream)) is not None:
                         http = read_heads(stream)
                         size = int(http["content-length"])
