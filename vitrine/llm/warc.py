@@ -173,7 +173,7 @@ def write_archives(rows: DataFrame, folder: str) -> DataFrame:
                 if out is None:
                     name = f"part-{task.partitionId():06d}-{number:04d}.warc.gz"
                     part = f"{root}/.{name}.{task.taskAttemptId()}"
-                    out, records, number = store.open_output_stream(part), 0, number + 1
+                    out, records, number = store.open_output_stream(part, compression=None), 0, number + 1
                 kind = kinds[i].as_py()
                 member = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)  # each record is a gzip member of its own
                 out.write(member.compress(record_head(
@@ -241,7 +241,7 @@ def read_archives(archives: DataFrame, folder: str, id_type: str = "bigint", wit
         bare = lambda x: x.removeprefix("<urn:page:").removesuffix(">") if x else None
         for batch in batches:
             for archive in batch.column(0).to_pylist():
-                with store.open_input_stream(f"{root}/{archive}") as raw, io.BufferedReader(gzip.GzipFile(fileobj=raw), 1 << 18) as stream:
+                with store.open_input_stream(f"{root}/{archive}", compression=None) as raw, io.BufferedReader(gzip.GzipFile(fileobj=raw), 1 << 18) as stream:
                     while (head := read_heads(stream)) is not None:
                         http = read_heads(stream)
                         size = int(http["content-length"])
