@@ -27,8 +27,8 @@ import pyarrow.compute as pc
 
 from vitrine.llm.common import worker_cache
 
-MEMO_ENTRIES = 400_000
-SLICE_BYTES = 24 << 20
+MEMO_ENTRIES = 150_000
+SLICE_BYTES = 8 << 20
 
 
 def byte_table() -> list[str]:
