@@ -107,14 +107,14 @@ def fingerprints(df: DataFrame, keys: list[str], text_col: str) -> DataFrame:
     """``keys`` and ``lanes`` of each group's text (one text a key): no shuffle if
     ``df`` is already partitioned by a part of ``keys``."""
     words = rf"(?:[^ ]+ *){{1,{BLOCK_WORDS}}}"
-    paragraphs = df.select(*keys, F.explode(F.split(F.col(text_col), "\n", -1)).alias("paragraph"))
+    paragraphs = df.select(*keys, F.explode(F.split(F.col(text_col), "\n", -1)).alias("_paragraph"))
     blocks = paragraphs.select(
-        *keys, "paragraph",
-        F.posexplode_outer(F.regexp_extract_all("paragraph", F.lit(words), 0)).alias("k", "block"))
+        *keys, "_paragraph",
+        F.posexplode_outer(F.regexp_extract_all("_paragraph", F.lit(words), 0)).alias("_at", "_block"))
     ready = blocks.select(
-        *keys, "paragraph", (F.coalesce("k", F.lit(0)) == 0).alias("first"),
-        F.coalesce("block", F.lit("")).alias("block"))
-    summed = ready.groupBy(*keys).agg(*[v.alias(k) for k, v in _lane_sums("paragraph", "block", "first").items()])
+        *keys, "_paragraph", (F.coalesce("_at", F.lit(0)) == 0).alias("_first"),
+        F.coalesce("_block", F.lit("")).alias("_block"))
+    summed = ready.groupBy(*keys).agg(*[v.alias(k) for k, v in _lane_sums("_paragraph", "_block", "_first").items()])
     return summed.select(*keys, _lanes().alias("lanes"))
 
 

@@ -83,9 +83,10 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     for word in GATE:
         gate = gate | F.lower(F.col("text")).contains(word)
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(gate)
+    rows = rows.select(F.monotonically_increasing_id().alias("row"), "id", "text")  # numbered before the cut
     cut = F.split(F.regexp_replace("text", r"([.!?;])[ \t\r\n]+", "$1\n"), "\n+")
     numbered = rows.select(
-        F.monotonically_increasing_id().alias("row"), "id", F.posexplode(F.filter(cut, lambda s: s.rlike("[A-Za-z0-9]"))))
+        "row", "id", F.posexplode(F.filter(cut, lambda s: s.rlike("[A-Za-z0-9]"))))
     sentences = numbered.select("row", "id", (F.col("pos") + 1).alias("place"), normalised(F.col("col")).alias("sentence"))
     found = sentences.join(F.broadcast(known_sentences(spark)), "sentence")  # a fixed table of a few rows
     # only a document's known sentences come together

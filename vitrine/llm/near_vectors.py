@@ -36,7 +36,7 @@ from vitrine.llm.components import connected_components
 
 THRESHOLD = 0.93
 WIDTH = 2.0
-MISS = 0.01
+MISS = 0.002
 BLOCK = 512
 SEED = 20_240
 
