@@ -57,3 +57,14 @@ def test_bronze_then_silver_jobs(spark):
     finally:
         T.drop_database(spark, "b_prod_prices")
         T.drop_database(spark, "s_prod_prices")
+
+
+def test_pages_of_inactive_sources_and_of_sources_without_categories_are_left_out(spark):
+    from vitrine.plans import bronze
+
+    pages = spark.createDataFrame([("Zoom", "u1"), ("Magalu", "u2"), ("MercadoLivre", "u3")], "seller string, url string")
+    rows = [{**s, "active": s["name"] != "Zoom"} for s in bronze.DEFAULT_SOURCES]
+    sources = spark.createDataFrame(rows, bronze.SOURCES_SCHEMA)
+    links = spark.createDataFrame([("Magalu", 1, "c", "x"), ("Zoom", 1, "c", "y")], "seller string, pos int, name string, url string")
+    sellers = bronze.build_sellers(sources, links, "2024-04-01 06:00:00")
+    assert [r["seller"] for r in bronze.visited_pages(pages, sellers).collect()] == ["Magalu"]

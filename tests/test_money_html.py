@@ -64,5 +64,44 @@ def test_html_helpers(spark):
         H.attr(H.start_tag("card", "img"), "src").alias("img"),
         H.inner("card", "p", "data-testid", "missing").alias("none"),
     ).first()
-    assert row.name == "Caf&eacute; & Cia"
+    assert row.name == "Café & Cia"
     assert row.href == "/p/1" and row.img == "x.jpg" and row.none is None
+
+
+def test_nested_elements_and_references(spark):
+    from pyspark.sql import functions as F
+
+    from vitrine.functions import html as H
+
+    long = "x" * 50_000
+    rows = [
+        (1, '<p><span class="a b"><span>10x <span>de <i>12</i></span></span> fim</span> rest</p>'),
+        (2, f'<span class="a">{long}<span>{long}</span></span><span class="a">no</span>'),
+        (3, '<div><span class="a">open'),
+        (4, None),
+    ]
+    df = spark.createDataFrame(rows, "k int, h string")
+    got = {r["k"]: r["t"] for r in df.select("k", H.text_of(H.nested_inner("h", "span", "class", "a", "token")).alias("t")).collect()}
+    assert got == {1: "10x de 12 fim", 2: long + long, 3: "open", 4: None}
+    text = spark.createDataFrame(
+        [("caf&eacute;&nbsp;&#x27;a&#34; &amp;lt; R&D &unknown; &#128512;&#0; &apos;&lt;b&gt;",)], "t string")
+    assert text.select(H.unescape("t")).first()[0] == "café 'a\" &lt; R&D &unknown; \U0001f600� '<b>"
+
+
+def test_category_ids_stay_unique_with_two_urls(spark):
+    from vitrine.operators.relational import merge_categories
+
+    ts = "2024-01-01 00:00:00"
+    schema = "DS_CATEGORY string, NM_SELLER string, DS_URL string, DH_ORIGIN_EXEC string"
+    new = spark.createDataFrame([("c", "s", "u1", ts), ("c", "s", "u2", ts), ("d", "s", None, ts)], schema)
+    old = spark.createDataFrame([], "ID_CATEGORY int, " + schema)
+    seen = None
+    for _ in range(3):
+        old = spark.createDataFrame(merge_categories(old, new, dense=True).collect(), "ID_CATEGORY int, " + schema)
+        rows = sorted((r["DS_CATEGORY"], r["DS_URL"] or "", r["ID_CATEGORY"]) for r in old.collect())
+        assert len(rows) == 3 and len({r[2] for r in rows}) == 3 and (seen is None or rows == seen)
+        seen = rows
+    other = spark.createDataFrame([("c", "s", "u2", ts), ("c", "s", "u9", ts)], schema)
+    rows = {r["DS_URL"]: r["ID_CATEGORY"] for r in merge_categories(old, other, dense=True).collect()}
+    kept = {r[1]: r[2] for r in seen}
+    assert rows == {None: kept[""], "u2": kept["u2"], "u9": kept["u1"]}

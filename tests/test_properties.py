@@ -20,7 +20,7 @@ keys = st.lists(st.tuples(st.sampled_from(["a", "b", None, "c"]), st.integers(-5
 @given(keys, st.integers(0, 1000))
 def test_number_rows_matches_plain_window(spark, rows, start):
     df = spark.createDataFrame(rows, "k string, v int").dropDuplicates()
-    got = number_rows(df, ["k", "v"], start, max_splitters=7, oversample=2)
+    got = number_rows(df, ["k", "v"], start)
     want = plain_number_rows(df, ["k", "v"], start)
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from vitrine.operators.latest import latest_per_key
-from vitrine.operators.numbering import KEY, RANGE, _range_of, choose_splitters
+from vitrine.operators.numbering import PLACE, RANGE_BITS, ranged_rows
 
 
 def test_numbering_ranges_split_a_hot_leading_key(spark):
@@ -12,14 +12,17 @@ def test_numbering_ranges_split_a_hot_leading_key(spark):
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 997).cast("string"))).alias("k"),
         F.col("id"),
     )
-    keyed = df.withColumn(KEY, F.struct(F.col("k").alias("k0"), F.col("id").alias("k1")))
-    texts = choose_splitters(keyed.select(KEY), max_splitters=50, oversample=20)
-    wrapper = f"struct<k:{keyed.schema[KEY].dataType.simpleString()}>"
-    splitters = [F.from_json(F.lit(t), wrapper)["k"] for t in texts]
-    sizes = [r[1] for r in keyed.select(_range_of(F.col(KEY), splitters).alias(RANGE)).groupBy(RANGE).count().collect()]
-    assert len(sizes) > 40
+    place = F.shiftrightunsigned(PLACE, RANGE_BITS)
+    sizes = [r[1] for r in ranged_rows(df, ["k", "id"]).groupBy(place).count().collect()]
+    assert len(sizes) == 8  # as many as there are shuffle partitions
     # no range holds more than a few times its fair share; the hot value alone is 20,000 rows
-    assert max(sizes) < 4 * 60000 / len(sizes)
+    assert max(sizes) < 2 * 60000 / len(sizes)
+
+
+def test_numbering_ranges_split_copies_of_few_keys(spark):
+    df = spark.range(60000).select((F.col("id") % 2).alias("k"), F.col("id"))
+    sizes = [r[1] for r in ranged_rows(df, ["k"]).groupBy(F.shiftrightunsigned(PLACE, RANGE_BITS)).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 60000 / len(sizes)
 
 
 def test_newest_row_has_partial_limit_before_shuffle(spark):

@@ -6,11 +6,14 @@ codegen; nothing here leaves the JVM.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The five entities the text helper decodes, '&amp;' last.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+# The named character references of HTML 4 and the apostrophe, from the standard library.
+NAMED = {**{name: chr(code) for name, code in name2codepoint.items()}, "apos": "'"}
+REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
 def _c(c: Column | str) -> Column:
@@ -18,10 +21,24 @@ def _c(c: Column | str) -> Column:
 
 
 def unescape(c: Column | str) -> Column:
-    out = _c(c)
-    for entity, char in ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+    """Character references, named or numeric, as characters; unknown ones stay as they are."""
+    # one literal, folded to a map once
+    names = F.str_to_map(F.lit(" ".join(f"{k}={v}" for k, v in NAMED.items())), F.lit(" "), F.lit("="))
+
+    def char(code: Column) -> Column:
+        ok = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        return F.when(ok, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+
+    def piece(part: Column, i: Column) -> Column:
+        ref = F.regexp_extract(part, REFERENCE, 1)
+        tail = F.substring(part, F.length(ref) + 2, F.length(part))
+        decimal = char(F.conv(F.substring(ref, F.lit(2), F.length(ref)), 10, 10).cast("bigint"))
+        hexa = char(F.conv(F.substring(ref, F.lit(3), F.length(ref)), 16, 10).cast("bigint"))
+        found = F.when(ref.rlike("^#[xX]"), hexa).when(ref.startswith("#"), decimal).otherwise(F.try_element_at(names, ref))
+        return F.when(i == 0, part).when((ref != "") & found.isNotNull(), F.concat(found, tail)).otherwise(F.concat(F.lit("&"), part))
+
+    text = _c(c)
+    return F.when(text.contains("&"), F.array_join(F.transform(F.split(text, "&", -1), piece), "")).otherwise(text)
 
 
 def strip_tags(c: Column | str) -> Column:
@@ -68,11 +85,11 @@ def inner(html: Column | str, tag: str, attr: str | None = None, value: str | No
 
 
 def nested_inner(html: Column | str, tag: str, attr: str | None = None, value: str | None = None, mode: str = "exact") -> Column:
-    """Inner HTML of the first matching element that may hold same-tag children
-    one level deep (e.g. a price span with fraction and cents spans)."""
-    leaf = rf"(?:[^<]|<(?!/?{tag}\b))"
-    pat = rf"(?s){start_tag_pattern(tag, attr, value, mode)}((?:{leaf}|<{tag}\b[^>]*>{leaf}*</{tag}>)*)</{tag}>"
-    got = F.regexp_extract(_c(html), pat, 1)
+    """Inner HTML of the first matching element, up to its own closing tag:
+    same-tag children may nest to any depth (e.g. a price span with fraction
+    and cents spans)."""
+    whole = balanced_region(html, tag, attr, value, mode)
+    got = F.regexp_replace(whole, r"^<[^>]*>", "")
     return F.when(got != "", got)
 
 
@@ -96,14 +113,16 @@ def elements(html: Column | str, tag: str, attr_name: str | None = None, value:
     return F.regexp_extract_all(_c(html), F.lit(f"({pat})"), 1)
 
 
-def region(html: Column | str, tag: str, attr_name: str, value: str) -> Column:
+def region(html: Column | str, tag: str, attr_name: str | None, value: str | None, mode: str = "exact") -> Column:
     """The page from the first matching start tag on (the area a scraper reads)."""
-    pat = rf"(?s)({start_tag_pattern(tag, attr_name, value)}.*)"
+    pat = rf"(?s)({start_tag_pattern(tag, attr_name, value, mode)}.*)"
     got = F.regexp_extract(_c(html), pat, 1)
     return F.when(got != "", got)
 
 
-def balanced_region(html: Column | str, tag: str, attr_name: str, value: str) -> Column:
+def balanced_region(
+    html: Column | str, tag: str, attr_name: str | None, value: str | None, mode: str = "exact"
+) -> Column:
     """The first matching element with its content, up to its own closing tag.
 
     Same-tag elements may nest: the page from the start tag on is split at
@@ -111,7 +130,7 @@ def balanced_region(html: Column | str, tag: str, attr_name: str, value: str) ->
     finds the chunk that closes the element. An unclosed element runs to the
     end of the page. NULL when there is no such element.
     """
-    rest = region(html, tag, attr_name, value)
+    rest = region(html, tag, attr_name, value, mode)
     chunks = F.split(rest, rf"(?=<{tag}\b)|(?=</{tag}\s*>)")
 
     def step(acc, chunk):

@@ -35,7 +35,7 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     b.add_argument("--menu-pages", required=True, help="page_id, url, html, seller")
     b.add_argument("--sources", help="table/path of sources; default: the configured three shops")
     b.add_argument("--run-ts", required=True)
-    b.add_argument("--limit", type=int, default=25, help="cards per category page; 0 = all")
+    b.add_argument("--limit", type=int, default=0, help="cards per category page; 0 = all")
     b.add_argument("--id-start", choices=["table", "latest_partition"], default="table",
                    help="where the stored maximum product id is read")
     s = sub.add_parser("silver", help="build catalog, last version and categories")

@@ -33,17 +33,10 @@ DIALECTS = {
     },
 }
 
-# Products kept per category page.
+# Fixed value: cards per category page in the top-k report; elsewhere all cards count.
 PRODUCTS_LIMIT = 25
 
 
-def dialect_of_seller(seller: str) -> str:
-    for key, spec in DIALECTS.items():
-        if spec["seller"] == seller:
-            return key
-    raise KeyError(seller)
-
-
 def dialect_table(spark: SparkSession) -> DataFrame:
     """Three-row table seller -> dialect, for a join on seller (size fixed: broadcastable)."""
     from pyspark.sql.types import StringType, StructField, StructType

@@ -1,20 +1,17 @@
 """Dense sequence numbers in a global order without a one-partition window.
 
 ``number_rows(df, order, start)`` equals ``start + row_number() over (order
-by order)``. The plain window moves every row into one task; here the rows
-are cut into about 200 ranges by splitters taken from a bounded sample:
-
-1. sample about ``oversample * max_splitters`` order keys in one pass (the
-   smallest seeded hashes), pick evenly spaced splitters and keep them as
-   literals (a re-run task sees the very same ranges);
-2. range number per row by a binary search over the literals;
-3. rows per range (at most ``max_splitters + 1`` rows) -> running offsets,
-   broadcast back (its size is bounded by the splitter count);
-4. ``row_number`` within the range + offset + start.
-
-Equal order keys always land in the same range, so the numbering is the one
-of the plain window. Give a total order (a unique tuple): then a key shared
-by a third of all rows still spreads over many ranges.
+by order)``. The plain window moves every row into one task; here
+
+1. the rows are range-partitioned by the order (as many ranges as
+   ``spark.sql.shuffle.partitions`` says) and sorted within each range;
+2. they are written once to the shared folder, each with the number of its
+   range and its place in it, so a lost executor's rows are read again and no
+   later pass can see another order;
+3. rows per range (one row a range) -> running offsets, joined back.
+
+Rows with equal order keys are told apart by a running row id, so copies of
+a few keys spread over many ranges like any other rows.
 """
 
 from __future__ import annotations
@@ -24,8 +21,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-KEY = "__nr_key"
-RANGE = "__nr_range"
+from vitrine.session import scratch_location
+
+PLACE = "__nr_place"
+RANGE_BITS = 33  # a running row id holds the partition above this many bits
 
 
 def _cols(items: Sequence[str | Column]) -> list[Column]:
@@ -42,84 +41,36 @@ def plain_number_rows(df: DataFrame, order: Sequence[str | Column], start=0, nam
     return df.withColumn(name, (_start(start) + F.row_number().over(w)).cast("bigint"))
 
 
-def _range_of(key: Column, splitters: list[Column]) -> Column:
-    """Number of splitters <= key, as a balanced tree of comparisons."""
-
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < splitters[mid], build(lo, mid)).otherwise(build(mid + 1, hi))
+def ranged_rows(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
+    """The rows in ranges of ``order``, sorted, with ``PLACE`` (range and place within it)."""
+    keys = [f"__nr_k{i}" for i in range(len(order))]
+    keyed = df.withColumns({**dict(zip(keys, _cols(order), strict=True)), "__nr_tie": F.monotonically_increasing_id()})
+    # a few columns that are not of the frame; the order may hold expressions
+    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = keyed.repartitionByRange(count, *keys, "__nr_tie").sortWithinPartitions(*keys, "__nr_tie")
+    return ranged.drop(*keys, "__nr_tie").withColumn(PLACE, F.monotonically_increasing_id())
 
-    return build(0, len(splitters))
 
-
-def choose_splitters(keys: DataFrame, max_splitters: int = 200, oversample: int = 20, seed: int = 7) -> list[str]:
-    """JSON texts of evenly spaced sample keys; ``keys`` has the one column KEY.
-
-    The sample is the ``oversample * max_splitters`` keys with the smallest
-    seeded hash: one pass over the input (per-task top-k, then one merge),
-    the same sample on every re-run, and a bounded number of rows reaching
-    the driver. The sample is then put in key order by Spark, so ordering
-    follows Spark's own comparison of the key types.
-    """
-    target = max_splitters * oversample
-    if max_splitters < 1:
-        return []
-    hashed = keys.select(KEY, F.xxhash64(KEY, F.lit(seed)).alias("h"))
-    # Limit over (Project over Sort) plans as TakeOrderedAndProject: the JSON
-    # text is made only for the rows kept.
-    top = hashed.orderBy("h", KEY).select(F.to_json(F.struct(F.col(KEY).alias("k"))).alias("j")).limit(target)
-    texts = [r[0] for r in top.collect()]
-    if len(texts) < target // 4:
-        return []  # small input: one range is the plain window
-    spark = keys.sparkSession
-    wrapper = f"struct<k:{keys.schema[KEY].dataType.simpleString()}>"
-    local = spark.createDataFrame([(t,) for t in sorted(set(texts))], "j string")
-    sample = [r[0] for r in local.orderBy(F.from_json("j", wrapper)["k"]).collect()]
-    step = len(sample) / (max_splitters + 1)
-    picked, seen = [], set()
-    for i in range(1, max_splitters + 1):
-        j = sample[min(len(sample) - 1, int(i * step))]
-        if j not in seen:
-            seen.add(j)
-            picked.append(j)
-    return picked
-
-
-def number_rows(
-    df: DataFrame,
-    order: Sequence[str | Column],
-    start=0,
-    name: str = "row_id",
-    max_splitters: int = 200,
-    oversample: int = 20,
-    seed: int = 7,
-) -> DataFrame:
+def number_rows(df: DataFrame, order: Sequence[str | Column], start=0, name: str = "row_id") -> DataFrame:
     """Append ``name`` = start + position of the row in ``order`` (ascending columns).
 
-    ``start`` may be an int or a scalar Column (e.g. a stored maximum).
+    ``start`` may be an int or a scalar Column (e.g. a stored maximum). The
+    ordered rows are written to the shared folder when this is called.
     """
-    order_cols = _cols(order)
-    keyed = df.withColumn(KEY, F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order_cols)]))
-    key_type = keyed.schema[KEY].dataType
-    texts = choose_splitters(keyed.select(KEY), max_splitters, oversample, seed)
-    wrapper = f"struct<k:{key_type.simpleString()}>"
-    splitters = [F.from_json(F.lit(t), wrapper)["k"] for t in texts]
-    ranged = keyed.withColumn(RANGE, _range_of(F.col(KEY), splitters) if splitters else F.lit(0))
-
-    # sort by the key's fields, not the struct: the sorter gets a prefix
-    # for the first field (same order as the struct comparison)
-    within = Window.partitionBy(RANGE).orderBy(*[F.col(KEY)[f"k{i}"] for i in range(len(order_cols))])
-    numbered = ranged.withColumn("__nr_local", F.row_number().over(within))
-    # Rows per range, counted map-side (only range ids cross the network):
-    # at most len(splitters) + 1 rows, so the broadcast is bounded.
-    sizes = ranged.groupBy(RANGE).agg(F.count(F.lit(1)).alias("__nr_size"))
-    before = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(RANGE, F.coalesce(F.sum("__nr_size").over(before), F.lit(0)).alias("__nr_offset"))
-    out = numbered.join(F.broadcast(offsets), RANGE)
-    value = (_start(start) + F.col("__nr_offset") + F.col("__nr_local")).cast("bigint")
-    return out.withColumn(name, value).drop(KEY, RANGE, "__nr_local", "__nr_offset")
-
-
-__all__ = ["number_rows", "plain_number_rows", "choose_splitters"]
+    spark = df.sparkSession
+    ranged = ranged_rows(df, order)
+    path = scratch_location(spark, "numbered")
+    ranged.write.parquet(path)
+    stored = spark.read.schema(ranged.schema).parquet(path)
+    number = F.shiftrightunsigned(PLACE, RANGE_BITS)
+    sizes = stored.groupBy(number.alias("__nr_range")).agg(F.count(F.lit(1)).alias("__nr_size"))
+    before = Window.orderBy("__nr_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__nr_range", F.coalesce(F.sum("__nr_size").over(before), F.lit(0)).alias("__nr_offset"))
+    # one row a range: as many as there are shuffle partitions
+    out = stored.withColumn("__nr_range", number).join(F.broadcast(offsets), "__nr_range")
+    place = F.col(PLACE).bitwiseAND(F.lit((1 << RANGE_BITS) - 1)) + 1
+    value = (_start(start) + F.col("__nr_offset") + place).cast("bigint")
+    return out.withColumn(name, value).drop(PLACE, "__nr_range", "__nr_offset")
+
+
+__all__ = ["number_rows", "plain_number_rows", "ranged_rows"]

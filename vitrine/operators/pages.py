@@ -21,7 +21,7 @@ from pyspark.sql.types import IntegerType, StringType, StructType
 
 from vitrine.functions import html as H
 from vitrine.functions import money as M
-from vitrine.operators.dialects import DIALECTS, PRODUCTS_LIMIT
+from vitrine.operators.dialects import DIALECTS
 from vitrine.operators.numbering import number_rows
 
 HOST = r"^https?://([^/?#]+)"
@@ -223,7 +223,7 @@ def _andes_batches(keep: list[str], limit: int | None):
     return run
 
 
-def split_cards(pages: DataFrame, dialect: str, limit: int | None = PRODUCTS_LIMIT) -> DataFrame:
+def split_cards(pages: DataFrame, dialect: str, limit: int | None = None) -> DataFrame:
     """Listing pages -> one row per card: page columns + position (1-based) + card.
 
     The page ``url`` becomes ``page_url``. Only the first ``limit`` cards of
@@ -292,7 +292,7 @@ def card_fields(cards: DataFrame, dialect: str, missing: str = "reference", keep
             "_inst": H.text_of(H.inner(c, "span", "data-testid", "product-card::installment")),
             "_a": H.start_tag(c, "a"),
             "_img": H.start_tag(c, "img"),
-            "_rating": H.text_of(H.inner(c, "div", "data-testid", "product-card::rating")),
+            "_rating": H.text_of(H.nested_inner(c, "div", "data-testid", "product-card::rating")),
         }
     elif dialect == "B":
         raw = {
@@ -301,7 +301,7 @@ def card_fields(cards: DataFrame, dialect: str, missing: str = "reference", keep
             "_inst": H.text_of(H.inner(c, "p", "data-testid", "installment")),
             "_a": H.start_tag(c, "a"),
             "_img": H.start_tag(c, "img", "data-testid", "image"),
-            "_rating": H.text_of(H.inner(H.inner(c, "div", "data-testid", "review"), "span", "format", "score-count")),
+            "_rating": H.text_of(H.inner(H.nested_inner(c, "div", "data-testid", "review"), "span", "format", "score-count")),
         }
     elif dialect == "C":
         raw = {
@@ -311,7 +311,7 @@ def card_fields(cards: DataFrame, dialect: str, missing: str = "reference", keep
             "_cents": H.inner(c, "span", "class", re.escape("andes-money-amount__cents andes-money-amount__cents--superscript-24")),
             "_inst_html": H.nested_inner(c, "span", "class", "poly-price__installments", "token"),
             "_img": H.start_tag(c, "img", "class", "poly-component__picture", "token"),
-            "_reviews": H.inner(c, "div", "class", "poly-component__reviews", "token"),
+            "_reviews": H.nested_inner(c, "div", "class", "poly-component__reviews", "token"),
         }
     else:
         raw = None
@@ -389,7 +389,7 @@ def card_fields(cards: DataFrame, dialect: str, missing: str = "reference", keep
     return out
 
 
-def extract_products(pages: DataFrame, dialect: str, limit: int | None = PRODUCTS_LIMIT, missing: str = "reference") -> DataFrame:
+def extract_products(pages: DataFrame, dialect: str, limit: int | None = None, missing: str = "reference") -> DataFrame:
     """Listing pages of one dialect -> product rows."""
     return card_fields(split_cards(pages, dialect, limit), dialect, missing)
 

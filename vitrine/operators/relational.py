@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -117,25 +118,39 @@ def max_or_default(df: DataFrame, column: str, default: int = 0) -> Column:
     return df.agg(F.coalesce(F.max(F.expr(f"try_cast({column} AS BIGINT)")), F.lit(default))).scalar()
 
 
+def _paired(rows: DataFrame, other: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``rows`` with ``__met`` (the other side has the same label and URL) and ``__k``, their
+    rank among the rows of their label that are alike in this; a label has few URLs."""
+    triple = ["DS_CATEGORY", "NM_SELLER", "DS_URL"]
+    there = other.select(*[F.col(c).alias(f"__{c}") for c in triple]).distinct().withColumn("__hit", F.lit(True))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in triple])
+    marked = rows.join(there, same, "left").withColumn("__met", F.coalesce("__hit", F.lit(False)))
+    within = Window.partitionBy("DS_CATEGORY", "NM_SELLER", "__met").orderBy(*order)
+    return marked.drop("__hit", *[f"__{c}" for c in triple]).withColumn("__k", F.row_number().over(within))
+
+
 def merge_categories(
     old: DataFrame,
     new: DataFrame,
     dense: bool = False,
     order: Sequence[Column] | None = None,
-    **numbering,
 ) -> DataFrame:
     """Full outer merge of stored and fresh categories.
 
     Keys (DS_CATEGORY, NM_SELLER); the fresh side wins per column; rows only
-    in the stored side stay. A stored id is kept; a new row gets max + its
+    in the stored side stay. A label with several URLs is paired one to one:
+    first rows with the same URL, then what is left by the order of the URLs,
+    so no row is doubled and every id stays unique. A stored id is kept; a new row gets max + its
     rank. As coded the rank runs over all merged rows (unique, above the
     maximum, with gaps); ``dense=True`` ranks only the new rows.
     """
     order = list(order) if order is not None else [category_order()]
     start = max_or_default(old, "ID_CATEGORY")
-    o = old.select("ID_CATEGORY", "DS_CATEGORY", "NM_SELLER", "DS_URL", "DH_ORIGIN_EXEC").alias("old")
-    n = new.select("DS_CATEGORY", "NM_SELLER", "DS_URL", "DH_ORIGIN_EXEC").alias("new")
-    merged = o.join(n, ["DS_CATEGORY", "NM_SELLER"], "full").select(
+    o = old.select("ID_CATEGORY", "DS_CATEGORY", "NM_SELLER", "DS_URL", "DH_ORIGIN_EXEC")
+    n = new.select("DS_CATEGORY", "NM_SELLER", "DS_URL", "DH_ORIGIN_EXEC")
+    paired_old = _paired(o, n, ["DS_URL", "ID_CATEGORY"]).alias("old")
+    paired_new = _paired(n, o, ["DS_URL", "DH_ORIGIN_EXEC"]).alias("new")
+    merged = paired_old.join(paired_new, ["DS_CATEGORY", "NM_SELLER", "__met", "__k"], "full").select(
         F.col("old.ID_CATEGORY").cast("bigint").alias("__old_id"),
         F.coalesce(F.col("new.DS_CATEGORY"), F.col("old.DS_CATEGORY")).alias("DS_CATEGORY"),
         F.coalesce(F.col("new.NM_SELLER"), F.col("old.NM_SELLER")).alias("NM_SELLER"),
@@ -144,19 +159,14 @@ def merge_categories(
     )
     if dense:
         kept = merged.filter(F.col("__old_id").isNotNull()).withColumn("ID_CATEGORY", F.col("__old_id"))
-        fresh = number_rows(merged.filter(F.col("__old_id").isNull()), order, start, "ID_CATEGORY", **numbering)
+        fresh = number_rows(merged.filter(F.col("__old_id").isNull()), order, start, "ID_CATEGORY")
         out = kept.unionByName(fresh)
     else:
-        ranked = number_rows(merged, order, start, "__rank", **numbering)
+        ranked = number_rows(merged, order, start, "__rank")
         out = ranked.withColumn("ID_CATEGORY", F.coalesce(F.col("__old_id"), F.col("__rank")))
     return out.select(F.col("ID_CATEGORY").cast("int").alias("ID_CATEGORY"), *CATEGORY_COLUMNS[1:])
 
 
-def is_empty(df: DataFrame) -> bool:
-    """Emptiness test; reads at most one row."""
-    return df.isEmpty()
-
-
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct values of one column, lazily (C17)."""
     return df.select(column).distinct()

@@ -21,9 +21,9 @@ from pyspark.sql.types import (
 )
 
 from vitrine.operators import pages as P
-from vitrine.operators.dialects import DIALECTS, PRODUCTS_LIMIT
+from vitrine.operators.dialects import DIALECTS
 from vitrine.operators.relational import frame_from_rows, max_or_default
-from vitrine.session import PARTITION_COLUMN, checkpoint_root, layer_table
+from vitrine.session import PARTITION_COLUMN, layer_table
 from vitrine.sources import tables as T
 
 # Bronze product schema (before the load stamps).
@@ -118,7 +118,7 @@ def to_schema(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def extract_listing_products(pages: DataFrame, limit: int | None = PRODUCTS_LIMIT, missing: str = "reference") -> DataFrame:
+def extract_listing_products(pages: DataFrame, limit: int | None = None, missing: str = "reference") -> DataFrame:
     """Listing pages of all sellers -> product rows; the dialect follows the seller.
 
     One branch per dialect, each reading only its seller's pages; with the
@@ -140,12 +140,6 @@ def build_products(products: DataFrame, start_id, run_ts, dedup: bool = True) ->
     rows = products.select("page_url", *[f.name for f in PRODUCTS_SCHEMA if f.name != "id"])
     if dedup:
         rows = rows.dropDuplicates()
-    # Numbering reads its input three times (count, splitter sample, rows);
-    # the parsed rows are written once to the shared checkpoint folder so
-    # the pages are parsed once, and a lost executor re-reads files instead
-    # of re-parsing pages.
-    checkpoint_root(rows.sparkSession)
-    rows = rows.checkpoint(eager=True)
     with_ids = P.assign_product_ids(rows, start_id)
     return T.with_load_stamp(to_schema(with_ids, PRODUCTS_SCHEMA), run_ts)
 
@@ -170,9 +164,15 @@ def build_sellers(sources: DataFrame, links: DataFrame, run_ts) -> DataFrame:
     return T.with_load_stamp(to_schema(out, SELLERS_SCHEMA), run_ts)
 
 
-def category_counts(sellers: DataFrame) -> DataFrame:
-    """Categories per seller, the count the run reports."""
-    return sellers.select("name", F.size("categories").alias("n_categories"))
+def visited_pages(listing_pages: DataFrame, sellers: DataFrame) -> DataFrame:
+    """Listing pages of the active sources that have a category.
+
+    ``sellers`` is the result of ``build_sellers``: active sources with all
+    their categories. The semi-join drops the pages of the others before
+    they are parsed.
+    """
+    sources = sellers.filter(F.size("categories") > 0).select(F.col("name").alias("seller")).distinct()
+    return listing_pages.join(sources, "seller", "left_semi")
 
 
 def run_bronze(
@@ -181,7 +181,7 @@ def run_bronze(
     sources: DataFrame,
     links: DataFrame,
     run_ts,
-    limit: int | None = PRODUCTS_LIMIT,
+    limit: int | None = None,
     databases: dict[str, str] | None = None,
     id_start: str = "table",
 ) -> dict[str, str]:
@@ -202,7 +202,9 @@ def run_bronze(
         spark, products_name, latest_only=id_start == "latest_partition", missing_ok=True, schema=PRODUCTS_SCHEMA
     )
     start = max_or_default(stored, "id")
-    products = build_products(extract_listing_products(listing_pages, limit), start, run_ts)
+    sellers = build_sellers(sources, links, run_ts)
+    pages = visited_pages(listing_pages, sellers)
+    products = build_products(extract_listing_products(pages, limit), start, run_ts)
     T.save_table(spark, products, products_name, PARTITION_COLUMN, "append")
-    T.save_table(spark, build_sellers(sources, links, run_ts), sellers_name, PARTITION_COLUMN, "overwrite")
+    T.save_table(spark, sellers, sellers_name, PARTITION_COLUMN, "overwrite")
     return {"products": products_name, "sellers": sellers_name}

@@ -88,10 +88,10 @@ def category_id_order() -> list[Column]:
     return [category_order(), F.col("DS_URL"), F.col("DH_ORIGIN_EXEC")]
 
 
-def build_categories_full(sellers: DataFrame, run_ts, **numbering) -> DataFrame:
+def build_categories_full(sellers: DataFrame, run_ts) -> DataFrame:
     """Newest row per seller over all loads, flattened, ids from 1."""
     flat = flatten_categories(_newest_seller_rows(sellers)).distinct()
-    numbered = number_rows(flat, category_id_order(), 0, "ID_CATEGORY", **numbering)
+    numbered = number_rows(flat, category_id_order(), 0, "ID_CATEGORY")
     out = numbered.select(F.col("ID_CATEGORY").cast("int").alias("ID_CATEGORY"), *CATEGORY_COLUMNS[1:])
     return T.with_load_stamp(out, run_ts)
 
@@ -103,12 +103,11 @@ def build_categories_incremental(
     ignore_delay: bool = False,
     dense: bool = False,
     partitions: DataFrame | None = None,
-    **numbering,
 ) -> DataFrame:
     """Newest row per seller in the chosen load, merged into the stored ids."""
     chosen = T.read_chosen_partition(sellers, run_date_of(run_ts), PARTITION_COLUMN, ignore_delay, partitions)
     fresh = flatten_categories(_newest_seller_rows(chosen)).distinct()
-    merged = merge_categories(existing, fresh, dense=dense, order=category_id_order(), **numbering)
+    merged = merge_categories(existing, fresh, dense=dense, order=category_id_order())
     return T.with_load_stamp(merged, run_ts)
 
 

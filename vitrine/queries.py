@@ -335,7 +335,7 @@ def q_normalise_label(spark, sf_dir):
 # --------------------------------------------------------------------------- cards
 
 from vitrine.operators import pages as P  # noqa: E402
-from vitrine.operators.dialects import DIALECTS  # noqa: E402
+from vitrine.operators.dialects import DIALECTS, PRODUCTS_LIMIT  # noqa: E402
 from vitrine.sources import listing_html as L  # noqa: E402
 
 CARD_OUTPUT = ["page_url"] + P.BRONZE_FIELDS
@@ -356,7 +356,7 @@ facts AS (
 ),
 cards AS (
   SELECT *, CASE WHEN n > 0 THEN price_cents // n END AS inst_cents FROM facts
-  WHERE position <= 25 AND NOT broken
+  WHERE NOT broken
 )
 """
 
@@ -409,7 +409,7 @@ FROM facts WHERE position <= 25 GROUP BY category, block
 def q_topk_per_category(spark, sf_dir):
     """First 25 cards per category page, positions count failed cards too."""
     part = read_input(spark, sf_dir, "part")
-    cards = P.split_cards(L.listing_pages(part, "A"), "A")
+    cards = P.split_cards(L.listing_pages(part, "A"), "A", PRODUCTS_LIMIT)
     return cards.groupBy("category", "page_id").agg(
         F.count(F.lit(1)).alias("n_cards"),
         F.max("position").alias("last_position"),
@@ -748,11 +748,21 @@ WITH {NAV_SQL}, {CAT_LINKS_SQL},
 oldflat AS {_flat_sql('dt < (SELECT prev_dt FROM runinfo)')},
 old AS (SELECT row_number() OVER (ORDER BY {ID_ORDER_SQL}) AS ID_CATEGORY, * FROM oldflat),
 fresh AS {_flat_sql('dt = (SELECT prev_dt FROM runinfo)')},
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY DS_CATEGORY, NM_SELLER, met ORDER BY DS_URL, ID_CATEGORY) AS k
+  FROM (SELECT *, EXISTS (SELECT 1 FROM fresh f WHERE f.DS_CATEGORY = old.DS_CATEGORY AND f.NM_SELLER = old.NM_SELLER
+                          AND f.DS_URL IS NOT DISTINCT FROM old.DS_URL) AS met FROM old)
+),
+f AS (
+  SELECT *, row_number() OVER (PARTITION BY DS_CATEGORY, NM_SELLER, met ORDER BY DS_URL, DH_ORIGIN_EXEC) AS k
+  FROM (SELECT *, EXISTS (SELECT 1 FROM old o WHERE o.DS_CATEGORY = fresh.DS_CATEGORY AND o.NM_SELLER = fresh.NM_SELLER
+                          AND o.DS_URL IS NOT DISTINCT FROM fresh.DS_URL) AS met FROM fresh)
+),
 merged AS (
   SELECT o.ID_CATEGORY AS old_id,
          coalesce(f.DS_CATEGORY, o.DS_CATEGORY) AS DS_CATEGORY, coalesce(f.NM_SELLER, o.NM_SELLER) AS NM_SELLER,
          coalesce(f.DS_URL, o.DS_URL) AS DS_URL, coalesce(f.DH_ORIGIN_EXEC, o.DH_ORIGIN_EXEC) AS DH_ORIGIN_EXEC
-  FROM old o FULL OUTER JOIN fresh f ON o.DS_CATEGORY = f.DS_CATEGORY AND o.NM_SELLER = f.NM_SELLER
+  FROM o FULL OUTER JOIN f ON o.DS_CATEGORY = f.DS_CATEGORY AND o.NM_SELLER = f.NM_SELLER AND o.met = f.met AND o.k = f.k
 )
 SELECT CAST({new_id} AS INTEGER) AS ID_CATEGORY, DS_CATEGORY, NM_SELLER, DS_URL, DH_ORIGIN_EXEC,
        (SELECT run_date FROM runinfo) AS dt_refe_crga, (SELECT run_ts FROM runinfo) AS dh_exec
@@ -959,7 +969,7 @@ EXPORT_COLS = ["id", "url", "price_in_cash", "position", PARTITION_COLUMN]
     f"WITH {PRODUCTS_SQL} SELECT id, url, price_in_cash, position, dt_refe_crga FROM products",
 )
 def q_export_csv_capped(spark, sf_dir):
-    """One CSV file with header (cap 1,048,576 rows), read back."""
+    """One CSV file with header and all rows, read back."""
     products, _ = _products(spark, sf_dir)
     target = scratch_location(spark, "export") + "/products.csv"
     X.export_csv(products.select(*EXPORT_COLS), target)
@@ -981,6 +991,11 @@ def q_export_parquet(spark, sf_dir):
 DAY1, DAY2 = "2024-04-01 06:00:00", "2024-04-02 06:00:00"
 
 
+def _listing_links(listing: DataFrame) -> DataFrame:
+    """The category links of the three shops: one per listing page."""
+    return listing.select("seller", F.lit(1).alias("pos"), F.col("category").alias("name"), "url")
+
+
 @register(
     "jobs_last_version",
     f"""
@@ -1000,7 +1015,7 @@ def q_jobs_last_version(spark, sf_dir):
     bronze_db, silver_db = _scratch_db(spark), _scratch_db(spark)
     dbs = {"BRONZE": bronze_db, "SILVER": silver_db}
     listing = _mixed_listing(spark, sf_dir)
-    sources, links = S.sources_from_pages(read_input(spark, sf_dir, "pages"))
+    sources, links = bronze.default_sources(spark), _listing_links(listing)
     bronze.run_bronze(spark, listing, sources, links, DAY1, databases=dbs)
     bronze.run_bronze(spark, listing, sources, links, DAY2, databases=dbs)
     silver.run_silver(spark, DAY2, databases=dbs)
@@ -1025,7 +1040,7 @@ def q_jobs_product_ids(spark, sf_dir):
     bronze_db = _scratch_db(spark)
     dbs = {"BRONZE": bronze_db}
     listing = _mixed_listing(spark, sf_dir)
-    sources, links = S.sources_from_pages(read_input(spark, sf_dir, "pages"))
+    sources, links = bronze.default_sources(spark), _listing_links(listing)
     bronze.run_bronze(spark, listing, sources, links, DAY1, databases=dbs)
     bronze.run_bronze(spark, listing, sources, links, DAY2, databases=dbs, id_start="latest_partition")
     table = T.read_table(spark, f"{bronze_db}.b_products")

@@ -9,10 +9,11 @@ path (local disk, HDFS or an object store alike).
 from __future__ import annotations
 
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame
 
-# Fixed value: row cap of the CSV export (a spreadsheet's row limit).
+# Fixed value: a spreadsheet's row limit, for use as an explicit ``max_rows``.
 CSV_MAX_ROWS = 1_048_576
 
 
@@ -24,7 +25,13 @@ def _fs(df: DataFrame, path: str):
 
 
 def export_single_file(df: DataFrame, target: str, fmt: str, options: dict | None = None, max_rows: int | None = None) -> str:
-    """Write ``df`` as exactly one ``fmt`` file at ``target``; returns ``target``."""
+    """Write ``df`` as exactly one ``fmt`` file at ``target``; returns ``target``.
+
+    All rows by default. An explicit ``max_rows`` keeps the first rows in the
+    frame's order and warns when it leaves any out.
+    """
+    if max_rows and df.limit(max_rows + 1).count() > max_rows:
+        warnings.warn(f"{target} holds the first {max_rows} rows only", stacklevel=3)
     staging = f"{target}._staging-{uuid.uuid4().hex[:12]}"
     out = df.limit(max_rows) if max_rows else df
     out.repartition(1).write.mode("overwrite").format(fmt).options(**(options or {})).save(staging)
@@ -41,8 +48,8 @@ def export_single_file(df: DataFrame, target: str, fmt: str, options: dict | Non
     return target
 
 
-def export_csv(df: DataFrame, target: str, max_rows: int = CSV_MAX_ROWS) -> str:
-    """One CSV file with a header row and at most ``max_rows`` data rows."""
+def export_csv(df: DataFrame, target: str, max_rows: int | None = None) -> str:
+    """One CSV file with a header row and all rows."""
     return export_single_file(df, target, "csv", {"header": "true"}, max_rows)
 
 

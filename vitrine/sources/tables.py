@@ -121,6 +121,10 @@ def read_path(
     return df
 
 
+# Fixed value: name of the partition that holds NULL.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def list_partitions(spark: SparkSession, name: str) -> DataFrame:
     """Partition values, newest first (T6), from the catalog only."""
     parts = partition_columns(spark, name)
@@ -129,7 +133,7 @@ def list_partitions(spark: SparkSession, name: str) -> DataFrame:
     p = parts[0]
     shown = spark.sql(f"SHOW PARTITIONS {name}")
     return (
-        shown.select(F.regexp_extract("partition", rf"(?:^|/){p}=([^/]*)", 1).alias(p))
+        shown.select(F.nullif(F.regexp_extract("partition", rf"(?:^|/){p}=([^/]*)", 1), F.lit(NULL_PARTITION)).alias(p))
         .distinct()
         .orderBy(F.col(p).desc())
     )
@@ -243,6 +247,10 @@ def save_table(
         raise ValueError(
             f"schema of {name} differs: new={[f.name for f in new]} changed={changed} missing={missing}"
         )
+    if schema_option == "overwrite" and mode == "append" and (new or changed or missing):
+        raise ValueError(f"appending to {name} can't replace its schema: use schema_option='merge' or mode='overwrite'")
+    if schema_option == "overwrite" and mode == "overwrite" and partition_column and not changed:
+        schema_option = "merge"  # the other partitions stay
     if schema_option == "overwrite" and (new or changed or missing):
         # A new schema replaces the table, as a schema-overwriting write does.
         # The frame is checkpointed to the shared checkpoint folder first, as
