@@ -50,8 +50,7 @@ def test_bronze_then_silver_jobs(spark):
         after = {}
         for r in spark.table("s_prod_prices.s_categories_catalog").collect():
             after.setdefault((r.DS_CATEGORY, r.NM_SELLER), set()).add(r.ID_CATEGORY)
-        # same keys, and each key keeps ids it had (a label listed with two
-        # URLs pairs up in the merge on (category, seller), as coded)
+        # same keys, and each key keeps ids it had
         assert set(after) == set(before)
         assert all(after[k] <= before[k] for k in after)
     finally:
@@ -68,3 +67,29 @@ def test_pages_of_inactive_sources_and_of_sources_without_categories_are_left_ou
     links = spark.createDataFrame([("Magalu", 1, "c", "x"), ("Zoom", 1, "c", "y")], "seller string, pos int, name string, url string")
     sellers = bronze.build_sellers(sources, links, "2024-04-01 06:00:00")
     assert [r["seller"] for r in bronze.visited_pages(pages, sellers).collect()] == ["Magalu"]
+
+
+def test_one_menu_page_a_seller(spark):
+    from vitrine.plans import bronze
+
+    sources = spark.createDataFrame(
+        [{**s, "active": s["name"] != "Magalu"} for s in bronze.DEFAULT_SOURCES], bronze.SOURCES_SCHEMA)
+    wanted = "https://www.zoom.com.br/todas-categorias"
+    rows = [(1, wanted, "a", "Zoom"), (2, wanted, "b", "Zoom"), (3, "https://www.zoom.com.br/", "c", "Zoom"),
+            (4, "x", "d", "Magalu"), (5, "y", "e", "MercadoLivre"), (6, "z", "f", "MercadoLivre"), (7, "z", "g", "Other")]
+    menus = spark.createDataFrame(rows, "page_id long, url string, html string, seller string")
+    assert sorted(r["page_id"] for r in bronze.chosen_menu_pages(menus, sources).collect()) == [2, 6]
+
+
+def test_escaped_partition_values(spark):
+    db = "vitrine_escaped"
+    T.create_database(spark, db, scratch_location(spark, db))
+    try:
+        values = ["2024-04-01 06:00", "a+b=c/d"]
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, dt_refe_crga string")
+        T.save_table(spark, df, f"{db}.t", "dt_refe_crga", "append")
+        assert {r[0] for r in T.list_partitions(spark, f"{db}.t").collect()} == set(values)
+        assert [r["id"] for r in T.read_table(spark, f"{db}.t", latest_only=True).collect()] == [1]
+        assert T.drop_partition(spark, f"{db}.t", latest=True) == values[1]
+    finally:
+        T.drop_database(spark, db)

@@ -59,6 +59,8 @@ def _attr_match(attr: str, value: str, mode: str) -> str:
         return rf'\b{attr}="{value}"'
     if mode == "token":  # one class token equal to value
         return rf'\b{attr}="(?:[^"]*\s)?{value}(?:\s[^"]*)?"'
+    if mode == "within":  # value anywhere in the attribute
+        return rf'\b{attr}="[^"]*{value}[^"]*"'
     if mode == "prefix":  # one class token starting with value
         return rf'\b{attr}="(?:[^"]*\s)?{value}[^"]*"'
     raise ValueError(mode)

@@ -55,20 +55,6 @@ def category_page_url(urls: Column | str) -> Column:
     return F.coalesce(last_of("1"), last_of("0"))
 
 
-def choose_category_pages(candidates: DataFrame) -> DataFrame:
-    """Aggregate form of X2 for long lists ``(seller, url, kind, ord)``.
-
-    One row per seller: the kind-1 url with the highest ``ord``, else the
-    kind-0 one. A partial + final aggregate, so a seller with a third of all
-    rows is combined map-side.
-    """
-    rank = F.struct((F.col("kind") == "1").alias("k1"), (F.col("kind") == "0").alias("k0"), F.col("ord"))
-    usable = candidates.filter(F.col("kind").isin("0", "1"))
-    return usable.groupBy("seller").agg(
-        F.max_by("url", rank).alias("category_url"), F.max_by("ord", rank).alias("ord")
-    )
-
-
 def append_categories(fixed: Column | str, found: Column | str) -> Column:
     """Configured categories followed by the ones found on the page."""
     fixed = F.col(fixed) if isinstance(fixed, str) else fixed
@@ -79,7 +65,8 @@ def append_categories(fixed: Column | str, found: Column | str) -> Column:
 def categories_as_maps(links: DataFrame, keys: list[str]) -> DataFrame:
     """Links ``(keys..., pos, name, url)`` -> one row per key with
     ``array<map<name,url>>`` in page order (X7, J2). One row per page link,
-    so each group is bounded by one page."""
+    so each group is bounded by one page when a key has one page, as
+    ``bronze.chosen_menu_pages`` sees to it."""
     ordered = F.array_sort(F.collect_list(F.struct("pos", "name", "url")))
     return links.groupBy(*keys).agg(
         # a map key cannot be NULL: a link without a name gets ''
@@ -130,9 +117,9 @@ def category_links(pages: DataFrame, dialect: str) -> DataFrame:
             F.concat(F.lit(spec["site"]), H.attr(H.start_tag("a", "a"), "href"), F.lit(spec["category_query"])).alias("url"),
         )
     if dialect == "C":
-        names = F.regexp_extract_all(area, F.lit(H.element_pattern("div", "class", re.escape(spec["menu_name_class"]), "exact")), 1)
+        names = F.regexp_extract_all(area, F.lit(H.element_pattern("div", "class", re.escape(spec["menu_name_class"]), "within")), 1)
         hrefs = F.regexp_extract_all(
-            area, F.lit(f"({H.start_tag_pattern('a', 'class', re.escape(spec['menu_link_class']), 'token')})"), 1
+            area, F.lit(f"({H.start_tag_pattern('a', 'class', re.escape(spec['menu_link_class']), 'within')})"), 1
         )
         pairs = F.arrays_zip(names.alias("n"), hrefs.alias("h"))
         rows = pages.select("page_id", *extra, F.posexplode(pairs).alias("pos0", "p"))

@@ -177,12 +177,6 @@ def top_rows(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def to_int(c: Column | str) -> Column:
-    """Text -> int, NULL when not a number."""
-    c = F.col(c) if isinstance(c, str) else c
-    return c.try_cast("int")
-
-
 def sql_over_view(df: DataFrame, query: str) -> DataFrame:
     """Run SQL with ``{df}`` standing for the frame."""
     name = f"_vitrine_v_{uuid.uuid4().hex[:12]}"

@@ -22,6 +22,7 @@ from pyspark.sql.types import (
 
 from vitrine.operators import pages as P
 from vitrine.operators.dialects import DIALECTS
+from vitrine.operators.latest import latest_per_key
 from vitrine.operators.relational import frame_from_rows, max_or_default
 from vitrine.session import PARTITION_COLUMN, layer_table
 from vitrine.sources import tables as T
@@ -103,6 +104,20 @@ def default_sources(spark: SparkSession) -> DataFrame:
     return frame_from_rows(spark, DEFAULT_SOURCES, SOURCES_SCHEMA)
 
 
+def chosen_menu_pages(menu_pages: DataFrame, sources: DataFrame) -> DataFrame:
+    """The one category page of each active source.
+
+    The page whose URL is the source's category page; without such a page
+    any menu page of the seller. Of several loads the highest ``page_id``
+    counts. A partial limit per seller runs before the shuffle.
+    """
+    wanted = P.active_sources(sources).select(
+        F.col("name").alias("seller"), P.category_page_url("url").alias("__wanted"))
+    rows = menu_pages.join(wanted, "seller")
+    best = latest_per_key(rows, ["seller"], [F.col("url").eqNullSafe(F.col("__wanted")).desc(), F.col("page_id").desc(), F.col("url").asc()])
+    return best.select(*menu_pages.columns)
+
+
 def links_from_menu_pages(menu_pages: DataFrame) -> DataFrame:
     """Category pages ``(page_id, url, html, seller)`` -> ``(seller, pos, name, url)``,
     each page parsed in its seller's dialect (X3-X6)."""
@@ -113,6 +128,11 @@ def links_from_menu_pages(menu_pages: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def no_links(spark: SparkSession) -> DataFrame:
+    """The link table of a run on configured categories only."""
+    return spark.createDataFrame([], "seller string, pos int, name string, url string")
+
+
 def to_schema(df: DataFrame, schema: StructType) -> DataFrame:
     """Project and cast to a fixed schema, by name."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
@@ -131,6 +151,25 @@ def extract_listing_products(pages: DataFrame, limit: int | None = None, missing
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def card_counts(pages: DataFrame) -> DataFrame:
+    """``(seller, n_cards, n_failed)``: cards found and cards that lack a name, url or price.
+
+    Pages of sellers without a dialect count as one row each in ``n_unknown``,
+    so none vanishes without a trace.
+    """
+    parts = [
+        P.card_fields(P.split_cards(pages.filter(F.col("seller") == spec["seller"]), dialect), dialect, keep_failed=True).select(
+            "seller", F.lit(1).alias("card"), (F.size("parse_errors") > 0).cast("int").alias("failed"), F.lit(0).alias("unknown"))
+        for dialect, spec in DIALECTS.items()
+    ]
+    known = [spec["seller"] for spec in DIALECTS.values()]
+    other = pages.filter(~F.coalesce(F.col("seller").isin(known), F.lit(False))).select(
+        "seller", F.lit(0).alias("card"), F.lit(0).alias("failed"), F.lit(1).alias("unknown"))
+    rows = reduce(lambda a, b: a.unionByName(b), [*parts, other])
+    return rows.groupBy("seller").agg(
+        F.sum("card").alias("n_cards"), F.sum("failed").alias("n_failed"), F.sum("unknown").alias("n_unknown"))
+
+
 def build_products(products: DataFrame, start_id, run_ts, dedup: bool = True) -> DataFrame:
     """Exact duplicates out, ids after ``start_id``, fixed schema, stamps.
 

@@ -80,7 +80,9 @@ def build_last_version(
 
 
 def _newest_seller_rows(sellers: DataFrame) -> DataFrame:
-    return latest_per_key(sellers, ["id"], [F.col("dh_exec").desc(), F.col(PARTITION_COLUMN).desc()])
+    # the content breaks ties, so every pass chooses the same row
+    content = F.to_json(F.struct("name", "categories"))
+    return latest_per_key(sellers, ["id"], [F.col("dh_exec").desc(), F.col(PARTITION_COLUMN).desc(), content.asc()])
 
 
 def category_id_order() -> list[Column]:

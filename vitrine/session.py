@@ -31,6 +31,8 @@ LAYERS = {
 # Load-date partition column and load timestamp column.
 PARTITION_COLUMN = "dt_refe_crga"
 LOAD_TS_COLUMN = "dh_exec"
+# Fixed value: time zone of the load dates.
+TIME_ZONE = "-03:00"
 
 
 def configure(spark: SparkSession, time_zone: str | None = None) -> SparkSession:
@@ -104,6 +106,7 @@ __all__ = [
     "LAYERS",
     "PARTITION_COLUMN",
     "LOAD_TS_COLUMN",
+    "TIME_ZONE",
     "configure",
     "layer_table",
     "checkpoint_root",

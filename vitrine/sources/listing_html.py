@@ -181,8 +181,8 @@ def menu_pages(pages: DataFrame, dialect: str) -> DataFrame:
         head, tail = '<html><body><nav data-testid="links-menu">', "</nav></body></html>"
     elif dialect == "C":
         item = F.concat(
-            F.lit('<div class="category-list-item"><div class="category-list-item__permalink-custom-fw-regular category-list-item__permalink-custom">'),
-            c("label_html"), F.lit('</div><a class="splinter-link" href="https://lista.example.com'), c("href"),
+            F.lit('<div class="category-list-item"><div class="ui-item category-list-item__permalink-custom-fw-regular category-list-item__permalink-custom extra">'),
+            c("label_html"), F.lit('</div><a class="ui-splinter-link--x" href="https://lista.example.com'), c("href"),
             F.lit('">ver</a></div>'))
         head, tail = '<html><body><div class="CategoryList">', "</div></body></html>"
     else:

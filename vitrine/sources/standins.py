@@ -57,7 +57,7 @@ def sources_from_suppliers(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     url is ``array<array<string>>`` of [url, kind] (0 home, 1 categories,
     2 products); some suppliers have no kind-1 entry, some two.
     """
-    s = supplier.join(F.broadcast(nation.select("n_nationkey", "n_name")), supplier.s_nationkey == nation.n_nationkey)
+    s = supplier.join(nation.select("n_nationkey", "n_name"), supplier.s_nationkey == nation.n_nationkey)
     home = F.concat(F.lit("https://"), F.lower("n_name"), F.lit(".example/"), F.col("s_suppkey").cast("string"), F.lit("/"))
     entries = F.array(
         F.array(home, F.lit("0")),

@@ -42,7 +42,7 @@ def _temp_view(df: DataFrame):
 
 
 @contextmanager
-def _conf(spark: SparkSession, key: str, value: str):
+def session_setting(spark: SparkSession, key: str, value: str):
     old = spark.conf.get(key, None)
     spark.conf.set(key, value)
     try:
@@ -132,8 +132,10 @@ def list_partitions(spark: SparkSession, name: str) -> DataFrame:
         raise ValueError(f"table {name} is not partitioned")
     p = parts[0]
     shown = spark.sql(f"SHOW PARTITIONS {name}")
+    value = F.nullif(F.regexp_extract("partition", rf"(?:^|/){p}=([^/]*)", 1), F.lit(NULL_PARTITION))
+    # special characters are listed as %XX; a plus sign stands for itself
     return (
-        shown.select(F.nullif(F.regexp_extract("partition", rf"(?:^|/){p}=([^/]*)", 1), F.lit(NULL_PARTITION)).alias(p))
+        shown.select(F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))).alias(p))
         .distinct()
         .orderBy(F.col(p).desc())
     )
@@ -268,10 +270,10 @@ def save_table(
         if mode == "append":
             spark.sql(f"INSERT INTO {name} BY NAME SELECT * FROM {view}")
         elif partition_column:
-            with _conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            with session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
                 spark.sql(f"INSERT OVERWRITE TABLE {name} BY NAME SELECT * FROM {view}")
         else:
-            with _conf(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
+            with session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
                 spark.sql(f"INSERT OVERWRITE TABLE {name} BY NAME SELECT * FROM {view}")
 
 
@@ -293,7 +295,7 @@ def drop_partition(
     if value is None:
         if not latest:
             raise ValueError("give a partition value or latest=True")
-        row = spark.table(name).agg(F.max(p)).first()
+        row = list_partitions(spark, name).agg(F.max(p)).first()  # from the catalog, no scan
         value = row[0] if row else None
         if value is None:
             return None
