@@ -14,7 +14,7 @@ least one wins; ``score`` is the winner's share if the languages are weighted
 by exp(-``SHARPNESS`` x cross-entropy), and ``rejected`` says that even the winner's
 cross-entropy is above the limit that is calibrated on the learned texts.
 
-Words are scored once per batch, however often they occur.
+Words are scored once per slice of a batch, however often they occur there.
 
 Cases: a null text, or one without a letter, is ``und`` with score 0 and is
 rejected; without any labelled row every text is ``und``; an empty table
@@ -39,6 +39,7 @@ from vitrine.llm.bpe import slices
 ORDER = 4
 SAMPLE_ROWS = 600
 SHARPNESS = 6.0
+BLOCK, SLICE = 20_000, 2 << 20  # words and bytes of text that a task scores at once
 TAIL, MARGIN, SHORT = 0.999, 1.2, 6.0
 START, END = "\x02", "\x03"
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -83,6 +84,11 @@ class Model:
 
     def word_logs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Log probability of each word in each language, and its length with the end mark."""
+        blocks = [self.block_logs(words[i : i + BLOCK]) for i in range(0, len(words), BLOCK)]
+        return np.concatenate([b[0] for b in blocks]), np.concatenate([b[1] for b in blocks])
+
+    def block_logs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``word_logs`` of a few words, as each of their characters takes a row of numbers."""
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
         pad = START * (ORDER - 1)
         joined = pad + (END + pad).join(words) + END
@@ -212,7 +218,7 @@ def learn(df: DataFrame, learned: Column, text_col: str = "text", lang_col: str
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(**shared.value)
         for batch in batches:
-            for a, b in slices(batch.column(0)):
+            for a, b in slices(batch.column(0), SLICE):
                 found, sizes = model.entropies(batch.column(0).slice(a, b - a))
                 least = found.min(axis=1) - SHORT / np.sqrt(np.maximum(sizes, 1))
                 yield pa.RecordBatch.from_arrays([pa.array(least[np.isfinite(least)])], names=["least"])
@@ -233,7 +239,7 @@ def identify(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_co
         model = Model(**shared.value) if shared.value else None
         names = np.array([*(model.languages if model else []), "und"], dtype=object)
         for batch in batches:
-            for a, b in slices(batch.column(1)):
+            for a, b in slices(batch.column(1), SLICE):
                 part = batch.slice(a, b - a)
                 n = len(part)
                 best, score, least, rejected = np.full(n, -1), np.zeros(n), np.full(n, np.inf), np.ones(n, dtype=bool)
