@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from vitrine.llm.common import worker_cache
 
 MEMO_ENTRIES = 150_000
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def byte_table() -> list[str]:
@@ -69,6 +69,8 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES):
         stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
         yield start, stop
         start = stop
+    # a worker serves many stages: what a batch no longer needs goes back to the system
+    pa.default_memory_pool().release_unused()
 
 
 def take_ranges(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
