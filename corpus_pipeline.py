@@ -17,6 +17,7 @@ from vitrine.llm.ngram_join import ngram_join
 from vitrine.llm.packing import pack
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+NEAR_WIDTH, NEAR_PERCENT = 5, 80  # near-duplicates: Jaccard of 0.8 or more on five-word shingles
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +38,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Of several rows with this id only one stays. Documents without words or
     without an id belong to no group and stay.
     """
-    groups = ngram_join(docs)
+    groups = ngram_join(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT)
     gone = groups.filter((F.col("n_shingles") > 0) & (F.col("doc_id") != F.col("component_id"))).select("doc_id").distinct()
     kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
     words = F.col("text").rlike(r"[^\x20\x09-\x0D]")

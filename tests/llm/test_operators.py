@@ -257,6 +257,11 @@ def sets_by_hand(text):
     return frozenset(tuple(w[i : i + 4]) for i in range(len(w) - 3)) if len(w) >= 4 else frozenset([tuple(w)] if w else [])
 
 
+def five_word_sets(text):
+    w = (text or "").encode().lower().split()
+    return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+
 def test_ngram_join_matches_brute_force(spark, docs, empty, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 3)  # groups fall into many blocks
     rng = random.Random(9)
@@ -417,3 +422,37 @@ def test_pipeline_stages(spark, tmp_path):
     blank = spark.createDataFrame([], spark.read.parquet(source).schema)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, blank, "").count() == 0
+
+
+def test_near_duplicate_stage_matches_brute_force(spark):
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    rows = []
+    for g in range(12):
+        base = [f"g{g}w{rng.randint(0, 300)}" for _ in range(100)]
+        for _ in range(6):
+            own = list(base)
+            for _ in range(rng.randint(0, 4)):
+                own[rng.randrange(len(own))] = f"e{rng.randint(0, 500)}"
+            rows.append((len(rows), " ".join(own), "xx", "s", 1))
+    rows += [(len(rows) + i, " ".join(f"v{rng.randint(0, 3)}" for _ in range(rng.randint(1, 6))), "xx", "s", 1) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    fives, fours = ({r[0]: sets(r[1]) for r in rows} for sets in (five_word_sets, sets_by_hand))
+    root = {i: i for i in fives}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    only_five = 0
+    for a in fives:
+        for b in fives:
+            if a < b and 100 * len(fives[a] & fives[b]) >= 80 * len(fives[a] | fives[b]):
+                only_five += 100 * len(fours[a] & fours[b]) < 85 * len(fours[a] | fours[b])
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    assert only_five  # pairs that four words and 0.85 leave apart
+    kept = corpus_pipeline.drop_near_duplicates(spark, df, "").collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted({find(i) for i in fives})
