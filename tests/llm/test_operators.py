@@ -7,6 +7,7 @@ import collections
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -189,6 +190,40 @@ def test_licenses(spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
+def wrapped(text, width, lead=""):
+    return "\n".join(lead + line for line in textwrap.wrap(text, width, break_on_hyphens=False))
+
+
+def test_licenses_in_wrapped_texts(spark):
+    s = licenses.SENTENCES
+    lead = "Copyright (c) 2020 A. Writer\n\n"
+    apache = (
+        "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\n"
+        "You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\n"
+        "Unless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed")
+    rows = [
+        (1, "MIT License\n\n" + lead + wrapped(s[21], 78) + "\n\n" + wrapped(s[22], 78)),
+        (2, wrapped("Text. Released under the MIT License.", 25) + "\n" + wrapped(s[21], 30) + "\n\n" + wrapped(s[22], 30)),
+        (3, lead + wrapped(s[60], 78) + "\n\n1. " + wrapped(s[61], 75)),
+        (4, wrapped(s[31], 70, " * ") + "\n *\n * This comes without any warranty. See the\n * GNU General Public License for more details.\n"),
+        (5, wrapped(s[31], 70, "# ") + "\n# Other."),
+        (6, apache),
+        (7, "# Licensed under the Apache License, Version 2.0\r\n# (the \"License\"); you may not use this file except in\r\n"
+            "# compliance with the License."),
+        (8, "All rights  reserved."), (9, "All rights\u00a0reserved."), (10, "All rights\nreserved."),
+        (11, "Permission is hereby granted, free of charge,\nto nobody. All rights\nare mine, reserved."),
+        (12, "the\n" * 2_000 + wrapped(s[22], 3) + "\nAll\nAll rights\nreserved")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["rule"], r["first_sentence"], r["last_sentence"]) for r in licenses.scan(df).collect())
+    places = lambda text: sum(any(c.isalnum() for c in x) for x in re.split(r"(?<=[.!?;])[ \t\r\n]+|\n+", text))
+    assert got == [
+        (1, "mit-text", 4, places(rows[0][1])), (2, "mit-named-text", 2, places(rows[1][1])),
+        (3, "bsd-start", 3, places(rows[2][1])), (4, "gpl-3.0-header", 1, places(rows[3][1])),
+        (5, "gpl-3.0-grant", 1, places(rows[4][1]) - 1), (6, "apache-2.0-header", 1, 4), (7, "apache-2.0-short", 1, 4),
+        (8, "all-rights-reserved", 1, 1), (9, "all-rights-reserved", 1, 1), (10, "all-rights-reserved", 1, 2),
+        (12, "all-rights-reserved", places(rows[11][1]) - 1, places(rows[11][1]))]
+
+
 def test_fingerprints(spark, docs, empty):
     rows = fingerprints.edited_documents(docs).collect()
     source = sorted(((-1 if r["doc_id"] is None else r["doc_id"], r["text"] or "") for r in docs.collect()))

@@ -3,10 +3,13 @@
 A text is cut into sentences (at line ends and after . ! ? ; followed by
 white space) and each sentence is normalised: lower case, runs of other
 characters than letters and digits become one blank. Known sentences have
-identifiers; the others are forgotten. The identifiers of a document, in
+identifiers; the others are forgotten. A known sentence may be wrapped: it is also
+found where several cut sentences in a row, joined by blanks, equal it; the
+longest one counts. The identifiers of a document, in
 order, form a string in which each rule, an ordered sequence of identifiers, is
 searched. A rule that stands inside a longer matched rule of the same place is
-not reported.
+not reported. Places are counted over the cut sentences, so a wrapped
+sentence takes several.
 
 The known sentences and rules are small fixed tables; only documents that
 hold one of the words without which no known sentence exists are cut at all.
@@ -18,6 +21,8 @@ repeated results; an empty table gives an empty result; further columns are not
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,17 +61,38 @@ RULES = {
     "bsd-start": ("BSD", [60, 61]),
 }
 # Words of which every known sentence holds one.
-GATE = ["licens", "permission", "redistribut", "rights reserved"]
+GATE = ["licens", "permission", "redistribut", "reserved"]
 
 
 def normalised(sentence: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
 
 
-def known_sentences(spark) -> DataFrame:
-    """``(sid, sentence)``, normalised: a row per known sentence."""
-    rows = spark.createDataFrame(list(SENTENCES.items()), "sid int, raw string")
-    return rows.select("sid", normalised(F.col("raw")).alias("sentence"))
+def known_sentences() -> list[tuple[int, str]]:
+    """``(sid, sentence)``, normalised, of the known sentences."""
+    return [(k, re.sub("[^a-z0-9]+", " ", raw.lower()).strip()) for k, raw in SENTENCES.items()]
+
+
+def known_at(parts: Column, place: Column, part: Column) -> Column:
+    """``(size, place, sid)`` of the longest known sentence that ``size`` of the normalised
+    ``parts`` make up from ``place`` (where ``part`` stands) on; null if there is none."""
+    known = known_sentences()
+    # each part has a word or more, so the longest sentence's number of words bounds the parts looked at
+    starts = sorted({" ".join(s.split()[: k + 1]) for _, s in known for k in range(len(s.split()))})
+    table = F.array(*[F.struct(F.lit(k).alias("sid"), F.lit(s).alias("sentence"), F.lit(len(s.split())).alias("words")) for k, s in known])
+
+    def joined(size: Column) -> Column:  # single elements: F.slice copies the whole array
+        return F.array_join(F.transform(F.sequence(F.lit(0), size - 1), lambda j: F.get(parts, place - 1 + j)), " ")
+
+    def size_of(k: Column) -> Column:
+        begun = F.startswith(F.concat(joined(k["words"]), F.lit(" ")), F.concat(k["sentence"], F.lit(" ")))
+        # past the end of the text nothing is joined: the least size counts
+        sizes = F.filter(F.sequence(F.lit(1), k["words"]), lambda m: joined(m) == k["sentence"])
+        return F.when(begun, F.array_min(sizes))
+
+    near = F.filter(table, lambda k: F.startswith(k["sentence"], part))
+    sized = F.transform(near, lambda k: F.struct(size_of(k).alias("size"), place.alias("place"), k["sid"].alias("sid")))
+    return F.when(part.isin(starts), F.array_max(F.filter(sized, lambda x: x["size"].isNotNull())))
 
 
 def rule_table(spark) -> DataFrame:
@@ -83,16 +109,15 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     for word in GATE:
         gate = gate | F.lower(F.col("text")).contains(word)
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(gate)
-    rows = rows.select(F.monotonically_increasing_id().alias("row"), "id", "text")  # numbered before the cut
     cut = F.split(F.regexp_replace("text", r"([.!?;])[ \t\r\n]+", "$1\n"), "\n+")
-    numbered = rows.select(
-        "row", "id", F.posexplode(F.filter(cut, lambda s: s.rlike("[A-Za-z0-9]"))))
-    sentences = numbered.select("row", "id", (F.col("pos") + 1).alias("place"), normalised(F.col("col")).alias("sentence"))
-    found = sentences.join(F.broadcast(known_sentences(spark)), "sentence")  # a fixed table of a few rows
-    # only a document's known sentences come together
-    sequences = found.groupBy("row", "id").agg(F.array_sort(F.collect_list(F.struct("place", "sid"))).alias("seen"))
-    rules = F.broadcast(rule_table(spark))  # likewise
-    starts = sequences.select("row", "id", "seen", F.posexplode("seen").alias("k", "first"))
+    cut = F.filter(cut, lambda s: s.rlike("[A-Za-z0-9]"))
+    # the row number also keeps the optimizer from repeating the cut inside the lambdas below
+    parted = rows.select(F.monotonically_increasing_id().alias("row"), "id", F.transform(cut, normalised).alias("parts"))
+    found = F.transform("parts", lambda part, k: known_at(F.col("parts"), k + 1, part))
+    # only a document's known sentences go on
+    sequences = parted.select("row", "id", F.filter(found, lambda x: x.isNotNull()).alias("seen"))
+    rules = F.broadcast(rule_table(spark))  # a fixed table of a few rows
+    starts = sequences.select("row", "id", "seen", F.posexplode_outer("seen").alias("k", "first")).filter(F.col("first").isNotNull())
     rest = F.concat(F.lit(","), F.array_join(F.transform(F.slice("seen", F.col("k") + 1, F.size("seen")), lambda x: x["sid"]), ","), F.lit(","))
     ruled = starts.select("row", "id", "seen", "k", rest.alias("rest"), F.col("first.sid").alias("sid"))
     begins = rules.select("*", F.split("pattern", ",")[1].cast("int").alias("sid"))
@@ -105,7 +130,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     return out.select(
         F.col("id").alias(id_col), "m.license", "m.rule", F.col("m.n_sentences").cast("bigint").alias("n_sentences"),
         F.element_at("seen", F.col("m.a") + 1)["place"].cast("bigint").alias("first_sentence"),
-        F.element_at("seen", F.col("m.b"))["place"].cast("bigint").alias("last_sentence"))
+        (F.element_at("seen", F.col("m.b"))["place"] + F.element_at("seen", F.col("m.b"))["size"] - 1).cast("bigint").alias("last_sentence"))
 
 
 def oracle_sql() -> str:
