@@ -250,6 +250,16 @@ def test_fingerprints(spark, docs, empty):
     assert one["sum"] == f["a"] and one["rest"] == f["d"]
 
 
+def test_fingerprints_of_many_equal_lines(spark):
+    rows = [(1, "again and again\n" * 40_000), (2, "short"), (3, "again and again\n" * 100_000), (4, "short"), (5, "\n" * 70_000), (6, "short")]
+    got = {r["doc_id"]: r for r in fingerprints.edited_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i]["near_edited"] > 0.99 for i in (1, 3, 5))
+    lanes = got[1]["fingerprint"][8 * (1 + fingerprints.EQUAL):]
+    counts = {int(lanes[a : a + 8], 16) for a in range(0, len(lanes), 8)}
+    # one block 40,000 times, and the empty paragraph after the last line end
+    assert len(lanes) == 8 * fingerprints.LANES and counts <= {0, 1, 40_000, 40_001}
+
+
 def base_by_hand(text):
     spans = []
     for kind, pattern in (

@@ -10,7 +10,7 @@ added to or taken from a fingerprint without the rest of the text
   of a paragraph in a row),
 * ``EQUAL`` lanes modulo 2^32 of hashes of the whole paragraph, which tell
   different multisets of paragraphs apart,
-* ``LANES`` lanes modulo 2^16 that count for each bit of a 128-bit block hash
+* ``LANES`` lanes modulo 2^32 that count for each bit of a 128-bit block hash
   in how many blocks it is set. Twice such a lane less the block count is a sum of
   signs, so the cosine of two documents' lanes estimates the cosine of their
   multisets of blocks, with an error of about 1 / sqrt(LANES).
@@ -34,7 +34,7 @@ from vitrine.llm.common import shuffle_partitions, text_or_empty
 BLOCK_WORDS = 8
 EQUAL, LANES = 8, 128
 SPREAD = 0x0000000100000001  # one lane in each half of a long
-WIDTHS = [8] * (1 + EQUAL) + [4] * LANES
+WIDTHS = [8] * (1 + EQUAL + LANES)
 
 
 def _lane_sums(paragraph: str, block: str, first: str) -> dict[str, Column]:
@@ -57,15 +57,13 @@ def _lanes() -> Column:
     equal = [F.col(f"e{k}") % F.lit(high) for k in range(EQUAL)]
     bits = []
     for k in range(LANES // 64):
-        bits += [F.col(f"s{32 * k + i}").bitwiseAND(low) % 65536 for i in range(32)]
-        bits += [F.shiftrightunsigned(F.col(f"s{32 * k + i}"), 32) % 65536 for i in range(32)]
+        bits += [F.col(f"s{32 * k + i}").bitwiseAND(low) for i in range(32)]
+        bits += [F.shiftrightunsigned(F.col(f"s{32 * k + i}"), 32) for i in range(32)]
     return F.array(F.col("n") % F.lit(high), *equal, *bits)
 
 
 def to_text(lanes: Column) -> Column:
-    head = F.transform(F.slice(lanes, 1, 1 + EQUAL), lambda x: F.lpad(F.hex(x), 8, "0"))
-    tail = F.transform(F.slice(lanes, 2 + EQUAL, LANES), lambda x: F.lpad(F.hex(x), 4, "0"))
-    return F.lower(F.concat(F.array_join(head, ""), F.array_join(tail, "")))
+    return F.lower(F.array_join(F.transform(lanes, lambda x: F.lpad(F.hex(x), 8, "0")), ""))
 
 
 def to_lanes(text: Column) -> Column:
@@ -85,11 +83,12 @@ def combine(a: Column, b: Column, sign: int = 1) -> Column:
 
 
 def signs(lanes: Column) -> Column:
-    """Centred bit counts: in how many more blocks a bit is set than not, modulo 2^16 around 0."""
-    n = lanes[0] % 65536
+    """Centred bit counts: in how many more blocks a bit is set than not, modulo 2^32 around 0
+    (a text of less than 2 GB has fewer than 2^31 blocks, so none wraps)."""
+    half = 1 << 31
     return F.transform(
         F.slice(lanes, 2 + EQUAL, LANES),
-        lambda x: (F.pmod(2 * x - n + F.lit(32768), F.lit(65536)) - 32768).cast("double"))
+        lambda x: (F.pmod(2 * x - lanes[0] + F.lit(half), F.lit(2 * half)) - half).cast("double"))
 
 
 def likeness(a: Column, b: Column) -> Column:
