@@ -1,4 +1,4 @@
-"""The ten operators and the pipeline on small fixtures, against brute force."""
+"""The operators and the pipeline on small fixtures, against brute force."""
 
 from __future__ import annotations
 

@@ -194,3 +194,133 @@ def op4_licenses(spark, sf_dir):
     from vitrine.llm.licenses import scan
 
     return scan(table(spark, sf_dir, "documents"))
+
+
+@register(
+    "op11_lexical_search",
+    r"""
+WITH item AS (
+  SELECT item_id, row_number() OVER () AS q,
+         list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM benchmark
+),
+wanted AS (SELECT q, term, count(*) AS times FROM (SELECT q, unnest(words) AS term FROM item) GROUP BY q, term),
+doc AS (
+  SELECT doc_id, row_number() OVER () AS d,
+         list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM documents
+),
+size AS (SELECT doc_id, d, CAST(len(words) AS BIGINT) AS n FROM doc WHERE len(words) > 0),
+corpus AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM size),
+posting AS (
+  SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(words) AS term FROM doc)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY d, term
+),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM posting, corpus GROUP BY term, big_n
+),
+scored AS (
+  SELECT q, doc_id, d, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * big_n) // big_l)))) AS BIGINT) AS score
+  FROM wanted JOIN posting USING (term) JOIN weight USING (term) JOIN size USING (d), corpus GROUP BY q, doc_id, d
+),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS FIRST) AS place FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(place AS INT) AS rank, doc_id, score FROM ordered JOIN item USING (q) WHERE place <= 20
+""",
+)
+def op11_lexical_search(spark, sf_dir):
+    """The 20 best documents of every benchmark item, by inner products over norm buckets."""
+    from vitrine.llm.lexical import ranked_search
+
+    return ranked_search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
+@register(
+    "op12_merkle",
+    r"""
+WITH RECURSIVE edit AS (
+  SELECT *, CASE WHEN text LIKE '%' || chr(10) || '%' THEN replace(text, chr(10), '') END AS without,
+         row_number() OVER () AS r FROM documents
+),
+leaf AS (
+  SELECT r, doc_id, coalesce('=' || source, '') AS tree,
+    coalesce(concat(strlen(CAST(doc_id AS VARCHAR)), ':', doc_id), '-') || coalesce(concat(strlen(source), ':', source), '-')
+      || coalesce(concat(strlen(lang), ':', lang), '-') || coalesce(concat(strlen(CAST(n_chars AS VARCHAR)), ':', n_chars), '-') AS head,
+    text, without
+  FROM edit
+),
+hashed AS (
+  SELECT r, doc_id, tree, sha256(head || coalesce(concat(strlen(text), ':', text), '-')) AS node,
+         sha256(head || coalesce(concat(strlen(without), ':', without), '-')) AS other, without IS NOT NULL AS cut
+  FROM leaf
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, node) - 1 AS pos FROM hashed
+),
+low(tree, lvl, pos, node, total) AS (
+  SELECT tree, 0, pos, node, count(*) OVER (PARTITION BY tree) FROM placed
+  UNION ALL
+  SELECT tree, any_value(lvl) + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (any_value(total) + 2) // 3
+  FROM low WHERE total > 1 GROUP BY tree, pos // 3
+),
+sub AS (SELECT tree, node, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS total FROM low WHERE total = 1),
+high(lvl, pos, node, total) AS (
+  SELECT 0, pos, node, total FROM sub
+  UNION ALL
+  SELECT any_value(lvl) + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (any_value(total) + 2) // 3
+  FROM high WHERE total > 1 GROUP BY pos // 3
+),
+low_run AS (
+  SELECT a.tree, a.lvl, a.pos, coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS before,
+         coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS after
+  FROM low a JOIN low b ON a.tree = b.tree AND a.lvl = b.lvl AND a.pos // 3 = b.pos // 3 AND a.total > 1
+  GROUP BY a.tree, a.lvl, a.pos
+),
+high_run AS (
+  SELECT a.lvl, a.pos, coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS before,
+         coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS after
+  FROM high a JOIN high b ON a.lvl = b.lvl AND a.pos // 3 = b.pos // 3 AND a.total > 1 GROUP BY a.lvl, a.pos
+),
+power AS (SELECT k, CAST(pow(3, k) AS BIGINT) AS p FROM range(39) AS t(k)),
+way AS (
+  SELECT l.r, u.lvl AS step, u.before, u.after FROM placed l, power JOIN low_run u ON u.tree = l.tree AND u.lvl = k AND u.pos = l.pos // p
+  UNION ALL
+  SELECT l.r, 100 + u.lvl, u.before, u.after FROM placed l JOIN sub s ON s.tree = l.tree, power
+  JOIN high_run u ON u.lvl = k AND u.pos = s.pos // p
+),
+path AS (
+  SELECT r, list(before ORDER BY step) AS befores, list(after ORDER BY step) AS afters, string_agg(before || after, '' ORDER BY step) AS joined
+  FROM way GROUP BY r
+),
+climb(r, i, node) AS (
+  SELECT r, 1, CASE WHEN cut AND list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+           string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+         lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda y, z: CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384) ELSE y // 2 END)) % 2 = 1 THEN other ELSE node END
+  FROM placed
+  UNION ALL
+  SELECT r, i + 1, sha256(befores[i] || node || afters[i]) FROM climb JOIN path USING (r) WHERE i <= len(befores)
+),
+folded AS (SELECT r, arg_max(node, i) AS node FROM climb GROUP BY r)
+SELECT doc_id, placed.node AS leaf, sub.node AS subroot, high.node AS root, sha256(coalesce(joined, '')) AS proof_sha256,
+       folded.node AS folded_root, folded.node = high.node AS verified
+FROM placed JOIN sub USING (tree) JOIN high ON high.total = 1 JOIN folded USING (r) LEFT JOIN path USING (r)
+""",
+)
+def op12_merkle(spark, sf_dir):
+    """Merkle manifest of all documents, and which of the edited texts it disproves."""
+    from vitrine.llm.merkle import manifest, without_line_ends
+
+    return manifest(table(spark, sf_dir, "documents"), claimed=without_line_ends()).drop("proof")
+
+
+@register("op13_toxicity")
+def op13_toxicity(spark, sf_dir):
+    """Toxicity of every document by its nearest labelled examples."""
+    from vitrine.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    index = toxicity.learn(docs, table(spark, sf_dir, "labels"), ~toxicity.held_out())
+    return toxicity.score(docs, index).withColumn("held_out", toxicity.held_out())
