@@ -26,7 +26,8 @@ def test_bronze_then_silver_jobs(spark):
     try:
         done = jobs.main(["bronze", "--listing-pages", listing_path, "--menu-pages", menu_path,
                           "--run-ts", "2025-04-07 06:00:00"])
-        assert set(done) == {"products", "sellers"}
+        assert set(done) == {"products", "sellers", "cards"}
+        assert sum(r["n_cards"] for r in done["cards"]) == part.count()
         products = spark.table(done["products"])
         assert products.count() > 0 and products.select("seller").distinct().count() == 3
         assert products.select("id").distinct().count() == products.count()

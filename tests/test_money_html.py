@@ -69,23 +69,23 @@ def test_html_helpers(spark):
 
 
 def test_nested_elements_and_references(spark):
-    from pyspark.sql import functions as F
-
     from vitrine.functions import html as H
+    from vitrine.operators.elements import Decoder, ElementIndex
 
     long = "x" * 50_000
-    rows = [
-        (1, '<p><span class="a b"><span>10x <span>de <i>12</i></span></span> fim</span> rest</p>'),
-        (2, f'<span class="a">{long}<span>{long}</span></span><span class="a">no</span>'),
-        (3, '<div><span class="a">open'),
-        (4, None),
-    ]
-    df = spark.createDataFrame(rows, "k int, h string")
-    got = {r["k"]: r["t"] for r in df.select("k", H.text_of(H.nested_inner("h", "span", "class", "a", "token")).alias("t")).collect()}
-    assert got == {1: "10x de 12 fim", 2: long + long, 3: "open", 4: None}
+    pages = {
+        '<p><span class="a b"><span>10x <span>de <i>12</i></span></span> fim</span> rest</p>': "10x de 12 fim",
+        f'<span class="a">{long}<span>{long}</span></span><span class="a">no</span>': long + long,
+        '<div><span class="a">open': "open", "": None,
+    }
+    for page, want in pages.items():
+        index = ElementIndex(page, Decoder())
+        assert index.text(index.find(-1, "span", "class", "a")) == want
     text = spark.createDataFrame(
         [("caf&eacute;&nbsp;&#x27;a&#34; &amp;lt; R&D &unknown; &#128512;&#0; &apos;&lt;b&gt;",)], "t string")
     assert text.select(H.unescape("t")).first()[0] == "café 'a\" &lt; R&D &unknown; \U0001f600� '<b>"
+    more = spark.createDataFrame([("&amp;#38;lt; &#38;amp; &amp;&amp; x&lt;&lt;",)], "t string")
+    assert more.select(H.unescape("t")).first()[0] == "&#38;lt; &amp; && x<<"
 
 
 def test_category_ids_stay_unique_with_two_urls(spark):

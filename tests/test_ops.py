@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from vitrine.operators.latest import latest_per_key, product_version_order
 from vitrine.operators.numbering import number_rows, plain_number_rows
 from vitrine.operators.relational import attach_catalog_id, flatten_categories, merge_categories
-from vitrine.operators.pages import andes_cards, category_page_url
+from vitrine.operators import elements as E
+from vitrine.operators.dialects import DIALECTS
+from vitrine.operators.pages import category_page_url
 from vitrine.plans import silver
 from vitrine.sources import tables as T
 
@@ -97,10 +99,40 @@ def test_andes_cards_nested_and_region():
     html = ('<div class="andes-card x">out</div><section class="ui-best-seller-content-main-components">'
             '<div class="andes-card a"><div class="inner"><div class="andes-card b">n</div></div></div>'
             '<div class="other"></div></section>')
-    got = andes_cards(html, "ui-best-seller-content-main-components", "andes-car", None)
+    index = E.ElementIndex(html, E.Decoder())
+    got = [index.outer(i) for i in E.find_cards(index, DIALECTS["C"], None)]
     assert got == ['<div class="andes-card a"><div class="inner"><div class="andes-card b">n</div></div></div>',
                    '<div class="andes-card b">n</div>']
-    assert andes_cards(html, "ui-best-seller-content-main-components", "andes-car", 1) == got[:1]
+    assert [index.outer(i) for i in E.find_cards(index, DIALECTS["C"], 1)] == got[:1]
+
+
+def test_element_index_ranges():
+    page = ('<DIV class="a b"><span>1<SPAN data-x=\'q"q\'>2</SPAN></span><img src=i.png class=b><!-- <p>no</p> -->'
+            '<p class="a">open <i>x</div><p>after</p><script>"<div class=a>"</script><br/><a title="unclosed>z</a>')
+    ix = E.ElementIndex(page, E.Decoder())
+    assert ix.tags == ["div", "span", "span", "img", "p", "i", "p", "br", "a"]
+    assert ix.depth == [0, 1, 2, 1, 1, 2, 0, 0, 0]
+    assert ix.last == [6, 3, 3, 4, 6, 6, 7, 8, 9]
+    assert ix.text(0) == "12open x" and ix.text(1) == "12" and ix.text(4) == "open x" and ix.text(8) == "z"
+    assert ix.attribute(2, "data-x") == 'q"q' and ix.attribute(3, "src") == "i.png" and ix.attribute(0, "none") is None
+    assert ix.find(0, "p") == 4 and ix.find(4, "p") is None and ix.find(-1, "p", "class", "a") == 4
+    assert ix.find(-1, "div", "class", "a b") == 0 and ix.find(-1, "div", "class", "c") is None
+    assert ix.find_all(-1, "p") == [4, 6] and ix.find_all(0, "p", "class", "a", prefix=True) == [4]
+    assert ix.outer(3) == "<img src=i.png class=b>" and ix.outer(1).endswith("</span>")
+
+
+def test_element_index_of_long_and_deep_pages():
+    deep = "<div class='x'>" * 20_000 + "t" + "</div>" * 20_000
+    ix = E.ElementIndex(deep, E.Decoder())
+    assert max(ix.depth) == 19_999 and ix.last[0] == 20_000 and ix.outer(0) == deep and ix.text(19_999) == "t"
+    assert E.ElementIndex("<" * 50_000 + "a", E.Decoder()).tags == []
+
+
+def test_references_are_decoded_once():
+    decode = E.Decoder()
+    text = "caf&eacute;&nbsp;&#x27;a&#34; &amp;lt; R&D &unknown; &#128512;&#0; &apos;&lt;b&gt; &eacute;"
+    assert decode(text) == "café\u00a0'a\" &lt; R&D &unknown; \U0001f600\ufffd '<b> é"
+    assert decode.known["&eacute;"] == "é" and len(decode.known) == 11
 
 
 def test_catalog_ids_stable_across_loads(spark):

@@ -31,3 +31,29 @@ def test_newest_row_has_partial_limit_before_shuffle(spark):
     out.write.format("noop").mode("overwrite").save()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_ids_need_no_sort_of_products(spark):
+    """Only pages are range-partitioned; the page table is read once; repeated rows are left out before counting."""
+    import contextlib
+    import io
+
+    from vitrine.plans import bronze
+
+    card = '<a data-testid="product-card::card" href="/p/{k}"><h2 data-testid="product-card::name">N{k}</h2><p data-testid="product-card::price">R$ {v}</p></a>'
+    page = "".join(card.format(k=k, v="--" if k == 3 else f"{k},00") for k in range(6))
+    rows = [(i, f"u{i % 3}", page, ["Zoom", "Outra"][i == 4], "c") for i in range(7)]  # u0 and u1, u2 are loaded repeatedly
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, seller string, category string").repartition(3)
+    parsed = bronze.extract_listing_products(pages)
+    with contextlib.redirect_stdout(io.StringIO()) as text:
+        parsed.explain("formatted")
+    assert text.getvalue().count("MapInArrow [") + text.getvalue().count("MapInArrow (") <= 2  # node and its details
+    built = bronze.build_products(parsed, 100, "2025-04-07 06:00:00")
+    with contextlib.redirect_stdout(io.StringIO()) as text:
+        built.explain("formatted")
+    assert "rangepartitioning" not in text.getvalue()
+    got = sorted((int(r["id"]), r["position"], r["name"]) for r in built.collect())
+    assert [g[0] for g in got] == list(range(101, 116))  # five readable cards of three pages
+    assert [g[1] for g in got] == [1, 2, 3, 5, 6] * 3
+    every = bronze.build_products(parsed, 0, "2025-04-07 06:00:00", dedup=False)
+    assert sorted(int(r["id"]) for r in every.collect()) == list(range(1, 31))

@@ -6,22 +6,29 @@ codegen; nothing here leaves the JVM.
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The named character references of HTML 4 and the apostrophe, from the standard library.
-NAMED = {**{name: chr(code) for name, code in name2codepoint.items()}, "apos": "'"}
-REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+from vitrine.operators.elements import NAMED
+
+REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _not_empty(text: Column) -> Column:
+    """The text, NULL if empty; computed once."""
+    return F.try_element_at(F.filter(F.array(text), lambda x: x != ""), F.lit(1))
+
+
 def unescape(c: Column | str) -> Column:
-    """Character references, named or numeric, as characters; unknown ones stay as they are."""
+    """Character references, named or numeric, as characters; unknown ones stay as they are.
+
+    Each distinct reference of a text is decoded once and replaced everywhere. Decoded ampersands stand aside
+    meanwhile (as U+FFFF, which no text holds), so they start no new reference.
+    """
     # one literal, folded to a map once
     names = F.str_to_map(F.lit(" ".join(f"{k}={v}" for k, v in NAMED.items())), F.lit(" "), F.lit("="))
 
@@ -29,16 +36,19 @@ def unescape(c: Column | str) -> Column:
         ok = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
         return F.when(ok, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
 
-    def piece(part: Column, i: Column) -> Column:
-        ref = F.regexp_extract(part, REFERENCE, 1)
-        tail = F.substring(part, F.length(ref) + 2, F.length(part))
+    def value(ref: Column) -> Column:
+        whole = F.concat(F.lit("&"), ref, F.lit(";"))
         decimal = char(F.conv(F.substring(ref, F.lit(2), F.length(ref)), 10, 10).cast("bigint"))
         hexa = char(F.conv(F.substring(ref, F.lit(3), F.length(ref)), 16, 10).cast("bigint"))
-        found = F.when(ref.rlike("^#[xX]"), hexa).when(ref.startswith("#"), decimal).otherwise(F.try_element_at(names, ref))
-        return F.when(i == 0, part).when((ref != "") & found.isNotNull(), F.concat(found, tail)).otherwise(F.concat(F.lit("&"), part))
+        numeric = F.when(ref.rlike("^#[xX]"), hexa).when(ref.startswith("#"), decimal)
+        return F.coalesce(F.try_element_at(names, ref), numeric, whole)
+
+    def replaced(text: Column, ref: Column) -> Column:
+        return F.replace(text, F.concat(F.lit("&"), ref, F.lit(";")), F.regexp_replace(value(ref), "^&$", "\uffff"))
 
     text = _c(c)
-    return F.when(text.contains("&"), F.array_join(F.transform(F.split(text, "&", -1), piece), "")).otherwise(text)
+    refs = F.array_distinct(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(1)))
+    return F.when(text.contains("&"), F.translate(F.aggregate(refs, text, replaced), "\uffff", "&")).otherwise(text)
 
 
 def strip_tags(c: Column | str) -> Column:
@@ -50,8 +60,7 @@ def text_of(c: Column | str) -> Column:
 
     Empty text becomes NULL.
     """
-    txt = F.btrim(unescape(strip_tags(c)), F.lit(" \t\n\u000b\f\r\u00a0"))
-    return F.when(txt != "", txt)
+    return _not_empty(F.btrim(unescape(strip_tags(c)), F.lit(" \t\n\u000b\f\r\u00a0")))
 
 
 def _attr_match(attr: str, value: str, mode: str) -> str:
@@ -86,15 +95,6 @@ def inner(html: Column | str, tag: str, attr: str | None = None, value: str | No
     return F.when(got != "", got)
 
 
-def nested_inner(html: Column | str, tag: str, attr: str | None = None, value: str | None = None, mode: str = "exact") -> Column:
-    """Inner HTML of the first matching element, up to its own closing tag:
-    same-tag children may nest to any depth (e.g. a price span with fraction
-    and cents spans)."""
-    whole = balanced_region(html, tag, attr, value, mode)
-    got = F.regexp_replace(whole, r"^<[^>]*>", "")
-    return F.when(got != "", got)
-
-
 def start_tag(html: Column | str, tag: str, attr: str | None = None, value: str | None = None, mode: str = "exact") -> Column:
     """Text of the first matching start tag; NULL when there is none."""
     pat = start_tag_pattern(tag, attr, value, mode)
@@ -105,14 +105,7 @@ def start_tag(html: Column | str, tag: str, attr: str | None = None, value: str
 def attr(tag_text: Column | str, name: str) -> Column:
     """Value of attribute ``name`` in a start tag; NULL when absent."""
     pat = rf'\s{name}="([^"]*)"'
-    got = F.regexp_extract(_c(tag_text), pat, 1)
-    return F.when(got != "", unescape(got))
-
-
-def elements(html: Column | str, tag: str, attr_name: str | None = None, value: str | None = None, mode: str = "exact") -> Column:
-    """Array of whole matching elements (outer HTML), in document order."""
-    pat = element_pattern(tag, attr_name, value, mode).replace("(.*?)", "(?:.*?)")
-    return F.regexp_extract_all(_c(html), F.lit(f"({pat})"), 1)
+    return unescape(_not_empty(F.regexp_extract(_c(tag_text), pat, 1)))
 
 
 def region(html: Column | str, tag: str, attr_name: str | None, value: str | None, mode: str = "exact") -> Column:
@@ -120,29 +113,3 @@ def region(html: Column | str, tag: str, attr_name: str | None, value: str | Non
     pat = rf"(?s)({start_tag_pattern(tag, attr_name, value, mode)}.*)"
     got = F.regexp_extract(_c(html), pat, 1)
     return F.when(got != "", got)
-
-
-def balanced_region(
-    html: Column | str, tag: str, attr_name: str | None, value: str | None, mode: str = "exact"
-) -> Column:
-    """The first matching element with its content, up to its own closing tag.
-
-    Same-tag elements may nest: the page from the start tag on is split at
-    every open and close tag of ``tag`` and a running depth (``aggregate``)
-    finds the chunk that closes the element. An unclosed element runs to the
-    end of the page. NULL when there is no such element.
-    """
-    rest = region(html, tag, attr_name, value, mode)
-    chunks = F.split(rest, rf"(?=<{tag}\b)|(?=</{tag}\s*>)")
-
-    def step(acc, chunk):
-        delta = F.when(chunk.startswith(f"</{tag}"), F.lit(-1)).when(chunk.startswith(f"<{tag}"), F.lit(1)).otherwise(F.lit(0))
-        depth = acc["depth"] + delta
-        end = F.when((acc["end"] == 0) & (depth == 0), acc["i"] + 1).otherwise(acc["end"])
-        return F.struct(depth.alias("depth"), end.alias("end"), (acc["i"] + 1).alias("i"))
-
-    init = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("end"), F.lit(0).alias("i"))
-    end = F.aggregate(chunks, init, step)["end"]
-    whole = F.array_join(chunks, "")
-    cut = F.array_join(F.slice(chunks, 1, F.greatest(end - 1, F.lit(1))), "")
-    return F.when(rest.isNull(), F.lit(None).cast("string")).when(end == 0, whole).otherwise(cut)

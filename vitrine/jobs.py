@@ -23,7 +23,7 @@ def _read(spark: SparkSession, source: str) -> DataFrame:
     return spark.table(source)
 
 
-def main(argv: list[str] | None = None) -> dict[str, str]:
+def main(argv: list[str] | None = None) -> dict:
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     from vitrine.plans import bronze, silver
     from vitrine.session import TIME_ZONE, configure
@@ -61,7 +61,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
             links = bronze.links_from_menu_pages(bronze.chosen_menu_pages(_read(spark, args.menu_pages), sources))
         done = bronze.run_bronze(spark, listing, sources, links, args.run_ts, args.limit or None, id_start=args.id_start)
         if args.report:
-            bronze.card_counts(listing).show(truncate=False)
+            for row in done["cards"]:
+                print(row)
         return done
 
 

@@ -10,6 +10,13 @@ DIALECTS = {
         "seller": "Zoom",
         "site": "https://www.zoom.com.br",
         "card": ("a", "data-testid", "product-card::card"),
+        "fields": {
+            "name": ("h2", "data-testid", "product-card::name"),
+            "price": ("p", "data-testid", "product-card::price"),
+            "installment": ("span", "data-testid", "product-card::installment"),
+            "image": ("img",),
+            "rating": ("div", "data-testid", "product-card::rating"),
+        },
         "menu_region": ("div", "data-testid", "header::menu-region"),
         "menu_link_class_prefix": "MenuRegion_zmenu__link--more__",
     },
@@ -18,6 +25,14 @@ DIALECTS = {
         "site": "https://www.magazineluiza.com.br",
         "card": ("a", "data-testid", "product-card-container"),
         "card_region": ("div", "data-testid", "product-list"),
+        "fields": {
+            "name": ("h2", "data-testid", "product-title"),
+            "price": ("p", "data-testid", "price-value"),
+            "installment": ("p", "data-testid", "installment"),
+            "image": ("img", "data-testid", "image"),
+            "rating": ("div", "data-testid", "review"),
+            "score": ("span", "format", "score-count"),
+        },
         "menu_region": ("nav", "data-testid", "links-menu"),
         "menu_href": r"/.*/l/.*/",
         "category_query": "?page=1&sortOrientation=desc&sortType=soldQuantity",
@@ -27,6 +42,17 @@ DIALECTS = {
         "site": "https://www.mercadolivre.com.br",
         "card_region": ("section", "class", "ui-best-seller-content-main-components"),
         "card_class_prefix": "andes-car",
+        "fields": {
+            "title": ("a", "class", "poly-component__title"),
+            "price": ("span", "class", "andes-money-amount__fraction"),
+            "cents": ("span", "class", "andes-money-amount__cents andes-money-amount__cents--superscript-24"),
+            "installment": ("span", "class", "poly-price__installments"),
+            "plan_cents": ("span", "class", "andes-money-amount__cents"),
+            "image": ("img", "class", "poly-component__picture"),
+            "rating": ("div", "class", "poly-component__reviews"),
+            "score": ("span", "class", "poly-reviews__rating"),
+            "users": ("span", "class", "poly-reviews__total"),
+        },
         "menu_region": ("div", "class", "CategoryList"),
         "menu_name_class": "category-list-item__permalink-custom-fw-regular category-list-item__permalink-custom",
         "menu_link_class": "splinter-link",

@@ -73,4 +73,25 @@ def number_rows(df: DataFrame, order: Sequence[str | Column], start=0, name: str
     return out.withColumn(name, value).drop(PLACE, "__nr_range", "__nr_offset")
 
 
-__all__ = ["number_rows", "plain_number_rows", "ranged_rows"]
+def running_offsets(df: DataFrame, order: Sequence[str | Column], weight: str, name: str) -> DataFrame:
+    """Append ``name`` = sum of ``weight`` over all rows before this one in ``order``.
+
+    Meant for the upper level of a two-level numbering: the groups (pages, say) are ordered and
+    summed up here, their members keep their place and get the group's offset.
+    The sums run within a range, and over one row a range.
+    """
+    spark = df.sparkSession
+    ranged = ranged_rows(df, order)
+    path = scratch_location(spark, "offsets")
+    ranged.write.parquet(path)
+    rows = spark.read.schema(ranged.schema).parquet(path).withColumn("__nr_range", F.shiftrightunsigned(PLACE, RANGE_BITS))
+    sizes = rows.groupBy("__nr_range").agg(F.sum(weight).alias("__nr_size"))
+    over = Window.orderBy("__nr_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__nr_range", F.coalesce(F.sum("__nr_size").over(over), F.lit(0)).alias("__nr_offset"))
+    within = Window.partitionBy("__nr_range").orderBy(PLACE).rowsBetween(Window.unboundedPreceding, -1)
+    # one row a range: as many as there are shuffle partitions
+    out = rows.withColumn(name, F.coalesce(F.sum(weight).over(within), F.lit(0))).join(F.broadcast(offsets), "__nr_range")
+    return out.withColumn(name, F.col(name) + F.col("__nr_offset")).drop(PLACE, "__nr_range", "__nr_offset")
+
+
+__all__ = ["number_rows", "plain_number_rows", "ranged_rows", "running_offsets"]

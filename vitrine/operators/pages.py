@@ -1,11 +1,9 @@
 """Page extraction as Spark jobs.
 
 Input is a table of pages ``(page_id, url, html[, seller, category])``.
-Cards of dialects A and B are anchors, which cannot nest, so a regular
-expression splits a page into cards inside the JVM. Dialect C cards are
-nested ``div`` elements: a small Python helper matches the div nesting per
-page inside ``mapInArrow`` (one Arrow batch at a time, no row-wise UDF);
-all field parsing is again Catalyst expressions.
+Nested markup is no regular language: ``mapInArrow`` reads each listing page once into an element index
+(``elements.py``), whichever dialect its seller has, and takes the texts of all cards from it. Numbers, links and
+sentinels are Catalyst expressions on these texts. Menus are flat: regular expressions in the JVM.
 """
 
 from __future__ import annotations
@@ -15,15 +13,18 @@ import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructType
 
 from vitrine.functions import html as H
 from vitrine.functions import money as M
+from vitrine.operators import elements as E
 from vitrine.operators.dialects import DIALECTS
-from vitrine.operators.numbering import number_rows
+from vitrine.operators.numbering import running_offsets
 
+CARD_BYTES = 8 << 20  # texts held before a batch of cards is handed on
+PAGE_BITS = 33  # a page's number holds its task above these bits
 HOST = r"^https?://([^/?#]+)"
 
 
@@ -135,113 +136,93 @@ def category_links(pages: DataFrame, dialect: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- cards
 
-_TOKENS = re.compile(
-    r"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<(/?)(div|section)\b([^>]*?)(/?)>",
-    re.S | re.I,
-)
-_CLASS = re.compile(r'\bclass\s*=\s*"([^"]*)"', re.I)
-
-
-def andes_cards(html: str | None, region_class: str, card_prefix: str, limit: int | None) -> list[str]:
-    """Outer HTML of every ``div`` with a class token starting ``card_prefix``
-    inside the ``section`` of class ``region_class``; nested cards count too;
-    document order of the start tags; first ``limit`` only."""
-    if not html:
-        return []
-    divs: list[tuple[bool, int]] = []
-    sections: list[bool] = []
-    inside = 0
-    found: list[tuple[int, int]] = []
-    for m in _TOKENS.finditer(html):
-        name = m.group(3)
-        if not name:
-            continue
-        name = name.lower()
-        closing, attrs, selfclose = m.group(2) == "/", m.group(4) or "", m.group(5) == "/"
-        if name == "section":
-            if closing:
-                if sections and sections.pop():
-                    inside -= 1
-            elif not selfclose:
-                cls = _CLASS.search(attrs)
-                is_region = bool(cls) and region_class in cls.group(1).split()
-                sections.append(is_region)
-                inside += is_region
-            continue
-        if closing:
-            if divs:
-                is_card, start = divs.pop()
-                if is_card:
-                    found.append((start, m.end()))
-            continue
-        cls = _CLASS.search(attrs)
-        is_card = inside > 0 and bool(cls) and any(t.startswith(card_prefix) for t in cls.group(1).split())
-        if selfclose:
-            if is_card:
-                found.append((m.start(), m.end()))
-        else:
-            divs.append((is_card, m.start()))
-    found.extend((start, len(html)) for is_card, start in divs if is_card)
-    found.sort()
-    if limit:
-        found = found[:limit]
-    return [html[a:b] for a, b in found]
-
-
-def _andes_batches(keep: list[str], limit: int | None):
-    spec = DIALECTS["C"]
-    region_class = spec["card_region"][2]
-    prefix = spec["card_class_prefix"]
+
+def _card_batches(keep: list[str], limit: int | None, dialect: str | None, with_html: bool, whole_pages: bool = True):
+    """Task function: pages (or, without ``whole_pages``, single cards) -> one row a card with its texts."""
+    by_seller = {spec["seller"]: letter for letter, spec in DIALECTS.items()}
+
+    def rows_of(page: str, letter: str, decode: E.Decoder) -> Iterator[tuple]:
+        index, spec = E.ElementIndex(page, decode), DIALECTS[letter]
+        cards = E.find_cards(index, spec, limit) if whole_pages else list(range(min(1, len(index.tags))))
+        for position, card in enumerate(cards, start=1):
+            texts = (index.outer(card),) if with_html else E.card_texts(index, card, spec)
+            yield (letter, position, *texts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["dialect", "position", *(["card"] if with_html else E.FIELDS)]
+        types = [pa.string(), pa.int32(), *[pa.string()] * (len(names) - 2)]
+        if not whole_pages:
+            names[1:2], types[1:2] = [], []
+        page_no = TaskContext.get().partitionId() << PAGE_BITS
         for batch in batches:
-            pages = batch.column(batch.schema.get_field_index("html")).to_pylist()
-            take, positions, cards = [], [], []
-            for row, page in enumerate(pages):
-                for i, card in enumerate(andes_cards(page, region_class, prefix, limit), start=1):
+            columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            pages = columns["html" if whole_pages else "card"]
+            letters = [dialect] * len(pages) if dialect else [by_seller.get(s) for s in columns["seller"].to_pylist()]
+            decode, first = E.Decoder(), 0
+            take, found, held = [], [], 0
+
+            def table() -> pa.RecordBatch:
+                head = batch.take(pa.array(take, pa.int64()))
+                own = [head.column(head.schema.get_field_index(k)) for k in keep]
+                cells = zip(*found, strict=True)
+                own += [pa.array(c, t) for c, t in zip(cells, types, strict=True)]
+                if not whole_pages:
+                    return pa.RecordBatch.from_arrays(own, names=[*keep, *names])
+                number = pa.array([page_no + i for i in take], pa.int64())
+                return pa.RecordBatch.from_arrays([*own, number], names=[*keep, *names, "page"])
+
+            for row in range(len(pages)):
+                page, letter = pages[row].as_py(), letters[row]
+                if not letter or (whole_pages and not page):
+                    continue
+                for card in rows_of(page or "", letter, decode):
                     take.append(row)
-                    positions.append(i)
-                    cards.append(card)
-            head = pa.Table.from_batches([batch]).select(keep).take(pa.array(take, pa.int64()))
-            arrays = [head.column(k).combine_chunks() for k in keep]
-            arrays += [pa.array(positions, pa.int32()), pa.array(cards, pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, names=keep + ["position", "card"])
+                    found.append(card if whole_pages else (card[0], *card[2:]))
+                    held += sum(len(x) for x in card[2:] if x)
+                if not whole_pages and len(take) == first:
+                    take.append(row)  # a card without an element fails, but counts
+                    found.append((letter, *[None] * (len(names) - 1)))
+                first = len(take)
+                if held > CARD_BYTES:
+                    yield table()
+                    take, found, held, first = [], [], 0, 0
+            if found:
+                yield table()
+            page_no += batch.num_rows
 
     return run
 
 
-def split_cards(pages: DataFrame, dialect: str, limit: int | None = None) -> DataFrame:
-    """Listing pages -> one row per card: page columns + position (1-based) + card.
+def _shipped(run):
+    """The task function and its modules travel by value: workers need not import vitrine."""
+    from pyspark import cloudpickle
+
+    for module in (sys.modules[__name__], E):
+        cloudpickle.register_pickle_by_value(module)
+    return run
+
 
-    The page ``url`` becomes ``page_url``. Only the first ``limit`` cards of
-    a page are kept (falsy = all); positions count every card, also those
-    whose fields fail later.
+def card_rows(pages: DataFrame, dialect: str | None = None, limit: int | None = None, with_html: bool = False) -> DataFrame:
+    """Listing pages -> one row per card, in one pass over each page.
+
+    The page columns (``url`` becomes ``page_url``, ``html`` goes), ``dialect``, ``position`` (1-based; counts every
+    card, also those whose fields fail later), the texts ``elements.FIELDS`` (or the outer HTML as ``card``)
+    and ``page``, a number of the page row. Without ``dialect`` the seller of each page decides; pages
+    of other sellers have no cards. Only the first ``limit`` cards of a page are kept (falsy = all).
     """
-    spec = DIALECTS[dialect]
+    if dialect is not None and dialect not in DIALECTS:
+        raise ValueError(dialect)
     pages = pages.withColumnRenamed("url", "page_url")
     keep = [c for c in pages.columns if c != "html"]
-    if dialect in ("A", "B"):
-        tag, attr_name, value = spec["card"]
-        area = F.col("html")
-        if "card_region" in spec:
-            # only cards inside the list element (nested divs balanced); cut
-            # in its own projection so its parts are computed once per page
-            pages = pages.select(*keep, H.balanced_region("html", *spec["card_region"]).alias("html"))
-        cards = F.regexp_extract_all(
-            area, F.lit(f"((?s){H.start_tag_pattern(tag, attr_name, re.escape(value))}.*?</{tag}>)"), 1
-        )
-        if limit:
-            cards = F.slice(cards, 1, limit)
-        rows = pages.select(*keep, F.posexplode(cards).alias("pos0", "card"))
-        return rows.select(*keep, (F.col("pos0") + 1).cast("int").alias("position"), "card")
-    if dialect == "C":
-        # The task function travels by value: workers need not import vitrine.
-        from pyspark import cloudpickle
+    kinds = {f.name: f.dataType.simpleString() for f in pages.schema}
+    schema = [f"`{k}` {kinds[k]}" for k in keep]
+    schema += ["dialect string", "position int", *[f"{k} string" for k in (["card"] if with_html else E.FIELDS)], "page bigint"]
+    return pages.mapInArrow(_shipped(_card_batches(keep, limit, dialect, with_html)), ", ".join(schema))
 
-        cloudpickle.register_pickle_by_value(sys.modules[__name__])
-        schema = StructType([f for f in pages.schema if f.name != "html"]).add("position", IntegerType()).add("card", StringType())
-        return pages.mapInArrow(_andes_batches(keep, limit), schema)
-    raise ValueError(dialect)
+
+def split_cards(pages: DataFrame, dialect: str, limit: int | None = None) -> DataFrame:
+    """Listing pages -> page columns, ``position`` and the outer HTML of each ``card``."""
+    return card_rows(pages, dialect, limit, with_html=True).drop("dialect", "page")
 
 
 # --------------------------------------------------------------------------- card fields
@@ -252,14 +233,27 @@ BRONZE_FIELDS = [
 ]
 
 
-def _absolute(href: Column, site: str, always: bool) -> Column:
-    if always:
-        return F.concat(F.lit(site), href)
-    return F.when(href.startswith("/"), F.concat(F.lit(site), href)).otherwise(href)
+def _dialect_values(dialect: str) -> dict[str, Column]:
+    """Numbers and absolute links from the texts of a card, as its dialect writes them."""
+    c, site = F.col, F.lit(DIALECTS[dialect]["site"])
+    href, plan = c("t_href"), c("t_plan")
+    if dialect == "C":
+        value = M.whole_plus_cents(c("t_plan_price"), c("t_plan_cents"))
+        count = F.coalesce(M.installment_count(plan), F.lit(0))
+        return {"url": href, "cash": M.whole_plus_cents(c("t_price"), c("t_cents")), "value": value, "count": count,
+                "total": M.installment_total(value, count), "no_rating": F.lit(M.MISSING_VALUE)}
+    cash = M.brl(c("t_price"))
+    if dialect == "B":
+        total, count, value = M.total_count_value(plan)
+        return {"url": F.concat(site, href), "cash": cash, "value": value, "count": count, "total": total,
+                "no_rating": F.lit(None).cast("double")}
+    value, count = M.value_after_currency(plan), M.installment_count(plan)
+    return {"url": F.when(href.startswith("/"), F.concat(site, href)).otherwise(href), "cash": cash, "value": value, "count": count,
+            "total": M.installment_total(value, count), "no_rating": F.lit(M.MISSING_VALUE)}
 
 
-def card_fields(cards: DataFrame, dialect: str, missing: str = "reference", keep_failed: bool = False) -> DataFrame:
-    """Parse card HTML into the bronze product fields.
+def typed_fields(cards: DataFrame, dialect: str | None = None, missing: str = "reference", keep_failed: bool = False) -> DataFrame:
+    """Texts of cards (``card_rows``) -> the bronze product fields.
 
     ``missing="reference"`` keeps the per-dialect sentinels of the bronze
     table (installment value -999.0 and count 0 without installments;
@@ -268,121 +262,73 @@ def card_fields(cards: DataFrame, dialect: str, missing: str = "reference", keep
     url or cash price are dropped unless ``keep_failed``; ``parse_errors``
     names the failed fields.
     """
-    spec = DIALECTS[dialect]
-    c = F.col("card")
-    # Raw elements are cut out once, in their own projection; the typed
-    # fields below refer to these columns instead of re-running the regexes.
-    if dialect == "A":
-        raw = {
-            "_name": H.inner(c, "h2", "data-testid", "product-card::name"),
-            "_price": H.inner(c, "p", "data-testid", "product-card::price"),
-            "_inst": H.text_of(H.inner(c, "span", "data-testid", "product-card::installment")),
-            "_a": H.start_tag(c, "a"),
-            "_img": H.start_tag(c, "img"),
-            "_rating": H.text_of(H.nested_inner(c, "div", "data-testid", "product-card::rating")),
-        }
-    elif dialect == "B":
-        raw = {
-            "_name": H.inner(c, "h2", "data-testid", "product-title"),
-            "_price": H.inner(c, "p", "data-testid", "price-value"),
-            "_inst": H.text_of(H.inner(c, "p", "data-testid", "installment")),
-            "_a": H.start_tag(c, "a"),
-            "_img": H.start_tag(c, "img", "data-testid", "image"),
-            "_rating": H.text_of(H.inner(H.nested_inner(c, "div", "data-testid", "review"), "span", "format", "score-count")),
-        }
-    elif dialect == "C":
-        raw = {
-            "_name": H.inner(c, "a", "class", "poly-component__title", "token"),
-            "_a": H.start_tag(c, "a", "class", "poly-component__title", "token"),
-            "_whole": H.inner(c, "span", "class", "andes-money-amount__fraction", "token"),
-            "_cents": H.inner(c, "span", "class", re.escape("andes-money-amount__cents andes-money-amount__cents--superscript-24")),
-            "_inst_html": H.nested_inner(c, "span", "class", "poly-price__installments", "token"),
-            "_img": H.start_tag(c, "img", "class", "poly-component__picture", "token"),
-            "_reviews": H.nested_inner(c, "div", "class", "poly-component__reviews", "token"),
-        }
-    else:
-        raw = None
-    if raw is None:
-        raise ValueError(dialect)
-    cards = cards.select(*[k for k in cards.columns if k != "card"], *[v.alias(k) for k, v in raw.items()])
-    r = F.col
-    if dialect == "A":
-        name = H.text_of("_name")
-        price = M.brl(H.text_of("_price"))
-        inst = r("_inst")
-        inst_value = M.value_after_currency(inst)
-        inst_count = M.installment_count(inst)
-        inst_total = M.installment_total(inst_value, inst_count)
-        url = _absolute(H.attr("_a", "href"), spec["site"], always=False)
-        img = H.attr("_img", "src")
-        rating_text = r("_rating")
-        rating_missing = F.lit(M.MISSING_VALUE)
-    elif dialect == "B":
-        name = H.text_of("_name")
-        price = M.brl(H.text_of("_price"))
-        inst = r("_inst")
-        inst_total, inst_count, inst_value = M.total_count_value(inst)
-        url = _absolute(H.attr("_a", "href"), spec["site"], always=True)
-        img = H.attr("_img", "src")
-        rating_text = r("_rating")
-        rating_missing = F.lit(None).cast("double")
-    else:
-        name = H.text_of("_name")
-        price = M.whole_plus_cents(r("_whole"), r("_cents"))
-        inst_html = r("_inst_html")
-        inst = F.when(inst_html.isNotNull(), F.coalesce(H.text_of(inst_html), F.lit("")))
-        inst_value = M.whole_plus_cents(
-            H.inner(inst_html, "span", "class", "andes-money-amount__fraction", "token"),
-            H.inner(inst_html, "span", "class", "andes-money-amount__cents", "token"),
-        )
-        inst_count = F.coalesce(M.installment_count(inst), F.lit(0))
-        inst_total = M.installment_total(inst_value, inst_count)
-        url = H.attr("_a", "href")
-        src = H.attr("_img", "src")
-        img = F.when(src.startswith("data:image"), H.attr("_img", "data-src")).otherwise(src)
-        reviews = r("_reviews")
-        rating_text = F.when(
-            reviews.isNotNull(),
-            F.concat_ws(" ", H.text_of(H.inner(reviews, "span", "class", "poly-reviews__rating", "token")),
-                        H.text_of(H.inner(reviews, "span", "class", "poly-reviews__total", "token"))),
-        )
-        rating_missing = F.lit(M.MISSING_VALUE)
+    letters = [dialect] if dialect else list(DIALECTS)
+    each = {letter: _dialect_values(letter) for letter in letters}
+
+    def pick(key: str) -> Column:
+        out = each[letters[0]][key]
+        if len(letters) > 1:
+            out = F.when(F.col("dialect") == letters[0], out)
+            for letter in letters[1:]:
+                out = out.when(F.col("dialect") == letter, each[letter][key])
+        return out
 
-    has_inst = inst.isNotNull()
     null_mode = missing == "null"
-    value_missing = F.lit(None).cast("double") if null_mode else F.lit(M.MISSING_VALUE)
+    none = F.lit(None).cast("double")
     count_missing = F.lit(None).cast("int") if null_mode else F.lit(M.MISSING_COUNT)
-    rated = rating_text.isNotNull()
+    has_plan, rated, rating = F.col("t_plan").isNotNull(), F.col("t_rating").isNotNull(), F.col("t_rating")
     fields = {
-        "name": name,
-        "url": url,
-        "price_in_cash": M.as_double(price),
-        "price_in_installments": F.when(has_inst, M.as_double(inst_total)),
-        "installments_num": F.when(has_inst, inst_count).otherwise(count_missing),
-        "installment_value": F.when(has_inst, M.as_double(inst_value)).otherwise(value_missing),
-        "img": img,
-        "rating": F.when(rated, M.rating_value(rating_text)).otherwise(
-            F.lit(None).cast("double") if null_mode else rating_missing),
-        "rating_users": F.when(rated, M.rating_users(rating_text)).otherwise(count_missing),
+        "name": F.col("t_name"),
+        "url": pick("url"),
+        "price_in_cash": M.as_double(pick("cash")),
+        "price_in_installments": F.when(has_plan, M.as_double(pick("total"))),
+        "installments_num": F.when(has_plan, pick("count")).otherwise(count_missing),
+        "installment_value": F.when(has_plan, M.as_double(pick("value"))).otherwise(none if null_mode else F.lit(M.MISSING_VALUE)),
+        "img": F.col("t_image"),
+        "rating": F.when(rated, M.rating_value(rating)).otherwise(none if null_mode else pick("no_rating")),
+        "rating_users": F.when(rated, M.rating_users(rating)).otherwise(count_missing),
     }
+    keep = [k for k in cards.columns if k not in fields and k not in E.FIELDS and k != "dialect"]
+    out = cards.select(*keep, *[v.alias(k) for k, v in fields.items()])
     errors = F.filter(
-        F.array(*[F.when(fields[k].isNull(), F.lit(k)) for k in ("name", "url", "price_in_cash")]),
-        lambda x: x.isNotNull(),
-    )
-    keep = [k for k in cards.columns if not k.startswith("_") and k not in fields]
-    out = cards.select(*keep, *[v.alias(k) for k, v in fields.items()], errors.alias("parse_errors"))
-    if not keep_failed:
-        out = out.filter(F.size("parse_errors") == 0)
-    return out
+        F.array(*[F.when(F.col(k).isNull(), F.lit(k)) for k in ("name", "url", "price_in_cash")]), lambda x: x.isNotNull())
+    out = out.withColumn("parse_errors", errors)
+    return out if keep_failed else out.filter(F.size("parse_errors") == 0)
 
 
-def extract_products(pages: DataFrame, dialect: str, limit: int | None = None, missing: str = "reference") -> DataFrame:
-    """Listing pages of one dialect -> product rows."""
-    return card_fields(split_cards(pages, dialect, limit), dialect, missing)
+def card_fields(cards: DataFrame, dialect: str, missing: str = "reference", keep_failed: bool = False) -> DataFrame:
+    """Cards given as HTML (``card``) -> the bronze product fields."""
+    keep = [c for c in cards.columns if c != "card"]
+    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in cards.schema if f.name != "card"]
+    schema += ["dialect string", *[f"{k} string" for k in E.FIELDS]]
+    texts = cards.mapInArrow(_shipped(_card_batches(keep, None, dialect, False, whole_pages=False)), ", ".join(schema))
+    return typed_fields(texts, dialect, missing, keep_failed)
+
 
+def extract_products(pages: DataFrame, dialect: str | None = None, limit: int | None = None, missing: str = "reference") -> DataFrame:
+    """Listing pages of one dialect, or of all sellers, -> product rows."""
+    return typed_fields(card_rows(pages, dialect, limit), dialect, missing).drop("page")
 
-def assign_product_ids(products: DataFrame, start) -> DataFrame:
+
+def assign_product_ids(staged: DataFrame, start, gone: DataFrame | None = None) -> DataFrame:
     """ids continue after ``start`` (the stored maximum, 0 if none), in
-    (seller, category, url of page, position) order (X28)."""
-    order = ["seller", "category", "page_url", "position"]
-    return number_rows(products, order, start, "__id").withColumn("id", F.col("__id").cast("string")).drop("__id")
+    (seller, category, url of page, page, position) order (X28).
+
+    Two levels: only the pages are ordered and summed up; a row's id is its page's offset plus its place in
+    the page. ``staged`` is a written table whose rows have a running ``place``, the rows of a ``page`` one after
+    the other; the rows of ``gone`` (page, place) are left out.
+    """
+    pages = staged.groupBy("page", "seller", "category", "page_url").agg(
+        F.min("place").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    if gone is None:
+        pages = pages.withColumn("__gone", F.array().cast("array<bigint>"))
+    else:  # at most the cards of a page in each list
+        left_out = gone.groupBy("page").agg(F.collect_list("place").alias("__gone"))
+        pages = pages.join(left_out, "page", "left").withColumn("__gone", F.coalesce("__gone", F.array().cast("array<bigint>")))
+    pages = pages.withColumn("__n", F.col("__n") - F.size("__gone"))
+    offsets = running_offsets(pages, ["seller", "category", "page_url", "page"], "__n", "__before")
+    rows = staged.join(offsets.select("page", "__first", "__before", "__gone"), "page")
+    rows = rows.filter(~F.array_contains("__gone", F.col("place")))
+    earlier = F.size(F.filter("__gone", lambda x: x < F.col("place")))
+    value = (start if isinstance(start, Column) else F.lit(start)) + F.col("__before") + F.col("place") - F.col("__first") - earlier + 1
+    return rows.withColumn("id", value.cast("bigint").cast("string")).drop("page", "place", "__first", "__before", "__gone")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from vitrine.operators.numbering import number_rows
+from vitrine.session import scratch_location
 
 # Silver column names and the bronze columns they come from.
 CATALOG_COLUMNS = [
@@ -167,6 +168,28 @@ def merge_categories(
     return out.select(F.col("ID_CATEGORY").cast("int").alias("ID_CATEGORY"), *CATEGORY_COLUMNS[1:])
 
 
+# Keys that are broadcast at most (16 bytes each).
+BROADCAST_KEYS = 100_000
+
+
+def repeated_places(rows: DataFrame, columns: list[str], place: str) -> DataFrame:
+    """The rows of a written table that repeat an earlier one (C11): their other columns, ``place`` among them.
+
+    Two phases: 128-bit keys of all rows find what can repeat at all; the wide columns are compared
+    only for these. Of equal rows the one with the smallest ``place`` is not returned.
+    """
+    spark = rows.sparkSession
+    keyed = rows.withColumns({"__k1": F.xxhash64(*columns), "__k2": F.xxhash64(F.lit(7), *columns)})
+    again = keyed.groupBy("__k1", "__k2").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__k1", "__k2")
+    path = scratch_location(spark, "repeated-keys")
+    again.write.parquet(path)
+    again = spark.read.schema("__k1 bigint, __k2 bigint").parquet(path)
+    few = again.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    doubtful = keyed.join(F.broadcast(again) if few else again, ["__k1", "__k2"])
+    first = doubtful.groupBy(*columns).agg(F.min(place).alias(place)).select(place)
+    return doubtful.select(*[c for c in rows.columns if c not in columns]).join(first, place, "left_anti")
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct values of one column, lazily (C17)."""
     return df.select(column).distinct()

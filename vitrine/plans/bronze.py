@@ -7,13 +7,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
     DoubleType,
     IntegerType,
+    LongType,
     MapType,
     StringType,
     StructField,
@@ -23,8 +24,8 @@ from pyspark.sql.types import (
 from vitrine.operators import pages as P
 from vitrine.operators.dialects import DIALECTS
 from vitrine.operators.latest import latest_per_key
-from vitrine.operators.relational import frame_from_rows, max_or_default
-from vitrine.session import PARTITION_COLUMN, layer_table
+from vitrine.operators.relational import frame_from_rows, max_or_default, repeated_places
+from vitrine.session import PARTITION_COLUMN, layer_table, scratch_location
 from vitrine.sources import tables as T
 
 # Bronze product schema (before the load stamps).
@@ -138,49 +139,79 @@ def to_schema(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def extract_listing_products(pages: DataFrame, limit: int | None = None, missing: str = "reference") -> DataFrame:
+def extract_listing_products(
+    pages: DataFrame, limit: int | None = None, missing: str = "reference", keep_failed: bool = False
+) -> DataFrame:
     """Listing pages of all sellers -> product rows; the dialect follows the seller.
 
-    One branch per dialect, each reading only its seller's pages; with the
-    page table partitioned by seller each branch scans only its partition.
+    The page table is read once, whatever shops it holds. ``page`` numbers the page rows.
     """
-    parts = [
-        P.extract_products(pages.filter(F.col("seller") == spec["seller"]), dialect, limit, missing)
-        for dialect, spec in DIALECTS.items()
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return P.typed_fields(P.card_rows(pages, limit=limit), missing=missing, keep_failed=keep_failed)
+
+
+def _known_seller() -> Column:
+    return F.coalesce(F.col("seller").isin([spec["seller"] for spec in DIALECTS.values()]), F.lit(False))
 
 
 def card_counts(pages: DataFrame) -> DataFrame:
-    """``(seller, n_cards, n_failed)``: cards found and cards that lack a name, url or price.
+    """``(seller, n_cards, n_failed, n_unknown)``: cards found and cards that lack a name, url or price.
 
     Pages of sellers without a dialect count as one row each in ``n_unknown``,
-    so none vanishes without a trace.
+    so none vanishes without a trace. For pages that are not loaded; a run counts while it loads (``run_bronze``).
     """
-    parts = [
-        P.card_fields(P.split_cards(pages.filter(F.col("seller") == spec["seller"]), dialect), dialect, keep_failed=True).select(
-            "seller", F.lit(1).alias("card"), (F.size("parse_errors") > 0).cast("int").alias("failed"), F.lit(0).alias("unknown"))
-        for dialect, spec in DIALECTS.items()
-    ]
-    known = [spec["seller"] for spec in DIALECTS.values()]
-    other = pages.filter(~F.coalesce(F.col("seller").isin(known), F.lit(False))).select(
-        "seller", F.lit(0).alias("card"), F.lit(0).alias("failed"), F.lit(1).alias("unknown"))
-    rows = reduce(lambda a, b: a.unionByName(b), [*parts, other])
-    return rows.groupBy("seller").agg(
+    known = extract_listing_products(pages, keep_failed=True).select(
+        "seller", F.lit(1).alias("card"), (F.size("parse_errors") > 0).cast("int").alias("failed"), F.lit(0).alias("unknown"))
+    other = pages.filter(~_known_seller()).select("seller", F.lit(0).alias("card"), F.lit(0).alias("failed"), F.lit(1).alias("unknown"))
+    return known.unionByName(other).groupBy("seller").agg(
         F.sum("card").alias("n_cards"), F.sum("failed").alias("n_failed"), F.sum("unknown").alias("n_unknown"))
 
 
+class CountedCards:
+    """Cards found and failed per seller, and pages without a dialect, counted by the load itself."""
+
+    def __init__(self) -> None:
+        self.cards, self.pages = Observation(), Observation()
+
+    def watch_pages(self, pages: DataFrame) -> DataFrame:
+        return pages.observe(self.pages, F.count_if(~_known_seller()).alias("unknown"))
+
+    def watch_cards(self, cards: DataFrame) -> DataFrame:
+        failed = F.size("parse_errors") > 0
+        sums = []
+        for letter, spec in DIALECTS.items():
+            own = F.col("seller") == spec["seller"]
+            sums += [F.count_if(own).alias(f"found_{letter}"), F.count_if(own & failed).alias(f"failed_{letter}")]
+        return cards.observe(self.cards, *sums)
+
+    def rows(self) -> list[dict]:
+        """After the load: one row a shop, and one without a name for the pages of others."""
+        seen = self.cards.get
+        out = [
+            {"seller": spec["seller"], "n_cards": seen[f"found_{k}"], "n_failed": seen[f"failed_{k}"], "n_unknown": 0}
+            for k, spec in DIALECTS.items()]
+        return [*out, {"seller": None, "n_cards": 0, "n_failed": 0, "n_unknown": self.pages.get["unknown"]}]
+
+
+CARD_COUNTS_SCHEMA = StructType(
+    [StructField("seller", StringType()), *[StructField(n, LongType(), False) for n in ("n_cards", "n_failed", "n_unknown")]])
+
+
 def build_products(products: DataFrame, start_id, run_ts, dedup: bool = True) -> DataFrame:
     """Exact duplicates out, ids after ``start_id``, fixed schema, stamps.
 
-    The dedup runs before numbering (after it, as the unique ids make every
-    row distinct, it could never remove a row).
+    ``products`` (with ``page``) are parsed and written once; what follows reads that table. Ids count in the order of
+    (seller, category, page url, page, position). The dedup runs before numbering (after it, as
+    the unique ids make every row distinct, it could never remove a row).
     """
-    rows = products.select("page_url", *[f.name for f in PRODUCTS_SCHEMA if f.name != "id"])
-    if dedup:
-        rows = rows.dropDuplicates()
-    with_ids = P.assign_product_ids(rows, start_id)
-    return T.with_load_stamp(to_schema(with_ids, PRODUCTS_SCHEMA), run_ts)
+    columns = ["page_url", *[f.name for f in PRODUCTS_SCHEMA if f.name != "id"]]
+    spark = products.sparkSession
+    # rows of a page are written one after the other, so a card's place minus its page's first is its rank
+    rows = products.select("page", *columns).withColumn("place", F.monotonically_increasing_id())
+    path = scratch_location(spark, "parsed-products")
+    rows.write.parquet(path)
+    staged = spark.read.schema(rows.schema).parquet(path)
+    gone = repeated_places(staged, columns, "place") if dedup else None
+    return T.with_load_stamp(to_schema(P.assign_product_ids(staged, start_id, gone), PRODUCTS_SCHEMA), run_ts)
 
 
 def build_sellers(sources: DataFrame, links: DataFrame, run_ts) -> DataFrame:
@@ -223,9 +254,10 @@ def run_bronze(
     limit: int | None = None,
     databases: dict[str, str] | None = None,
     id_start: str = "table",
-) -> dict[str, str]:
+) -> dict:
     """Products appended (ids continue after the stored maximum),
-    sellers' partition overwritten.
+    sellers' partition overwritten. Returns the table names and, as ``cards``, the
+    cards found and failed per seller (rows of ``CARD_COUNTS_SCHEMA``), counted while the cards were written.
 
     ``id_start="table"`` takes the maximum id over the whole table (exact,
     reads the id column of every partition); ``"latest_partition"`` reads
@@ -243,7 +275,9 @@ def run_bronze(
     start = max_or_default(stored, "id")
     sellers = build_sellers(sources, links, run_ts)
     pages = visited_pages(listing_pages, sellers)
-    products = build_products(extract_listing_products(pages, limit), start, run_ts)
+    counted = CountedCards()
+    cards = counted.watch_cards(extract_listing_products(counted.watch_pages(pages), limit, keep_failed=True))
+    products = build_products(cards.filter(F.size("parse_errors") == 0), start, run_ts)
     T.save_table(spark, products, products_name, PARTITION_COLUMN, "append")
     T.save_table(spark, sellers, sellers_name, PARTITION_COLUMN, "overwrite")
-    return {"products": products_name, "sellers": sellers_name}
+    return {"products": products_name, "sellers": sellers_name, "cards": counted.rows()}

@@ -335,6 +335,7 @@ def q_normalise_label(spark, sf_dir):
 # --------------------------------------------------------------------------- cards
 
 from vitrine.operators import pages as P  # noqa: E402
+from vitrine.operators.relational import frame_from_rows  # noqa: E402
 from vitrine.operators.dialects import DIALECTS, PRODUCTS_LIMIT  # noqa: E402
 from vitrine.sources import listing_html as L  # noqa: E402
 
@@ -1248,6 +1249,30 @@ def q_card_counts(spark, sf_dir):
     return bronze.card_counts(_mixed_listing(spark, sf_dir))
 
 
+@register(
+    "jobs_card_counts",
+    f"""
+WITH {CARD_FACTS_SQL},
+seen AS (SELECT CAST(regexp_extract(category, '([0-9]+)', 1) AS INTEGER) % 3 AS d, broken FROM facts)
+SELECT seller, count(d) AS n_cards, count(*) FILTER (broken) AS n_failed, CAST(0 AS BIGINT) AS n_unknown
+FROM (VALUES (0, '{DIALECTS["A"]["seller"]}'), (1, '{DIALECTS["B"]["seller"]}'), (2, '{DIALECTS["C"]["seller"]}')) s(k, seller)
+LEFT JOIN seen ON d = k GROUP BY seller
+UNION ALL SELECT NULL, 0, 0, (SELECT count(DISTINCT category || '|' || CAST(block AS VARCHAR)) FROM facts)
+""",
+)
+def q_jobs_card_counts(spark, sf_dir):
+    """Cards found and failed per seller as the load itself counts them (one parse);
+    the pages come once more under an active source that has no dialect."""
+    dbs = {"BRONZE": _scratch_db(spark)}
+    listing = _mixed_listing(spark, sf_dir)
+    other = listing.withColumn("seller", F.lit("Outra"))
+    sources = bronze.default_sources(spark)
+    more = sources.limit(1).withColumns({"id": F.lit(9), "name": F.lit("Outra")})
+    every = listing.unionByName(other)
+    done = bronze.run_bronze(spark, every, sources.unionByName(more), _listing_links(every), DAY1, databases=dbs)
+    return frame_from_rows(spark, done["cards"], bronze.CARD_COUNTS_SCHEMA)
+
+
 @register(
     "jobs_categories_incremental",
     f"""

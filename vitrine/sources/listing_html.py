@@ -50,7 +50,16 @@ def _opt(cond: Column, text: Column) -> Column:
     return F.when(cond, text).otherwise(F.lit(""))
 
 
+def shown_name(c) -> Column:
+    """The name as a page writes it: some characters as references, blanks around it, a part in bold."""
+    name = F.when(c("pk") % 5 == 0, F.replace(c("name"), F.lit("#"), F.lit("&#35;"))).when(
+        c("pk") % 5 == 1, F.replace(c("name"), F.lit("#"), F.lit("&#x23;"))).when(
+        c("pk") % 5 == 2, F.replace(c("name"), F.lit("#"), F.lit("<b>#</b>"))).otherwise(c("name"))
+    return F.when(c("pk") % 2 == 0, F.concat(F.lit("&nbsp; "), name, F.lit("\n"))).otherwise(name)
+
+
 def card_html(facts: DataFrame, dialect: str) -> Column:
+    """The card as its shop writes it: nested amounts and reviews, references, further class tokens, both kinds of quotes."""
     c = F.col
     price = F.when(c("broken"), F.lit("--")).otherwise(money_text(c("price_cents")))
     has_inst = c("n") > 0
@@ -59,25 +68,25 @@ def card_html(facts: DataFrame, dialect: str) -> Column:
         return F.concat(
             F.lit('<a class="card" data-testid="product-card::card" href="'), href, F.lit('">'),
             F.lit('<img src="'), c("img"), F.lit('" alt="">'),
-            F.lit('<h2 data-testid="product-card::name"> '), c("name"), F.lit(" </h2>"),
-            F.lit('<p data-testid="product-card::price">R$ '), price, F.lit("</p>"),
-            _opt(has_inst, F.concat(F.lit('<span data-testid="product-card::installment">'), c("n").cast("string"),
-                                    F.lit("x de R$ "), money_text(c("inst_cents")), F.lit("</span>"))),
-            _opt(c("rated"), F.concat(F.lit('<div data-testid="product-card::rating">'), c("rating"), F.lit(" ("),
-                                      c("users").cast("string"), F.lit(")</div>"))),
+            F.lit('<!-- <h2 data-testid="product-card::name">old</h2> --><h2 data-testid="product-card::name"> '), shown_name(c), F.lit(" </h2>"),
+            F.lit('<p data-testid="product-card::price"><span>R$&nbsp;</span><strong>'), price, F.lit("</strong></p>"),
+            _opt(has_inst, F.concat(F.lit('<span data-testid="product-card::installment"><span>'), c("n").cast("string"),
+                                    F.lit("x</span> de <span>R$ <span>"), money_text(c("inst_cents")), F.lit("</span></span></span>"))),
+            _opt(c("rated"), F.concat(F.lit('<div data-testid="product-card::rating"><div><div>'), c("rating"), F.lit("</div> <div>("),
+                                      c("users").cast("string"), F.lit(")</div></div></div>"))),
             F.lit("</a>"),
         )
     if dialect == "B":
         return F.concat(
             F.lit('<a data-testid="product-card-container" href="'), c("href"), F.lit('">'),
             F.lit('<img data-testid="image" src="'), c("img"), F.lit('">'),
-            F.lit('<h2 data-testid="product-title">'), c("name"), F.lit("</h2>"),
+            F.lit("<h2 class=title data-testid='product-title'>"), shown_name(c), F.lit("</h2>"),
             F.lit(f'<p data-testid="price-value">ou R${NBSP}'), price, F.lit("</p>"),
             _opt(has_inst, F.concat(F.lit(f'<p data-testid="installment">R${NBSP}'), money_text(c("total_cents")),
                                     F.lit(" em "), c("n").cast("string"), F.lit(f"x de R${NBSP}"),
                                     money_text(c("inst_cents")), F.lit(" sem juros</p>"))),
-            _opt(c("rated"), F.concat(F.lit('<div data-testid="review"><span format="score-count">'), c("rating"),
-                                      F.lit(" ("), c("users").cast("string"), F.lit(")</span></div>"))),
+            _opt(c("rated"), F.concat(F.lit('<div data-testid="review"><div><div class="stars"></div></div><div><span format="score-count">'), c("rating"),
+                                      F.lit(" <span>("), c("users").cast("string"), F.lit(")</span></span></div></div>"))),
             F.lit("</a>"),
         )
     if dialect == "C":
@@ -92,20 +101,21 @@ def card_html(facts: DataFrame, dialect: str) -> Column:
             F.concat(F.lit('<img class="poly-component__picture" src="'), c("img"), F.lit('">')))
         return F.concat(
             F.lit('<div class="andes-card poly-card poly-card--grid"><div class="poly-card__portada">'), img,
-            F.lit('</div><div class="poly-card__content"><a class="poly-component__title" href="'),
-            F.lit(DIALECTS["C"]["site"]), c("href"), F.lit('">'), c("name"), F.lit("</a>"),
-            F.lit('<div class="poly-price"><span class="andes-money-amount__fraction">'), whole, F.lit("</span>"),
+            F.lit('</div><div class="poly-card__content"><A HREF="'),
+            F.lit(DIALECTS["C"]["site"]), c("href"), F.lit('" class="link poly-component__title x"><span><span>'), shown_name(c), F.lit("</span></span></A>"),
+            F.lit('<div class="poly-price"><span class="andes-money-amount"><span>R$</span><span class="andes-money-amount__fraction large">'),
+            whole, F.lit("</span>"),
             _opt(cents > 0, F.concat(F.lit('<span class="andes-money-amount__cents andes-money-amount__cents--superscript-24">'),
                                      F.lpad(cents.cast("string"), 2, "0"), F.lit("</span>"))),
-            F.lit("</div>"),
-            _opt(has_inst, F.concat(F.lit('<span class="poly-price__installments">'), c("n").cast("string"),
-                                    F.lit('x <span class="andes-money-amount__fraction">'), inst_whole, F.lit("</span>"),
+            F.lit("</span></div>"),
+            _opt(has_inst, F.concat(F.lit('<span class="green poly-price__installments"><span>'), c("n").cast("string"),
+                                    F.lit('x</span> <span class="andes-money-amount"><span class="andes-money-amount__fraction">'), inst_whole, F.lit("</span>"),
                                     _opt(inst_cents > 0, F.concat(F.lit('<span class="andes-money-amount__cents">'),
                                                                   F.lpad(inst_cents.cast("string"), 2, "0"), F.lit("</span>"))),
-                                    F.lit("</span>"))),
-            _opt(c("rated"), F.concat(F.lit('<div class="poly-component__reviews"><span class="poly-reviews__rating">'),
-                                      c("rating"), F.lit('</span><span class="poly-reviews__total">('),
-                                      c("users").cast("string"), F.lit(")</span></div>"))),
+                                    F.lit("</span></span>"))),
+            _opt(c("rated"), F.concat(F.lit('<div class="poly-component__reviews"><div><span class="poly-reviews__rating">'),
+                                      c("rating"), F.lit('</span></div><div><span class="poly-reviews__total">('),
+                                      c("users").cast("string"), F.lit(")</span></div></div>"))),
             F.lit("</div></div>"),
         )
     raise ValueError(dialect)
@@ -113,8 +123,12 @@ def card_html(facts: DataFrame, dialect: str) -> Column:
 
 _WRAP = {
     "A": ('<html><body><div data-testid="header::menu-region"></div><main>', "</main></body></html>"),
-    "B": ('<html><body><header>ofertas</header><div data-testid="product-list">', "</div></body></html>"),
-    "C": ('<html><body><section class="ui-best-seller-content-main-components">', "</section></body></html>"),
+    # a list element with an inner div, and a strip of recommendations after it that doesn't count
+    "B": ('<html><body><header>ofertas</header><div data-testid="product-list"><div>',
+          '</div></div><div><a data-testid="product-card-container" href="/x"><h2 data-testid="product-title">x</h2></a></div></body></html>'),
+    # scripts and cards outside of the section don't count
+    "C": ('<html><body><script>"<div class=andes-card>"</script><div class="andes-card">x</div>'
+          '<section class="main ui-best-seller-content-main-components">', "</section></body></html>"),
 }
 
 
