@@ -25,6 +25,7 @@ TAG = re.compile(
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+SEEN_TAGS, SEEN_LENGTH = 5000, 200
 # Elements without content.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 # The attributes that elements are looked up by.
@@ -40,10 +41,32 @@ def reference_value(name: str) -> str | None:
 
 
 class Decoder:
-    """Character references as characters; each distinct reference is decoded once."""
+    """Character references as characters, and start tags as their parts; each distinct one is read once.
+
+    One object serves a batch of pages; the tags it remembers are bounded."""
 
     def __init__(self) -> None:
         self.known: dict[str, str] = {}
+        self.seen: dict[str, tuple] = {}
+
+    def start_tag(self, whole: str, m: re.Match) -> tuple[str, dict[str, str], list[tuple[str, str, str]], bool]:
+        """Name, attributes (undecoded), the keys that the element is found by, and whether it has no content."""
+        parts = self.seen.get(whole)
+        if parts is None:
+            name, text = (m.group(3) or m.group(6)).lower(), m.group(4) or m.group(7) or ""
+            attributes: dict[str, str] = {}
+            for key, double, single, bare in ATTRIBUTE.findall(text):
+                attributes.setdefault(key.lower(), double or single or bare)
+            keys = [(name, "", "")]
+            for mark in MARKS:
+                value = attributes.get(mark)
+                if value:
+                    tokens = {value, *value.split()} if mark == "class" else (value,)
+                    keys += [(name, mark, token) for token in tokens]
+            parts = name, attributes, keys, name in VOID or text.endswith("/")
+            if len(self.seen) < SEEN_TAGS and len(whole) <= SEEN_LENGTH:
+                self.seen[whole] = parts
+        return parts
 
     def one(self, match: re.Match) -> str:
         whole = match.group()
@@ -75,51 +98,50 @@ class ElementIndex:
 
     def _read(self) -> None:
         stack: list[int] = []
-        tags, places = self.tags, self.places
+        tags, places, ends, stops, last = self.tags, self.places, self.ends, self.stops, self.last
+        size, start_tag = len(self.page), self.decode.start_tag
         for m in TAG.finditer(self.page):
-            name = m.group(3) or m.group(6)
-            if name is None:
+            whole = m.group()
+            if whole[1] == "!" or m.group(1):
                 continue
-            name = name.lower()
-            if m.group(2) or m.group(5):
+            if whole[1] == "/":
+                name = (m.group(3) or m.group(6)).lower()
                 for k in range(len(stack) - 1, -1, -1):
                     if tags[stack[k]] == name:
                         # what is still open inside ends with it
                         for i in stack[k:]:
-                            self.stops[i], self.last[i] = m.start(), len(tags)
-                            self.ends[i] = m.start()
-                        self.ends[stack[k]] = m.end()
+                            stops[i] = ends[i] = m.start()
+                            last[i] = len(tags)
+                        ends[stack[k]] = m.end()
                         del stack[k:]
                         break
                 continue
-            text = m.group(4) if m.group(3) else m.group(7)
+            name, attributes, keys, closed = start_tag(whole, m)
             i = len(tags)
             tags.append(name)
             self.starts.append(m.start())
             self.inner.append(m.end())
             self.depth.append(len(stack))
-            attributes: dict[str, str] = {}
-            for a in ATTRIBUTE.finditer(text or ""):
-                attributes.setdefault(a.group(1).lower(), a.group(2) or a.group(3) or a.group(4) or "")
             self.attributes.append(attributes)
-            places.setdefault((name, "", ""), []).append(i)
-            for mark in MARKS:
-                value = attributes.get(mark)
-                if value:
-                    for token in {value, *(value.split() if mark == "class" else ())}:
-                        places.setdefault((name, mark, token), []).append(i)
-                        self.tokens.setdefault((name, mark), set()).add(token)
-            if name in VOID or (text or "").endswith("/"):
-                self.stops.append(m.end())
-                self.ends.append(m.end())
-                self.last.append(i + 1)
+            for key in keys:
+                if key in places:
+                    places[key].append(i)
+                else:
+                    places[key] = [i]
+            if closed:
+                stops.append(m.end())
+                ends.append(m.end())
+                last.append(i + 1)
             else:
-                self.stops.append(len(self.page))
-                self.ends.append(len(self.page))
-                self.last.append(-1)
+                stops.append(size)
+                ends.append(size)
+                last.append(-1)
                 stack.append(i)
         for i in stack:
-            self.last[i] = len(tags)
+            last[i] = len(tags)
+        for tag, mark, token in places:
+            if mark:
+                self.tokens.setdefault((tag, mark), set()).add(token)
 
     def _range(self, i: int) -> tuple[int, int]:
         return (0, len(self.tags)) if i < 0 else (i + 1, self.last[i])
