@@ -71,14 +71,39 @@ def test_missing_table_and_load_type(spark, db):
         T.read_table(spark, f"{db}.none")
 
 
-def test_schema_overwrite_replaces_table(spark, db):
+def test_changed_type_keeps_other_partitions(spark, db):
     name = f"{db}.t"
     T.save_table(spark, rows(spark, [("a", 1, "d1"), ("b", 2, "d2")]), name, "dt_refe_crga", "append")
-    new = spark.createDataFrame([("c", "x", "d3")], "id string, v string, dt_refe_crga string")
+    new = spark.createDataFrame([("c", "x", "d2"), ("d", "y", "d3")], "id string, v string, dt_refe_crga string")
     T.save_table(spark, new, name, "dt_refe_crga", "overwrite", "overwrite")
     got = spark.table(name)
     assert dict(got.dtypes)["v"] == "string"
-    assert [tuple(r) for r in got.select("id", "v", "dt_refe_crga").collect()] == [("c", "x", "d3")]
+    want = [("a", "1", "d1"), ("c", "x", "d2"), ("d", "y", "d3")]
+    assert sorted(tuple(r) for r in got.select("id", "v", "dt_refe_crga").collect()) == want
+    # what can't be cast raises, and the table stays as it is
+    with pytest.raises(Exception):
+        T.save_table(spark, rows(spark, [("e", 5, "d9")]), name, "dt_refe_crga", "overwrite", "overwrite")
+    assert sorted(tuple(r) for r in spark.table(name).select("id", "v", "dt_refe_crga").collect()) == want
+    assert T.list_tables(spark, db).count("t") == 1 and not [t for t in T.list_tables(spark, db) if t.startswith("t__")]
+    # without partitions the frame is the new table
+    flat = f"{db}.flat"
+    T.save_table(spark, rows(spark, [("a", 1, "d1")]), flat)
+    T.save_table(spark, new, flat, None, "overwrite", "overwrite")
+    assert spark.table(flat).count() == 2 and dict(spark.table(flat).dtypes)["v"] == "string"
+
+
+def test_newest_folder_without_reading_older_ones(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    frame = rows(spark, [("a", 1, "2024-03-01"), ("b", 2, "2024-03-02"), ("c", 3, None)])
+    frame.write.partitionBy("dt_refe_crga").parquet(path)
+    (tmp_path / "lake" / "dt_refe_crga=2024-03-09").mkdir()  # a partition without files
+    older = tmp_path / "lake" / "dt_refe_crga=2024-03-01"
+    for f in older.glob("*.parquet"):
+        f.write_bytes(b"not a parquet file")
+    got = T.read_path(spark, path, latest_only=True)
+    assert [tuple(r) for r in got.select("id", "v", "dt_refe_crga").collect()] == [("b", 2, "2024-03-02")]
+    assert all("2024-03-02" in f for f in got.inputFiles())
+    assert [v for v, _ in T.partition_folders(spark, path, "dt_refe_crga")] == ["2024-03-09", "2024-03-02", "2024-03-01"]
 
 
 def test_overwrite_reading_own_table(spark, db):

@@ -119,17 +119,6 @@ def max_or_default(df: DataFrame, column: str, default: int = 0) -> Column:
     return df.agg(F.coalesce(F.max(F.expr(f"try_cast({column} AS BIGINT)")), F.lit(default))).scalar()
 
 
-def _paired(rows: DataFrame, other: DataFrame, order: Sequence[str]) -> DataFrame:
-    """``rows`` with ``__met`` (the other side has the same label and URL) and ``__k``, their
-    rank among the rows of their label that are alike in this; a label has few URLs."""
-    triple = ["DS_CATEGORY", "NM_SELLER", "DS_URL"]
-    there = other.select(*[F.col(c).alias(f"__{c}") for c in triple]).distinct().withColumn("__hit", F.lit(True))
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in triple])
-    marked = rows.join(there, same, "left").withColumn("__met", F.coalesce("__hit", F.lit(False)))
-    within = Window.partitionBy("DS_CATEGORY", "NM_SELLER", "__met").orderBy(*order)
-    return marked.drop("__hit", *[f"__{c}" for c in triple]).withColumn("__k", F.row_number().over(within))
-
-
 def merge_categories(
     old: DataFrame,
     new: DataFrame,
@@ -141,7 +130,7 @@ def merge_categories(
     Keys (DS_CATEGORY, NM_SELLER); the fresh side wins per column; rows only
     in the stored side stay. A label with several URLs is paired one to one:
     first rows with the same URL, then what is left by the order of the URLs,
-    so no row is doubled and every id stays unique. A stored id is kept; a new row gets max + its
+    so no row is doubled and every id stays unique; rows without a seller are paired likewise. A stored id is kept; a new row gets max + its
     rank. As coded the rank runs over all merged rows (unique, above the
     maximum, with gaps); ``dense=True`` ranks only the new rows.
     """
@@ -149,15 +138,25 @@ def merge_categories(
     start = max_or_default(old, "ID_CATEGORY")
     o = old.select("ID_CATEGORY", "DS_CATEGORY", "NM_SELLER", "DS_URL", "DH_ORIGIN_EXEC")
     n = new.select("DS_CATEGORY", "NM_SELLER", "DS_URL", "DH_ORIGIN_EXEC")
-    paired_old = _paired(o, n, ["DS_URL", "ID_CATEGORY"]).alias("old")
-    paired_new = _paired(n, o, ["DS_URL", "DH_ORIGIN_EXEC"]).alias("new")
-    merged = paired_old.join(paired_new, ["DS_CATEGORY", "NM_SELLER", "__met", "__k"], "full").select(
-        F.col("old.ID_CATEGORY").cast("bigint").alias("__old_id"),
-        F.coalesce(F.col("new.DS_CATEGORY"), F.col("old.DS_CATEGORY")).alias("DS_CATEGORY"),
-        F.coalesce(F.col("new.NM_SELLER"), F.col("old.NM_SELLER")).alias("NM_SELLER"),
-        F.coalesce(F.col("new.DS_URL"), F.col("old.DS_URL")).alias("DS_URL"),
-        F.coalesce(F.col("new.DH_ORIGIN_EXEC"), F.col("old.DH_ORIGIN_EXEC")).alias("DH_ORIGIN_EXEC"),
-    )
+    # both sides as one tagged relation, dealt once by the key; both windows and the grouping reuse that
+    tagged = o.withColumn("__new", F.lit(False)).unionByName(
+        n.withColumn("__new", F.lit(True)).withColumn("ID_CATEGORY", F.lit(None).cast(o.schema["ID_CATEGORY"].dataType)))
+    key = ["DS_CATEGORY", "NM_SELLER"]
+    url = Window.partitionBy(*key, "DS_URL")
+    alike = Window.partitionBy(*key, "__met", "__new").orderBy("DS_URL", "ID_CATEGORY", "DH_ORIGIN_EXEC")
+    placed = (
+        tagged.repartition(*key)
+        .withColumn("__met", F.min("__new").over(url) != F.max("__new").over(url))
+        .withColumn("__k", F.row_number().over(alike)))
+
+    def side(column: str, new: bool) -> Column:  # at most one row of each side meets
+        return F.max(F.when(F.col("__new") == new, F.col(column)))
+
+    merged = placed.groupBy(*key, "__met", "__k").agg(
+        side("ID_CATEGORY", False).cast("bigint").alias("__old_id"),
+        F.coalesce(side("DS_URL", True), side("DS_URL", False)).alias("DS_URL"),
+        F.coalesce(side("DH_ORIGIN_EXEC", True), side("DH_ORIGIN_EXEC", False)).alias("DH_ORIGIN_EXEC"),
+    ).select("__old_id", *CATEGORY_COLUMNS[1:])
     if dense:
         kept = merged.filter(F.col("__old_id").isNotNull()).withColumn("ID_CATEGORY", F.col("__old_id"))
         fresh = number_rows(merged.filter(F.col("__old_id").isNull()), order, start, "ID_CATEGORY")

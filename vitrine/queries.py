@@ -8,6 +8,7 @@ the driver tables. Column names are aliased identically on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -1008,6 +1009,56 @@ def q_schema_policies(spark, sf_dir):
     return T.read_table(spark, name)
 
 
+@register(
+    "changed_type",
+    f"""
+WITH {PRODUCTS_SQL}
+SELECT * REPLACE (CAST(rating_users AS VARCHAR) || CASE WHEN dt_refe_crga = (SELECT max(dt_refe_crga) FROM products) THEN '+' ELSE '' END AS rating_users)
+FROM products
+""",
+)
+def q_changed_type(spark, sf_dir):
+    """A partition overwritten with another type of a column; the other partitions stay and are cast."""
+    products, _ = _products(spark, sf_dir)
+    name = f"{_scratch_db(spark)}.b_products"
+    T.save_table(spark, products, name, PARTITION_COLUMN, "append")
+    newest = T.latest_partition(products).withColumn("rating_users", F.concat(F.col("rating_users").cast("string"), F.lit("+")))
+    T.save_table(spark, newest, name, PARTITION_COLUMN, "overwrite", "overwrite")
+    return T.read_table(spark, name)
+
+
+@register(
+    "describe_databases",
+    """
+SELECT r_name, 'Suppliers of ' || r_name AS comment, CAST(count(DISTINCT n_nationkey) AS VARCHAR) AS nations, true AS at_location,
+       1 AS n_tables, count(s_suppkey) AS n_rows
+FROM region JOIN nation ON n_regionkey = r_regionkey LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY r_name
+""",
+)
+def q_describe_databases(spark, sf_dir):
+    """A database a region with its suppliers as a table; name, comment, property and location as described."""
+    region, nation = read_input(spark, sf_dir, "region"), read_input(spark, sf_dir, "nation")
+    homes = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    counts = {r["r_name"]: r["n"] for r in homes.groupBy("r_name").agg(F.countDistinct("n_nationkey").alias("n")).collect()}  # the regions
+    supplier = read_input(spark, sf_dir, "supplier").join(homes, F.col("s_nationkey") == F.col("n_nationkey"))
+    out = []
+    for region_name, nations in sorted(counts.items()):
+        db = f"{_scratch_db(spark)}_{region_name.lower().replace(' ', '_')}"
+        place = scratch_location(spark, "database")
+        T.create_database(spark, db, place, f"Suppliers of {region_name}", {"nations": str(nations)})
+        T.save_table(spark, supplier.filter(F.col("r_name") == region_name), f"{db}.suppliers")
+        info = T.describe_database(spark, db)
+        value = {r["info_name"]: r["info_value"] for r in info.collect()}  # one row a property of the database
+        assert value["Namespace Name"] == db
+        out.append(info.filter("info_name = 'Comment'").select(
+            F.lit(region_name).alias("r_name"), F.col("info_value").alias("comment"),
+            F.lit(value["Properties"].strip("()").split(",")[1].strip(" )")).alias("nations"),
+            F.lit(value["Location"].endswith(place.split(":")[-1])).alias("at_location"),
+            F.lit(len(T.list_tables(spark, db))).alias("n_tables")).crossJoin(
+                T.read_table(spark, f"{db}.suppliers").agg(F.count(F.lit(1)).alias("n_rows"))))
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
 @register(
     "table_lifecycle",
     """

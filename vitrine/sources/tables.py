@@ -15,6 +15,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -102,6 +103,21 @@ def read_table(
     return df
 
 
+def partition_folders(spark: SparkSession, path: str, partition_column: str) -> list[tuple[str, str]]:
+    """``(value, folder)`` of the partitions of a folder, newest first, from a listing of the folder
+    itself (one name a partition); the NULL partition is left out."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    prefix = f"{partition_column}="
+    found = []
+    for status in store.listStatus(root):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(prefix) and name != prefix + NULL_PARTITION:
+            found.append((unquote(name[len(prefix):]), status.getPath().toString()))
+    return sorted(found, reverse=True)
+
+
 def read_path(
     spark: SparkSession,
     path: str,
@@ -110,9 +126,20 @@ def read_path(
 ) -> DataFrame:
     """Read an unregistered hive-partitioned Parquet folder (T4).
 
-    The partition column is cast back to string so that a date-like value is
-    never inferred as DATE, whatever the session setting.
+    The partition column is a string, so that a date-like value is never inferred as DATE, whatever
+    the session setting. With ``latest_only`` the newest partition is chosen from a listing of the folder's own
+    entries; no file of an older partition is listed or read. Columns that only older partitions have are not
+    returned then. A folder without such partitions is read whole.
     """
+    if latest_only and partition_column:
+        for value, folder in partition_folders(spark, path, partition_column):
+            try:
+                df = spark.read.parquet(folder)
+            except AnalysisException as e:  # no file in this partition: the next older one is the newest
+                if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+                    continue
+                raise
+            return df.withColumn(partition_column, F.lit(value))
     df = spark.read.parquet(path)
     if partition_column and partition_column in df.columns:
         df = df.withColumn(partition_column, F.col(partition_column).cast("string"))
@@ -230,7 +257,9 @@ def save_table(
 
     schema_option ``merge``: new columns are added to the table, columns the
     frame lacks are written as NULL. ``overwrite``: a differing schema makes
-    the frame the new table. ``none``: any difference raises.
+    the frame the new table; when partitions are overwritten, the table's other partitions stay, and where a
+    column's type changes they are cast to it (a value that can't be cast raises, and nothing changes).
+    ``none``: any difference raises.
 
     Columns are always matched by name, never by position. A missing table is
     created from the frame whatever the mode.
@@ -251,7 +280,10 @@ def save_table(
         )
     if schema_option == "overwrite" and mode == "append" and (new or changed or missing):
         raise ValueError(f"appending to {name} can't replace its schema: use schema_option='merge' or mode='overwrite'")
-    if schema_option == "overwrite" and mode == "overwrite" and partition_column and not changed:
+    if schema_option == "overwrite" and mode == "overwrite" and partition_column:
+        if changed:
+            _rewrite_with_types(spark, df, name, partition_column)
+            return
         schema_option = "merge"  # the other partitions stay
     if schema_option == "overwrite" and (new or changed or missing):
         # A new schema replaces the table, as a schema-overwriting write does.
@@ -277,6 +309,28 @@ def save_table(
                 spark.sql(f"INSERT OVERWRITE TABLE {name} BY NAME SELECT * FROM {view}")
 
 
+def _rewrite_with_types(spark: SparkSession, df: DataFrame, name: str, partition_column: str) -> None:
+    """Overwrite the partitions of ``df`` where its column types differ from the table's.
+
+    Frame and other partitions, cast to the frame's types, are written beside the table, as ``<name>__staged_*``, and
+    replace it from there: a failure before that leaves the table as it was, one in the
+    middle of it leaves all rows in the staged table.
+    """
+    kinds = {f.name.lower(): f.dataType for f in df.schema}
+    old = spark.table(name)
+    cast = old.select(*[F.col(c).cast(kinds[c.lower()]).alias(c) if c.lower() in kinds else F.col(c) for c in old.columns])
+    own = df.select(F.col(partition_column).alias("__own")).distinct()
+    others = cast.join(own, F.col(partition_column).eqNullSafe(F.col("__own")), "left_anti")
+    staged = f"{name}__staged_{uuid.uuid4().hex[:8]}"
+    try:
+        _create(others.unionByName(df, allowMissingColumns=True), staged, partition_column, "errorifexists")
+    except Exception:
+        drop_table(spark, staged)
+        raise
+    _create(spark.table(staged), name, partition_column, "overwrite")
+    drop_table(spark, staged)
+
+
 def drop_partition(
     spark: SparkSession,
     name: str,
@@ -321,17 +375,22 @@ def register_table(spark: SparkSession, name: str, path: str, partition_column:
     return spark.table(name)
 
 
-def create_database(spark: SparkSession, name: str, location: str | None = None) -> bool:
+def create_database(
+    spark: SparkSession, name: str, location: str | None = None, comment: str | None = None, properties: dict[str, str] | None = None
+) -> bool:
     """Create a database unless it exists (T18); True when it was created."""
     if spark.catalog.databaseExists(name):
         return False
-    where = f" LOCATION {_quote(location)}" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
+    more = f" COMMENT {_quote(comment)}" if comment else ""
+    more += f" LOCATION {_quote(location)}" if location else ""
+    if properties:
+        more += " WITH DBPROPERTIES (" + ", ".join(f"{_quote(k)} = {_quote(v)}" for k, v in properties.items()) + ")"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{more}")
     return True
 
 
 def describe_database(spark: SparkSession, name: str) -> DataFrame:
-    """Database properties."""
+    """Database properties (T18): ``(info_name, info_value)``, among them name, comment, location, owner and properties."""
     return spark.sql(f"DESCRIBE DATABASE EXTENDED {name}")
 
 
