@@ -5,7 +5,7 @@ that are encoded independently of each other, and most pieces repeat. A
 batch is cut into chunks at places that no piece spans, the distinct chunks
 are cut into pieces, and each distinct piece is encoded once; the ids of the
 documents are then put together with array operations. A memo of encoded
-pieces, bounded in entries, lives in the Python worker.
+pieces, bounded in entries and in the length of a piece, lives in the Python worker.
 
 Bytes reach the model as one printable character each (the byte table of
 byte-level vocabularies); decoding reverses the table.
@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 
 from vitrine.llm.common import worker_cache
 
-MEMO_ENTRIES = 150_000
+MEMO_ENTRIES, MEMO_LENGTH = 150_000, 64
 SLICE_BYTES = 4 << 20
 
 
@@ -82,15 +82,13 @@ def take_ranges(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) ->
     return values[np.repeat(starts - before, lengths) + np.arange(total)]
 
 
-def remembered(memo: dict[str, bytes], wanted: list[str] | set[str]) -> list[str]:
-    """Those of ``wanted`` that the memo lacks. A memo that would grow beyond its bound
-    forgets what this batch doesn't use."""
-    fresh = [x for x in wanted if x not in memo]
-    if len(memo) + len(fresh) > MEMO_ENTRIES:
-        used = {x: memo[x] for x in wanted if x in memo}
+def remember(memo: dict[str, bytes], own: dict[str, bytes]) -> None:
+    """Keep what a batch has used in the memo, but for long keys. A memo that would grow beyond its
+    bound forgets the rest, and takes no more than the bound."""
+    short = [(k, v) for k, v in own.items() if len(k) <= MEMO_LENGTH]
+    if len(memo) + len(short) > MEMO_ENTRIES:
         memo.clear()
-        memo.update(used)
-    return fresh
+    memo.update(short[:MEMO_ENTRIES])
 
 
 class PieceEncoder:
@@ -109,19 +107,33 @@ class PieceEncoder:
         self.pieces: dict[str, bytes] = cache.setdefault(("pieces", key), {})
         self.chunks: dict[str, bytes] = cache.setdefault(("chunks", key), {})
 
+    def known(self, memo: dict[str, bytes], wanted: list[str], make) -> dict[str, bytes]:
+        """Ids of the distinct ``wanted``: from the memo, or from ``make(fresh)``."""
+        own = {x: memo[x] for x in wanted if x in memo}
+        fresh = [x for x in wanted if x not in own]
+        if fresh:
+            new = dict(zip(fresh, make(fresh), strict=True))
+            remember(memo, new)
+            own.update(new)
+        return own
+
+    def piece_ids(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of distinct pieces."""
+        def make(fresh: list[str]) -> list[bytes]:
+            parts = [fresh[i : i + 10_000] for i in range(0, len(fresh), 10_000)]
+            return list(chain.from_iterable(self.encode_pieces([to_byte_chars(p) for p in part]) for part in parts))
+
+        return self.known(self.pieces, pieces, make)
+
     def encode(self, chunks: list[str], cut) -> list[bytes]:
         """ids of each of the distinct ``chunks``; ``cut`` gives the pieces of one."""
-        known, memo = self.chunks, self.pieces
-        fresh = remembered(known, chunks)
-        split = [cut(c) for c in fresh]
-        new = remembered(memo, set(chain.from_iterable(split)))
-        for i in range(0, len(new), 10_000):
-            part = new[i : i + 10_000]
-            memo.update(zip(part, self.encode_pieces([to_byte_chars(p) for p in part]), strict=True))
-        known.update(
-            (c, memo[ps[0]] if len(ps) == 1 else b"".join([memo[p] for p in ps]))
-            for c, ps in zip(fresh, split, strict=True))
-        return [known[c] for c in chunks]
+        def make(fresh: list[str]) -> list[bytes]:
+            split = [cut(c) for c in fresh]
+            own = self.piece_ids(list(dict.fromkeys(chain.from_iterable(split))))
+            return [own[ps[0]] if len(ps) == 1 else b"".join([own[p] for p in ps]) for ps in split]
+
+        own = self.known(self.chunks, chunks, make)
+        return [own[c] for c in chunks]
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         """ids of pieces in byte characters. Where word ends are marked, many pieces
@@ -163,8 +175,9 @@ def word_spec(path: str) -> str:
     return json.dumps({**spec, **plain})
 
 
-# Fixed value: the split pattern of the word vocabulary.
-WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# The split pattern of the word vocabulary (white space parts pieces and is dropped), and white space.
+SPACES = r"\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\x09-\x0D\x20" + SPACES + r"\p{L}\p{N}]+"
 
 
 class WordEncoder:
@@ -172,36 +185,82 @@ class WordEncoder:
 
     The tokenizer composes characters, lower-cases, drops white space and
     encodes each match of its pattern alone; no match spans white space, so
-    white-space chunks are independent.
-    """
+    the distinct white-space chunks of a batch are cut into pieces by Arrow, all at once.
 
-    def __init__(self, path: str):
-        import regex
+    With ``added`` a text that holds one of the vocabulary's added tokens is encoded by the unmodified
+    tokenizer, which gives such a token its own id; otherwise it is text like any other.
+    """
 
+    def __init__(self, path: str, added: bool = False):
         cache = worker_cache()
         if ("spec", path) not in cache:
             cache["spec", path] = word_spec(path)
+            with open(path, encoding="utf-8") as f:
+                cache["added", path] = [t["content"] for t in json.load(f)["added_tokens"]]
+        self.path = path
         self.pieces = PieceEncoder(cache["spec", path], path)
-        self.find = regex.compile(WORD_PATTERN).findall
+        self.added = cache["added", path] if added else []
+
+    def chunk_ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """ids of all the distinct chunks, and the number of ids of each."""
+        if not pc.all(pc.string_is_ascii(chunks), min_count=0).as_py():
+            text = "\n".join(chunks.to_pylist())  # a chunk holds no line end
+            if not unicodedata.is_normalized("NFC", text):
+                chunks = pa.array(unicodedata.normalize("NFC", text).split("\n"), chunks.type)
+            chunks = pc.replace_substring(chunks, "\u0130", "i\u0307")  # the one letter whose lower case is two
+            chunks = pc.replace_substring_regex(chunks, f"[{SPACES}]+", " ")
+        spaced = pc.replace_substring_regex(pc.utf8_lower(chunks), WORD_PATTERN, r"\0 ")
+        lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(spaced))
+        coded = lists.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        own = self.pieces.piece_ids([p for p in pieces if p])
+        own[""] = b""
+        parts = [own[p] for p in pieces]
+        sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
+        flat = np.frombuffer(b"".join(parts), dtype="<u4")
+        codes = np.asarray(coded.indices, dtype=np.int64)
+        each = sizes[codes]
+        ids = take_ranges(flat, (np.cumsum(sizes) - sizes)[codes], each)
+        ends = np.concatenate([[0], np.cumsum(each)])
+        last = np.cumsum(np.asarray(pc.list_value_length(lists), dtype=np.int64))
+        first = np.concatenate([[0], last[:-1]])
+        return ids, ends[last] - ends[first]
+
+    def whole(self) -> object:
+        """The unmodified tokenizer."""
+        cache = worker_cache()
+        if ("whole", self.path) not in cache:
+            from tokenizers import Tokenizer
 
-    def chunk_pieces(self, chunk: str) -> list[str]:
-        if not chunk.isascii():
-            chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
-        low = chunk.lower()
-        return [low] if low.isalpha() else self.find(low)
+            cache["whole", self.path] = Tokenizer.from_file(self.path)
+        return cache["whole", self.path]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """ids of all texts (uint32) and the number of ids of each text; null counts as empty."""
-        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        texts = pc.fill_null(texts, "")
+        odd = np.zeros(len(texts), dtype=bool)
+        for token in self.added:
+            odd |= np.asarray(pc.match_substring(texts, token))
+        rows = np.flatnonzero(odd)
+        if not len(rows):
+            return self.encode_plain(texts)
+        ids, counts = self.encode_plain(pc.if_else(pa.array(odd), pa.scalar("", texts.type), texts))
+        own = [array("I", self.whole().encode(texts[int(i)].as_py(), add_special_tokens=False).ids) for i in rows]
+        ends = np.cumsum(counts)
+        parts, done = [], 0
+        for i, found in zip(rows.tolist(), own, strict=True):
+            parts += [ids[done : ends[i]], np.frombuffer(found, dtype="<u4")]
+            counts[i], done = len(found), ends[i]
+        return np.concatenate([*parts, ids[done:]]), counts
+
+    def encode_plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        lists = pc.ascii_split_whitespace(texts)
         counts = np.asarray(pc.list_value_length(lists), dtype=np.int64)
         coded = lists.flatten().dictionary_encode()
         codes = np.asarray(coded.indices, dtype=np.int64)
-        parts = self.pieces.encode(coded.dictionary.to_pylist(), self.chunk_pieces)
-        sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
-        flat = np.frombuffer(b"".join(parts), dtype="<u4")
-        starts = np.cumsum(sizes) - sizes
+        flat, sizes = self.chunk_ids(coded.dictionary)
         each = sizes[codes]
-        ids = take_ranges(flat, starts[codes], each)
+        ids = take_ranges(flat, (np.cumsum(sizes) - sizes)[codes], each)
         ends = np.concatenate([[0], np.cumsum(each)])
         last = np.cumsum(counts)
         return ids, ends[last] - ends[last - counts]

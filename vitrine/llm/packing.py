@@ -18,7 +18,7 @@ Each task takes a range of ids and works through it in segments of about
 What is left at a range's end is cut into powers of two when that is cheaper
 than padding.
 
-Cases: a null text is empty (its only token is the end id); an empty table
+Cases: the vocabulary's added tokens have their own ids where a text holds them; a null text is empty (its only token is the end id); an empty table
 gives an empty result; rows with one id are packed one after the other in
 an order of their own; null ids come first; further columns are not read.
 """
@@ -59,8 +59,10 @@ def sentence_ends(path: str) -> np.ndarray:
         import json
 
         with open(path, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
-        flags = np.zeros(max(vocab.values()) + 1, dtype=bool)
+            spec = json.load(f)
+        vocab = spec["model"]["vocab"]
+        last = max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])])
+        flags = np.zeros(last + 1, dtype=bool)
         stop = re.compile(r"[^0-9a-z]*[.!?]+[\"')\]]*</w>")
         flags[[i for token, i in vocab.items() if stop.fullmatch(token)]] = True
         cache["sentence", path] = flags
@@ -199,7 +201,7 @@ def pack(
     schema = f"id {kind}, {PIECES}" + ", ids array<int>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = bpe.WordEncoder(vocabulary)
+        encoder = bpe.WordEncoder(vocabulary, added=True)
         packer = Packer(sentence_ends(vocabulary), TaskContext.get().partitionId(), window, with_ids)
         names = [x.split()[0] for x in schema.split(", ")]
 
