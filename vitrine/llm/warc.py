@@ -3,9 +3,15 @@
 A payload is a run of rows ``(record, chunk_no, chunk, size, digest, last)``: at
 most ``CHUNK`` bytes each, with the bytes and the SHA-1 (bare upper-case
 base32) of the payload up to and with this chunk. Writing and reading both go through
-this table, so beyond the source cell no step holds a whole record: the
-writer copies chunk after chunk into the archive, the reader takes chunk
-after chunk out of it and carries the digest along.
+this table:
+
+1. the last rows of all payloads, without bytes, decide which records are responses and which revisits;
+2. the chunk rows, each with the size and digest of its whole payload, are dealt by record together
+   with one head row a record, and sorted by chunk number;
+3. the writer takes the head, then chunk after chunk, and compresses them into the archive;
+   the reader takes chunk after chunk out of it and carries the digest along.
+
+So beyond the source cell no step holds a whole record: shuffle, sort and Python see rows of ``CHUNK`` bytes.
 
 ``write_archives`` writes one archive per task (a new one after ``ARCHIVE_BYTES``) into
 a shared folder; an archive gets its name only when it is complete, and a
@@ -17,7 +23,8 @@ Cases: a null html is an empty payload; of records with equal payloads of at
 least ``minimum`` bytes that with the largest id is the response (null ids
 count as smallest; rows that repeat this id are all responses), smaller
 payloads are all responses; an empty table gives no archive and no rows;
-repeated rows are records of their own; further columns are not read.
+repeated rows are records of their own (those with one id and one payload go to one task, which
+streams them); further columns are not read.
 """
 
 from __future__ import annotations
@@ -31,14 +38,16 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import commit_file, scratch_dir, stored
+from vitrine.llm.common import commit_file, scratch_dir, shuffle_partitions, stored
 
 CHUNK = 1 << 16
 ARCHIVE_BYTES = 1 << 28
 LEVEL = 3
+TASK_BYTES = 1 << 26  # payload bytes that a writing task takes on average, archive bytes that a reading task takes
+ARCHIVES_A_TASK, MOST_TASKS = 4, 100_000
 CHUNK_SCHEMA = "chunk_no bigint, chunk binary, size bigint, digest string, last boolean"
 
 
@@ -107,6 +116,56 @@ def chunk_table(df: DataFrame, id_col: str = "page_id", payload_col: str = "html
     return rows.mapInArrow(run, f"id {kind}, {CHUNK_SCHEMA}").withColumnRenamed("id", id_col)
 
 
+def record_chunks(df: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
+    """The chunk rows of all records for the writer: ``(id, total, payload, row, chunk_no, url, chunk)``.
+
+    ``total`` and ``payload`` are the size and digest of the whole payload, ``row`` is the number of the source row; the url stands on the
+    first chunk. The running digest of the last chunk must be the payload's."""
+    rows = df.select(
+        F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.col(url_col).cast("string").alias("url"),
+        F.coalesce(F.col(payload_col), F.lit("")).cast("binary").alias("payload"))
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [None, pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+        names = ["id", "total", "payload", "row", "chunk_no", "url", "chunk"]
+
+        def table(found: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
+            columns = zip(*found, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, t or id_type) for c, t in zip(columns, types, strict=True)], names=names)
+
+        for batch in batches:
+            id_type = batch.schema.field(0).type
+            ids, numbers, urls, payloads = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)
+            found: list[tuple] = []
+            held = 0
+            for i, (key, row) in enumerate(zip(ids, numbers, strict=True)):
+                cell = payloads[i].as_buffer()
+                total, payload = cell.size, base32(hashlib.sha1(cell))
+                for number, piece, _, digest, last in chunks_of(reader_of(cell)):
+                    if last and digest != payload:
+                        raise ValueError(f"the chunks of {key} are not its payload")
+                    found.append((key, total, payload, row, number, urls[i].as_py() if number == 0 else None, piece))
+                    held += len(piece) + 200
+                    if held > 1 << 23:
+                        yield table(found, id_type)
+                        found, held = [], 0
+            if found:
+                yield table(found, id_type)
+
+    return rows.mapInArrow(run, f"id {kind}, total bigint, payload string, row bigint, chunk_no bigint, url string, chunk binary")
+
+
+def dealt_records(chunks: DataFrame, decisions: DataFrame, tasks: int) -> DataFrame:
+    """Chunk rows and one head row a record key (``row`` and ``chunk_no`` -1), dealt by record and in order."""
+    key = ["id", "total", "payload"]
+    heads = decisions.select(
+        *key, F.lit(-1).cast("bigint").alias("row"), F.lit(-1).cast("bigint").alias("chunk_no"), F.lit(None).cast("string").alias("url"),
+        F.lit(None).cast("binary").alias("chunk"), "record_type", "refers_to")
+    every = chunks.unionByName(heads, allowMissingColumns=True)
+    return every.repartition(tasks, *key).sortWithinPartitions(*key, "row", "chunk_no")
+
+
 def decide(digests: DataFrame, id_col: str = "page_id", minimum: int = 0) -> DataFrame:
     """``(id_col, size, digest, record_type, refers_to)`` from the last chunk rows."""
     large = F.col("size") >= minimum
@@ -118,17 +177,6 @@ def decide(digests: DataFrame, id_col: str = "page_id", minimum: int = 0) -> Dat
         F.when(revisit, F.col("latest")).alias("refers_to"))
 
 
-def hex_of(digest: str) -> Column:
-    """Lower-case hexadecimal of a bare base32 SHA-1: eight base32 digits are ten hexadecimal ones."""
-    def part(k: int) -> Column:
-        value = F.lit(0).cast("bigint")
-        for i in range(8):
-            value = value * 32 + (F.expr(f"instr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', substring({digest}, {8 * k + i + 1}, 1))") - 1)
-        return F.lpad(F.lower(F.hex(value)), 10, "0")
-
-    return F.concat(*[part(k) for k in range(4)])
-
-
 def record_head(key, url: str | None, kind: str, size: int, digest: str, refers_to) -> bytes:
     """WARC head and HTTP head of one record; what follows is the payload of a response."""
     clean = (url or "").replace("\r", "").replace("\n", "")
@@ -147,8 +195,8 @@ def record_head(key, url: str | None, kind: str, size: int, digest: str, refers_
 
 
 def write_archives(rows: DataFrame, folder: str) -> DataFrame:
-    """Write ``(id, url, payload, size, digest, record_type, refers_to)`` as WARC records below
-    ``folder``; the (lazy) rows name the archives: ``(archive, records, bytes)``."""
+    """Write ``dealt_records`` as WARC records below ``folder``, chunk by chunk; the (lazy) rows name the
+    archives: ``(archive, records, bytes)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -157,9 +205,18 @@ def write_archives(rows: DataFrame, folder: str) -> DataFrame:
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
         out, name, part, records, number, done = None, "", "", 0, 0, []
+        member, kind, refers = None, "", None
+
+        def end_record() -> None:
+            nonlocal member
+            if member is not None:
+                out.write(member.compress(b"\r\n\r\n"))
+                out.write(member.flush())
+                member = None
 
         def close() -> None:
             nonlocal out
+            end_record()
             if out is not None:
                 size = out.tell()
                 out.close()
@@ -168,32 +225,32 @@ def write_archives(rows: DataFrame, folder: str) -> DataFrame:
                 out = None
 
         for batch in batches:
-            keys, urls, payloads, sizes, digests, kinds, refers = (batch.column(i) for i in range(7))
-            for i in range(batch.num_rows):
-                if out is None:
-                    name = f"part-{task.partitionId():06d}-{number:04d}.warc.gz"
-                    part = f"{root}/.{name}.{task.taskAttemptId()}"
-                    out, records, number = store.open_output_stream(part, compression=None), 0, number + 1
-                kind = kinds[i].as_py()
-                member = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)  # each record is a gzip member of its own
-                out.write(member.compress(record_head(
-                    keys[i].as_py(), urls[i].as_py(), kind, sizes[i].as_py(), digests[i].as_py(), refers[i].as_py())))
+            keys, totals, payloads, _, places, urls, chunks, kinds, refers_to = (batch.column(i) for i in range(9))
+            for i, place in enumerate(places.to_pylist()):
+                if place < 0:
+                    kind, refers = kinds[i].as_py(), refers_to[i].as_py()
+                    continue
+                if place == 0:
+                    end_record()
+                    if out is not None and out.tell() >= ARCHIVE_BYTES:
+                        close()
+                    if out is None:
+                        name = f"part-{task.partitionId():06d}-{number:04d}.warc.gz"
+                        part = f"{root}/.{name}.{task.taskAttemptId()}"
+                        out, records, number = store.open_output_stream(part, compression=None), 0, number + 1
+                    member = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)  # each record is a gzip member of its own
+                    out.write(member.compress(record_head(
+                        keys[i].as_py(), urls[i].as_py(), kind, totals[i].as_py(), payloads[i].as_py(), refers)))
+                    records += 1
                 if kind == "response":
-                    read = reader_of(payloads[i].as_buffer())
-                    while piece := read(CHUNK):
-                        out.write(member.compress(piece))
-                out.write(member.compress(b"\r\n\r\n"))
-                out.write(member.flush())
-                records += 1
-                if out.tell() >= ARCHIVE_BYTES:
-                    close()
+                    out.write(member.compress(chunks[i].as_buffer()))
         close()
         if done:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*done, strict=True), (pa.string(), pa.int64(), pa.int64()), strict=True)],
                 names=["archive", "records", "bytes"])
 
-    return rows.select("id", "url", "payload", "size", "digest", "record_type", "refers_to").mapInArrow(
+    return rows.select("id", "total", "payload", "row", "chunk_no", "url", "chunk", "record_type", "refers_to").mapInArrow(
         run, "archive string, records bigint, bytes bigint")
 
 
@@ -217,7 +274,7 @@ def read_heads(stream) -> dict[str, str] | None:
 
 def read_archives(archives: DataFrame, folder: str, id_type: str = "bigint", with_chunks: bool = True,
                   last_only: bool = False) -> DataFrame:
-    """Chunk rows of all records of ``archives`` (archive): ``record, url, record_type, refers_to,
+    """Chunk rows of all records of ``archives`` (archive, bytes): ``record, url, record_type, refers_to,
     payload_bytes`` (of the HTTP head), ``header_digest`` and the chunk columns. A revisit has one
     row with a null chunk and the digest of its header."""
     names = ["record", "url", "record_type", "refers_to", "payload_bytes", "header_digest",
@@ -270,7 +327,10 @@ def read_archives(archives: DataFrame, folder: str, id_type: str = "bigint", wit
         if found:
             yield table()
 
-    out = archives.select("archive").repartition("archive").mapInArrow(run, schema)
+    # names of a few bytes stand for megabytes: a number of tasks by what is listed, which the session doesn't fold together
+    listed = archives.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    tasks = min(MOST_TASKS, max(1, -(-listed["n"] // ARCHIVES_A_TASK), -(-listed["bytes"] // TASK_BYTES)))
+    out = archives.select("archive").repartition(tasks, "archive").mapInArrow(run, schema)
     for c in ("record", "refers_to"):
         out = out.withColumn(c, F.expr(f"try_cast({c} AS {id_type})"))
     return out
@@ -282,17 +342,12 @@ def archive_round_trip(df: DataFrame, id_col: str = "page_id", url_col: str = "u
     spark = df.sparkSession
     folder = scratch_dir(spark, "warc")
     digests = chunk_table(df, id_col, payload_col, with_chunks=False, last_only=True).select(id_col, "size", "digest")
-    decisions = decide(digests, id_col, minimum).distinct().withColumn("hex", hex_of("digest"))
-    decisions = stored(decisions, "warc-records").alias("d")
-    # a repeated id may have several payloads: the size and the digest belong to the key
-    pages = df.select(
-        F.col(id_col).alias("id"), F.col(url_col).alias("url"),
-        F.coalesce(F.col(payload_col), F.lit("")).cast("binary").alias("payload")).alias("p")
-    same = (
-        F.col("p.id").eqNullSafe(F.col(f"d.{id_col}")) & (F.octet_length("p.payload") == F.col("d.size"))
-                      & (F.sha1("p.payload") == F.col("d.hex")))
-    rows = pages.join(decisions, same)
-    written = write_archives(rows.select("p.*", "d.size", "d.digest", "d.record_type", "d.refers_to"), f"{folder}/archives")
+    decisions = decide(digests, id_col, minimum).distinct()
+    decisions = stored(decisions.withColumnsRenamed({id_col: "id", "size": "total", "digest": "payload"}), "warc-records")
+    held = decisions.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+    tasks = max(shuffle_partitions(spark), -(-held // TASK_BYTES))
+    dealt = dealt_records(record_chunks(df, id_col, url_col, payload_col), decisions, tasks)
+    written = write_archives(dealt, f"{folder}/archives")
     archives = stored(written, "warc-archives")
     kind = df.schema[id_col].dataType.simpleString()
     back = read_archives(archives, f"{folder}/archives", kind, with_chunks=False, last_only=True)
