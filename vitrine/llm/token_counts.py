@@ -29,6 +29,7 @@ from vitrine.llm.common import commit_file, scratch_dir
 
 BLOCK_IDS = 1 << 22
 GROUP_BLOCKS = 1024
+BLOCKS_A_TASK, MOST_TASKS = 4, 100_000
 SEPARATOR = 49407  # end-of-text id of the word vocabulary; ordinary text never gives it
 
 
@@ -108,7 +109,9 @@ def scan_blocks(blocks: DataFrame, folder: str, separator: int = SEPARATOR, bloc
                     [pa.array([file]), pa.array([block], pa.int64()), pa.array([ends], pa.list_(pa.int64())),
                      pa.array([total], pa.int64())], names=["file", "block", "ends", "total"])
 
-    dealt = blocks.select("file", "block", "total").repartition("file", "block")
+    # rows of a few bytes stand for megabytes: a number of tasks by the blocks listed, which the session doesn't fold together
+    tasks = min(MOST_TASKS, max(1, -(-blocks.count() // BLOCKS_A_TASK)))
+    dealt = blocks.select("file", "block", "total").repartition(tasks, "file", "block")
     return dealt.mapInArrow(run, "file string, block bigint, ends array<bigint>, total bigint")
 
 
