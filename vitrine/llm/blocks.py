@@ -16,15 +16,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+SALTS = 16
+
+
 def block_pairs(rows: DataFrame, group: list[str], member: str, sizes: DataFrame, most: int) -> DataFrame:
     """``rows`` once for each pair of blocks of its group that it belongs to.
 
-    ``sizes`` has a row (``group``, ``size``) per group. New columns: ``bi``
+    ``sizes`` has a row (``group``, ``size``) per group; ``rows`` are of these groups only. New columns: ``bi``
     <= ``bj`` (the pair) and ``side`` (-1: both blocks are the same; 0 or 1:
     the row is of block bi or bj).
     """
-    joined = rows.join(sizes, group)
-    blocks = F.ceil(F.col("size") / most).cast("int")
+    # only groups of several blocks are looked up, each under several salts: the rows of one
+    # group are joined, and repeated once a block, in as many tasks
+    salt = F.pmod(F.xxhash64(F.lit(23), member), F.lit(SALTS)).cast("int")
+    large = sizes.filter(F.col("size") > most).select(
+        *[F.col(c).alias(f"g_{c}") for c in group], "size", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("g_salt"))
+    same = salt == F.col("g_salt")
+    for c in group:
+        same = same & (F.col(c) == F.col(f"g_{c}"))
+    joined = rows.join(large, same, "left").drop(*[f"g_{c}" for c in group], "g_salt")
+    blocks = F.coalesce(F.ceil(F.col("size") / most), F.lit(1)).cast("int")
     own = F.pmod(F.xxhash64(F.lit(17), member), blocks).cast("int")
     placed = joined.withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0), blocks - 1))}).drop("size")
     return placed.withColumns({

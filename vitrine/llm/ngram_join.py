@@ -29,7 +29,7 @@ id and text columns are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -90,8 +90,8 @@ def prefix(tokens: np.ndarray, order: np.uint64, length: int) -> np.ndarray:
     return tokens[np.argpartition(tokens * order, length - 1)[:length]]
 
 
-def signatures(df: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
-    """``(id, n, d1, d2, prefix)``: number and digest of the tokens, prefix under order 1."""
+def signatures(df: DataFrame, id_col: str, text_col: str, width: int, percent: int, carried: Sequence[str] = ()) -> DataFrame:
+    """``(id, n, d1, d2, prefix)``: number and digest of the tokens, prefix under order 1; and the ``carried`` columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,11 +106,13 @@ def signatures(df: DataFrame, id_col: str, text_col: str, width: int, percent: i
                     second.append(int.from_bytes(digest[8:], "little", signed=True))
                     heads.append(prefix(tokens, ORDERS[0], n - least_common(n, percent) + n // 20 + 1).tobytes() if n else b"")
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()),
-                     pa.array(second, pa.int64()), pa.array(heads, pa.binary())], names=["id", "n", "d1", "d2", "prefix"])
+                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()),
+                     pa.array(heads, pa.binary()), *part.columns[2:]], names=["id", "n", "d1", "d2", "prefix", *more])
 
-    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id bigint, n bigint, d1 bigint, d2 bigint, prefix binary")
+    more = [f"c_{c}" for c in carried]
+    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"c_{c}") for c in carried])
+    kinds = "".join(f", `{c}` {rows.schema[c].dataType.simpleString()}" for c in more)
+    return rows.mapInArrow(run, f"id bigint, n bigint, d1 bigint, d2 bigint, prefix binary{kinds}")
 
 
 def exploded(rows: DataFrame, blob: str) -> DataFrame:
@@ -180,10 +182,6 @@ def candidate_clusters(sets: DataFrame, percent: int) -> DataFrame:
 def links_in_block(n: np.ndarray, side: np.ndarray, blobs: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Linked pairs of one small group: prefix filters of two orders, then whole sets."""
     sets = [np.frombuffer(b, dtype="<u8") for b in blobs]
-    if len(sets) == 2:
-        common = len(np.intersect1d(*sets, assume_unique=True))
-        ok = 100 * common >= percent * (n.sum() - common) and (side[0] < 0 or side[0] != side[1])
-        return (np.zeros(int(ok), np.int64), np.ones(int(ok), np.int64))
     _, flat = np.unique(np.concatenate(sets), return_inverse=True)
     ends = np.cumsum(n)
     mark = np.zeros(int(flat.max()) + 1, dtype=bool)
@@ -243,18 +241,18 @@ def verified(sets: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
 
 
 def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
-               percent: int = PERCENT) -> DataFrame:
-    """``(id_col, n_shingles, component_id)`` of every row."""
-    all_rows = stored(signatures(df, id_col, text_col, width, percent), "ngram-signatures")
+               percent: int = PERCENT, carried: Sequence[str] = ()) -> DataFrame:
+    """``(id_col, n_shingles, component_id)`` of every row, and its ``carried`` columns."""
+    all_rows = stored(signatures(df, id_col, text_col, width, percent, carried), "ngram-signatures")
     classes = all_rows.filter("n > 0 and id is not null").groupBy("d1", "d2").agg(F.min("id").alias("rep"))
     classes = stored(classes, "ngram-classes")
     # one row a class: its smallest id, which repeated rows may have several times
     reps = all_rows.join(classes, [all_rows["id"] == classes["rep"], all_rows["d1"] == classes["d1"], all_rows["d2"] == classes["d2"]],
                          "left_semi").dropDuplicates(["id", "d1", "d2"])
-    return _linked(df, all_rows, classes, reps, id_col, text_col, width, percent)
+    return _linked(df, all_rows, classes, reps, id_col, text_col, width, percent, carried)
 
 
-def _linked(df, all_rows, classes, reps, id_col, text_col, width, percent) -> DataFrame:
+def _linked(df, all_rows, classes, reps, id_col, text_col, width, percent, carried) -> DataFrame:
     left = stored(survivors(reps, percent), "ngram-survivors")
     sets = whole_sets(df, left, id_col, text_col, width)
     # an id may have several texts: only those that stand for a class
@@ -265,6 +263,7 @@ def _linked(df, all_rows, classes, reps, id_col, text_col, width, percent) -> Da
     links = stored(verified(sets, clusters, percent), "ngram-links")
     reached = connected_components(links, "ngram-components").withColumnRenamed("node", "rep")
     named = classes.join(reached, "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
-    return all_rows.select("id", "n", "d1", "d2").join(named, ["d1", "d2"], "left").select(
+    return all_rows.drop("prefix").join(named, ["d1", "d2"], "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
+        F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),
+        *[F.col(f"c_{c}").alias(c) for c in carried])
