@@ -51,11 +51,11 @@ def empty(spark):
     return spark.createDataFrame([], DOCS)
 
 
-def word_ids(text):
+def word_ids(text, plain=False):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
+    t.encode_special_tokens = plain  # plain: the strings of added tokens are text
     return t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -129,7 +129,7 @@ def test_best_cuts_are_optimal():
 
 def test_token_counts(spark, docs, empty, monkeypatch):
     got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"]) for r in token_counts.document_tokens(docs, WORDS).collect())
-    want = sorted((r["doc_id"] is None, r["doc_id"] or 0, len(word_ids(r["text"]))) for r in docs.collect())
+    want = sorted((r["doc_id"] is None, r["doc_id"] or 0, len(word_ids(r["text"], plain=True))) for r in docs.collect())
     assert got == want
     assert token_counts.document_tokens(empty, WORDS).count() == 0
     # small blocks: documents cross many borders; the last has no separator
@@ -148,6 +148,65 @@ def test_token_counts(spark, docs, empty, monkeypatch):
         (0, 0, 2, True), (1, 3, 0, True), (2, 4, 8, True), (3, 13, 1, False)]
 
 
+def test_added_tokens_have_their_ids(spark):
+    import pyarrow as pa
+
+    from vitrine.llm import bpe
+
+    texts = ["a <|endoftext|> b", "<|startoftext|>x<|endoftext|>", None, "<|END|>", "İ ΣΑΣ ς", "x\u1680y\u3000z \x1c q\x85r", "é caf\u0301", "'S don't ½Ⅷ ẞ ﬁ ..a.b",
+             "a" * 300 + " b", " ", "<|endoftext|>"]
+    for added in (True, False):
+        ids, counts = bpe.WordEncoder(WORDS, added=added).encode(pa.array(texts))
+        ends = np.cumsum(counts).tolist()
+        for t, n, end in zip(texts, counts.tolist(), ends, strict=True):
+            assert ids[end - n : end].tolist() == word_ids(t, plain=not added), t
+    assert word_ids(texts[0]) == [320, 49407, 321]
+
+
+def tasks_of(spark, df):
+    """Tasks that the rows of a frame come from, at the session's default settings."""
+    return len({r[0] for r in df.select(F.spark_partition_id()).distinct().collect()})
+
+
+def test_token_files_are_read_in_many_tasks(spark):
+    from pyarrow import fs
+
+    folder = scratch_dir(spark, "many")
+    store, root = fs.FileSystem.from_uri(folder)
+    store.create_dir(root, recursive=True)
+    for i in range(200):
+        with store.open_output_stream(f"{root}/{i}.u16") as f:
+            f.write(np.array([1, 2, 9], dtype="<u2").tobytes())
+    scanned = token_counts.scan_blocks(token_counts.list_blocks(spark, folder), folder, 9)
+    assert scanned.count() == 200 and tasks_of(spark, scanned) >= 40 and scanned.rdd.getNumPartitions() == 50
+
+
+def test_archives_are_read_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 1)
+    pages = spark.createDataFrame([(i, f"u{i}", f"page {i}") for i in range(200)], "page_id long, url string, html string")
+    folder = scratch_dir(spark, "many-archives")
+    digests = warc.chunk_table(pages, with_chunks=False, last_only=True).select("page_id", "size", "digest")
+    decisions = warc.decide(digests).withColumnsRenamed({"page_id": "id", "size": "total", "digest": "payload"})
+    written = warc.write_archives(warc.dealt_records(warc.record_chunks(pages), decisions, 8), folder).collect()
+    assert len(written) == 200
+    back = warc.read_archives(spark.createDataFrame(written), folder)
+    assert back.rdd.getNumPartitions() == 50 and back.count() == 200
+
+
+def test_warc_payload_of_many_arrow_batches(spark, monkeypatch):
+    """A payload much larger than an Arrow batch goes through as chunk rows."""
+    from vitrine.sources.tables import session_setting
+
+    big = "0123456789abcdef" * 1_500_000
+    pages = spark.createDataFrame([(1, "u", big), (2, "v", "x"), (3, "w", big)], "page_id long, url string, html string")
+    with session_setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "50"):
+        chunks = warc.record_chunks(pages)
+        assert chunks.agg(F.max(F.octet_length("chunk"))).first()[0] == warc.CHUNK
+        got = {r["page_id"]: (r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in warc.archive_round_trip(pages).collect()}
+    digest = base64.b32encode(hashlib.sha1(big.encode()).digest()).decode()
+    assert got[1] == (len(big), digest, "revisit", 3) and got[3] == (len(big), digest, "response", None) and got[2][2] == "response"
+
+
 def test_warc_round_trip(spark, monkeypatch):
     monkeypatch.setattr(warc, "ARCHIVE_BYTES", 2000)
     rng = random.Random(1)
@@ -469,6 +528,25 @@ def test_pipeline_stages(spark, tmp_path):
         assert stage(spark, blank, "").count() == 0
 
 
+def test_near_duplicate_stage_goes_by_row(spark):
+    """Repeated and null ids: a row goes for its own text only."""
+    import corpus_pipeline
+
+    a, b, c, d = ("%s one two three four five six seven eight nine" % x for x in ("alpha", "beta", "gamma", "delta"))
+    rows = [(1, a, "en", "s", 1), (2, a, "en", "s", 1), (2, b, "en", "s", 1), (3, c, "en", "s", 1), (3, d + " ten", "en", "s", 1),
+            (None, b, "en", "s", 1), (None, "only here and nowhere else at all", "en", "s", 1), (4, "", "en", "s", 1), (4, "", "en", "s", 1),
+            (5, "twice the same row in this table", "fr", "t", 2), (5, "twice the same row in this table", "en", "u", 3), (6, None, None, None, None)]
+    words = lambda i: " ".join(f"{i}w{k}" for k in range(12))
+    texts = {a: words("a"), b: words("b"), c: words("c"), d + " ten": words("d")}
+    rows = [(i, texts.get(t, t), *more) for i, t, *more in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = sorted(((r["doc_id"], r["text"], r["lang"], r["n_chars"]) for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()), key=str)
+    want = [(1, words("a"), "en", 1), (2, words("b"), "en", 1), (3, words("c"), "en", 1), (3, words("d"), "en", 1),
+            (None, "only here and nowhere else at all", "en", 1), (4, "", "en", 1), (4, "", "en", 1),
+            (5, "twice the same row in this table", "en", 3), (6, None, None, None)]
+    assert got == sorted(want, key=str)
+
+
 def test_near_duplicate_stage_matches_brute_force(spark):
     import corpus_pipeline
 
