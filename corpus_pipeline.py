@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.llm import language, secrets
-from vitrine.llm.common import scratch_dir, table
+from vitrine.llm.common import scratch_dir, stored, table
 from vitrine.llm.ngram_join import ngram_join
 from vitrine.llm.packing import pack
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+SALTS = 64  # tasks that a large group's rows are dealt to
 NEAR_WIDTH, NEAR_PERCENT = 5, 80  # near-duplicates: Jaccard of 0.8 or more on five-word shingles
 
 
@@ -33,19 +34,33 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id.
+    """One document of each group of near-duplicates: the one with the smallest id (null ids last).
 
-    Of several rows with this id only one stays. Documents without words or
-    without an id belong to no group and stay.
+    Decisions go by row, that is by id and text, as an id may stand on several texts and may be null. Of rows
+    with one id and one text that with the smallest other columns stays. Documents without words belong to no group and stay.
     """
-    groups = ngram_join(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT)
-    gone = groups.filter((F.col("n_shingles") > 0) & (F.col("doc_id") != F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
-    words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    grouped = F.coalesce(words, F.lit(False)) & F.col("doc_id").isNotNull()
-    # a repeated id: a group keeps one row
-    tie = F.when(grouped, F.lit(0)).otherwise(F.monotonically_increasing_id())
-    return kept.withColumn("tie", tie).dropDuplicates(["doc_id", "tie"]).select(*COLUMNS)
+    # two hashes of id and text name a row; the join's own key is the first
+    row = [F.struct("doc_id", "text")]
+    rows = docs.select(*COLUMNS).withColumns({"key": F.xxhash64(*row), "key2": F.xxhash64(F.lit(1), *row)})
+    groups = ngram_join(rows, id_col="key", width=NEAR_WIDTH, percent=NEAR_PERCENT, carried=["key2", "doc_id"])
+    groups = stored(groups.filter("n_shingles > 0").select("key", "key2", "doc_id", "component_id"), "pipeline-groups")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "key2")
+    # a row alone in its group stays; the rows of a large group meet its first one in several tasks
+    first = groups.groupBy("component_id").agg(F.min(order).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(
+        "component_id", "f", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    named = groups.groupBy("key", "key2", "component_id").agg(F.count(F.lit(1)).alias("times")).withColumn(
+        "salt", F.pmod("key", F.lit(SALTS)).cast("int"))
+    # the rows that stay by their key, and how often they are there; most are there once and not in this table
+    gone = named.join(first, ["component_id", "salt"]).select(
+        "key", "key2", "times", ((F.col("key") == F.col("f.key")) & (F.col("key2") == F.col("f.key2"))).alias("stays"))
+    gone = stored(gone.filter(~F.col("stays") | (F.col("times") > 1)), "pipeline-gone")
+    kept = rows.join(gone.filter(~F.col("stays")).select("key", "key2"), ["key", "key2"], "left_anti")
+    repeated = gone.filter("stays").select("key", "key2")
+    if repeated.isEmpty():
+        return kept.select(*COLUMNS)
+    least = kept.join(repeated, ["key", "key2"], "left_semi").groupBy("key", "key2").agg(
+        F.min(F.struct(*COLUMNS)).alias("r"))
+    return kept.join(repeated, ["key", "key2"], "left_anti").select(*COLUMNS).unionByName(least.select("r.*"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
