@@ -434,6 +434,15 @@ def test_near_vectors_match_brute_force(spark, spread):
     assert near_vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_of_any_magnitude():
+    import pyarrow as pa
+
+    rows = [[1e200, 2e200], [1.0, 2.0], [1e-200, 2e-200], [-1e308, 1e308], [3.0, 0.0]]
+    got = near_vectors.unit_vectors(pa.array(rows, pa.list_(pa.float64())))
+    assert np.allclose(got[0], got[1]) and np.allclose(got[2], got[1]) and np.allclose(got[3], [-(0.5**0.5), 0.5**0.5])
+    assert got[1].tolist() == (np.array([1.0, 2.0]) / np.linalg.norm([1.0, 2.0])).tolist()
+
+
 def test_components(spark):
     rng = random.Random(6)
     edges = [(i, i + 1) for i in range(50)] + [(rng.randint(100, 160), rng.randint(100, 160)) for _ in range(40)] + [(200, i) for i in range(201, 260)]

@@ -83,6 +83,9 @@ class Hasher:
 def unit_vectors(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     values = np.asarray(flat.flatten(), dtype=np.float64).reshape(len(flat), -1)
+    # by a power of two, which is exact: squares of very large or small components stay in range
+    _, exponents = np.frexp(np.abs(values).max(axis=1, initial=0, keepdims=True))
+    values = np.ldexp(values, -exponents)
     return values / np.linalg.norm(values, axis=1, keepdims=True)
 
 
