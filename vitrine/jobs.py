@@ -46,6 +46,9 @@ def main(argv: list[str] | None = None) -> dict:
     s.add_argument("--load-type", choices=["full", "incremental"])
     s.add_argument("--id-mode", choices=["stable", "random"], default="stable")
     s.add_argument("--dense", action="store_true")
+    s.add_argument("--catalog-mode", choices=["full", "incremental"], default="full",
+                   help="incremental: merge the loads after the stored state instead of reading all loads")
+    s.add_argument("--changed-since", help="oldest load date rewritten since the last incremental catalog")
     for p in (b, s):
         p.add_argument("--time-zone", default=TIME_ZONE, help="zone of the load dates")
     args = parser.parse_args(argv)
@@ -53,7 +56,8 @@ def main(argv: list[str] | None = None) -> dict:
     spark = configure(SparkSession.builder.getOrCreate())
     with session_setting(spark, "spark.sql.session.timeZone", args.time_zone):
         if args.run == "silver":
-            return silver.run_silver(spark, args.run_ts, args.ignore_delay, args.load_type, args.id_mode, args.dense)
+            return silver.run_silver(spark, args.run_ts, args.ignore_delay, args.load_type, args.id_mode, args.dense,
+                                     catalog_mode=args.catalog_mode, changed_since=args.changed_since)
         sources = _read(spark, args.sources) if args.sources else bronze.default_sources(spark)
         listing = _read(spark, args.listing_pages)
         links = bronze.no_links(spark)

@@ -36,6 +36,8 @@ LAST_VERSION_COLUMNS = [
     ("rating_users", "QT_RATING_USERS"),
     ("position", "NR_POSITION"),
 ]
+# Columns of the newest row per URL that later loads need: the catalog's own, then those of the tie order.
+CATALOG_STATE_COLUMNS = [src for src, _ in CATALOG_COLUMNS] + ["dh_exec", "position", "category"]
 CATEGORY_COLUMNS = ["ID_CATEGORY", "DS_CATEGORY", "NM_SELLER", "DS_URL", "DH_ORIGIN_EXEC"]
 
 

@@ -1361,3 +1361,28 @@ def q_jobs_categories_incremental(spark, sf_dir):
     done = silver.run_silver(spark, DAY2, ignore_delay=True, databases=dbs)
     assert "(incremental)" in done["categories"]
     return T.read_table(spark, f"{silver_db}.s_categories_catalog", latest_only=True)
+
+
+# --------------------------------------------------------------------------- catalog by increments
+
+
+@register(
+    "catalog_incremental",
+    f"""
+WITH {PRODUCTS_SQL}, {CATALOG_SQL}
+SELECT c.*, r.run_date AS dt_refe_crga, r.run_ts AS dh_exec FROM catalog c, run r
+""",
+)
+def q_catalog_incremental(spark, sf_dir):
+    """J3, C1 by increments: the last three loads come one by one, each merged into the stored newest rows;
+    the catalog equals a rebuild from all loads."""
+    products, run_ts = _products(spark, sf_dir)
+    db = _scratch_db(spark)
+    bronze_name, state_name = f"{db}.b_products", f"{db}.s_catalog_state"
+    days = [r[0] for r in products.select(PARTITION_COLUMN).distinct().orderBy(PARTITION_COLUMN).collect()]
+    steps = [days[:-2], days[-2:-1], days[-1:]]
+    for step in filter(None, steps):
+        loaded = products.filter(F.col(PARTITION_COLUMN).isin(step))
+        T.save_table(spark, loaded, bronze_name, PARTITION_COLUMN, "append")
+        state = silver.update_catalog_state(spark, bronze_name, state_name)
+    return silver.catalog_from_newest(state, run_ts)

@@ -22,6 +22,7 @@ LAYERS = {
         "database": "s_prod_prices",
         "tables": {
             "catalog": "s_catalog_products",
+            "catalog_state": "s_catalog_state",
             "last_version": "s_last_ver_products",
             "categories": "s_categories_catalog",
         },
