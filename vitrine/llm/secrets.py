@@ -35,6 +35,7 @@ SECRET = r"(?=[A-Za-z0-9+/_-]{0,64}[0-9])(?=[A-Za-z0-9+/_-]{0,64}[A-Z])(?=[A-Za-
 ENDPOINT = r"(?:https?|ftp|jdbc:[a-z]+|postgres|mysql|mongodb|redis|amqp|s3)://[^\x20\x09-\x0D\"'<>]+"
 
 SCOPE = 256
+RUN = 64  # matches whose places are summed one after the other
 KINDS = ["assign", "access", "hex", "key_id", "secret", "endpoint"]
 # Weak kind -> kinds that complete it.
 COMPLEMENTS = {"key_id": ["assign", "hex", "secret"], "secret": ["access", "key_id"], "endpoint": ["assign", "access", "key_id"]}
@@ -42,24 +43,47 @@ COMPLEMENTS = {"key_id": ["assign", "hex", "secret"], "secret": ["access", "key_
 SPAN = "array<struct<start:bigint,rank:int,kind:string,end:bigint>>"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def find(text: Column, pattern: str, kind: str, gate: Column, keep=None) -> Column:
-    """Spans of the leftmost non-overlapping matches of ``pattern`` that pass ``keep``."""
+    """Spans of the leftmost non-overlapping matches of ``pattern`` that pass ``keep``.
+
+    The running places are summed in two levels, inside runs of ``RUN`` matches and over the runs, so
+    that no step copies more than a run of spans.
+    """
     between = F.split(text, pattern, -1)
-    parts = F.zip_with(between, F.regexp_extract_all(text, F.lit(pattern), 0), lambda p, m: F.struct(p.alias("p"), m.alias("m")))
+    lengths = F.zip_with(between, F.regexp_extract_all(text, F.lit(pattern), 0), lambda p, m: F.struct(
+        F.length(p).cast("bigint").alias("gap"), F.coalesce(F.length(m), F.lit(0)).cast("bigint").alias("size"),
+        F.coalesce(m.isNotNull() & keep(m) if keep else m.isNotNull(), F.lit(False)).alias("ok")))
+
+    def span(start: Column, end: Column) -> Column:
+        return F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"))
 
     def step(state, part):
-        start = state["at"] + F.length(part["p"])
-        end = start + F.length(F.coalesce(part["m"], F.lit("")))
-        span = F.struct(
-            start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"))
-        ok = part["m"].isNotNull()
-        ok = ok & keep(part["m"]) if keep else ok
-        found = F.when(ok, F.concat(state["found"], F.array(span))).otherwise(state["found"])
+        start = state["at"] + part["gap"]
+        end = start + part["size"]
+        found = F.when(part["ok"], F.concat(state["found"], F.array(span(start, end)))).otherwise(state["found"])
         return F.struct(end.alias("at"), found.alias("found"))
 
-    none = F.array().cast(SPAN)
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("found"))
-    return F.when(gate, F.aggregate(parts, start, step)["found"]).otherwise(none)
+    none, zero = F.array().cast(SPAN), F.lit(0).cast("bigint")
+
+    def runs_of(parts):
+        last = F.floor((F.size(parts) - 1) / RUN).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.aggregate(
+            F.slice(parts, i * RUN + 1, F.lit(RUN)), F.struct(zero.alias("at"), none.alias("found")), step))
+
+    def placed(runs):
+        begins = F.aggregate(
+            runs, F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("begins")),
+            lambda state, run: F.struct((state["at"] + run["at"]).alias("at"),
+                                        F.concat(state["begins"], F.array(state["at"])).alias("begins")))["begins"]
+        return F.flatten(F.zip_with(runs, begins, lambda run, begin: F.transform(
+            run["found"], lambda x: span(x["start"] + begin, x["end"] + begin))))
+
+    return F.when(gate, let(let(lengths, runs_of), placed)).otherwise(none)
 
 
 def base_spans(text: Column) -> Column:
@@ -87,13 +111,12 @@ def linked(parts: DataFrame, key: list[str], scope: int = SCOPE) -> DataFrame:
     needs = F.create_map(*[x for k, v in COMPLEMENTS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
     rows = parts.select(*key, F.col("span.start").alias("start"), F.col("span.end").alias("end"),
                         F.col("span.kind").alias("kind"), "span", "weak")
-    # a span lies in every step of the scope that it touches; its partner begins at most
-    # one step before or after
+    # a part and a widened weak span that overlap have a point in common, so they share the step of it
     steps = lambda a, b: F.explode(F.sequence(F.floor(a / scope), F.floor(b / scope))).alias("place")
     left = rows.filter("weak").select(*key, "span", "start", "end", F.explode(needs[F.col("kind")]).alias("kind"),
                                       ).select("*", steps(F.col("start") - scope, F.col("end") + scope))
     right = rows.select(*key, "kind", F.col("start").alias("other_start"), F.col("end").alias("other_end"),
-                        F.floor(F.col("start") / scope).alias("place")).alias("r")
+                        steps(F.col("start"), F.col("end"))).alias("r")
     left = left.alias("l")
     same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*key, "kind", "place"]]
     near = [F.col("l.start") < F.col("r.other_end") + scope, F.col("r.other_start") < F.col("l.end") + scope]
