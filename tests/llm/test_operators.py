@@ -12,7 +12,9 @@ import time
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,8 +152,6 @@ def test_token_counts(spark, docs, empty, monkeypatch):
 
 
 def test_added_tokens_have_their_ids(spark):
-    import pyarrow as pa
-
     from vitrine.llm import bpe
 
     texts = ["a <|endoftext|> b", "<|startoftext|>x<|endoftext|>", None, "<|END|>", "İ ΣΑΣ ς", "x\u1680y\u3000z \x1c q\x85r", "é caf\u0301", "'S don't ½Ⅷ ẞ ﬁ ..a.b",
@@ -479,7 +479,6 @@ def test_near_vectors_match_brute_force(spark, spread):
 
 
 def test_vectors_of_any_magnitude():
-    import pyarrow as pa
 
     rows = [[1e200, 2e200], [1.0, 2.0], [1e-200, 2e-200], [-1e308, 1e308], [3.0, 0.0]]
     got = near_vectors.unit_vectors(pa.array(rows, pa.list_(pa.float64())))
@@ -528,6 +527,88 @@ def test_language(spark, empty):
     assert {r["lang_pred"] for r in language.identify(df, None).collect()} == {"und"}
 
 
+def kneser_ney_by_hand(grams, size):
+    """Probability of a gram's last character after the others, by the textbook recursion over counts of whole grams."""
+    tables, current = {size: dict(grams)}, dict(grams)
+    for n in range(size - 1, 0, -1):
+        current = collections.Counter(g[1:] for g in current)
+        tables[n] = dict(current)
+    discounts = {}
+    for n, counts in tables.items():
+        ones, twos = (sum(v == k for v in counts.values()) for k in (1, 2))
+        discounts[n] = min(0.95, max(0.1, ones / max(1, ones + 2 * twos)))
+
+    def prob(gram, alphabet):
+        n = len(gram)
+        if n == 0:
+            return 1 / (alphabet + 1)
+        after = {g: v for g, v in tables[n].items() if g[:-1] == gram[:-1]}
+        total = sum(after.values())
+        if not total:
+            return prob(gram[1:], alphabet)
+        seen = max(after.get(gram, 0) - discounts[n], 0) / total
+        return seen + discounts[n] * len(after) / total * prob(gram[1:], alphabet)
+
+    return prob
+
+
+def test_kneser_ney_matches_brute_force():
+    rng = random.Random(4)
+    rows, by_lang = [], {}
+    for lang, letters in (("aa", "abc"), ("bb", "bcd")):
+        grams = collections.Counter()
+        for _ in range(25):
+            word = language.START * 3 + "".join(rng.choice(letters) for _ in range(rng.randint(1, 5))) + language.END
+            for i in range(len(word) - 3):
+                grams[word[i : i + 4]] += rng.randint(1, 3)
+        by_lang[lang] = kneser_ney_by_hand(grams, 4)
+        rows += [(lang, g, n) for g, n in grams.items()]
+    table = pd.DataFrame(rows, columns=["lang", "gram", "n"])
+    alphabet = len({c for g in table["gram"] for c in g})
+    model = language.kneser_ney(table, ["aa", "bb"])
+    words = ["a", "abcabc", "dcb", "ddddd", "xa", "bxb", "", "cb"] + ["".join(rng.choice("abcdx") for _ in range(6)) for _ in range(40)]
+    logs, lengths = model.word_logs(words)
+    assert list(lengths) == [len(w) + 1 for w in words]
+    for k, lang in enumerate(["aa", "bb"]):
+        for j, word in enumerate(words):
+            padded = language.START * 3 + word + language.END
+            want = sum(np.log(by_lang[lang](padded[i : i + 4], alphabet)) for i in range(len(word) + 1))
+            assert logs[j, k] == pytest.approx(want, abs=1e-9), (lang, word)
+
+
+def test_rejection_is_calibrated_on_all_rows(spark):
+    rng = random.Random(5)
+    parts = {"aa": ["tha", "er", "ing", "on"], "bb": ["sch", "ung", "ein", "ka"], "cc": ["lli", "ro", "que", "zia"]}
+    say = lambda lang, n: " ".join("".join(rng.choice(parts[lang]) for _ in range(rng.randint(1, 3))) for _ in range(n))
+    rows = [(i if i % 3 else None, say(lang, rng.randint(60, 120)), lang) for i, lang in enumerate(["aa", "bb", "cc"] * 60)]
+    rows += [(999, "1 2 3", "aa"), (998, "--", "dd"), (997, None, "aa"), (996, "tha", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn(df, F.lit(True), rows_a_language=20)
+    assert model.languages == ["aa", "bb", "cc"]
+    labelled = df.filter("lang is not null and text is not null")
+    counts = language.calibration(labelled.select("text", "lang"), model)
+    # every labelled text with a letter stands in both counts, the sampled ones and the others
+    assert counts.groupby("strange")["n"].sum().to_dict() == {False: 180, True: 180}
+    known, strange = [], collections.defaultdict(list)
+    for _, text, lang in rows[:180]:
+        found, sizes = model.entropies(pa.array([text]))
+        extra = language.SHORT / np.sqrt(sizes[0])
+        known.append(found[0].min() - extra)
+        strange[lang].append(np.delete(found[0], model.languages.index(lang)).min() - extra)
+    tail = max(known)  # fewer than 10,000 texts
+    low = min(sorted(v)[2] for v in strange.values())  # 5 % of 60
+    assert model.limit == pytest.approx(max(tail, (tail + low) / 2), abs=2 * language.BIN)
+    assert not any(r["rejected"] for r in language.identify(df.limit(180), model).collect())
+    # without one language, its texts are rejected
+    two = language.learn(df.filter("lang <> 'cc'"), F.lit(True))
+    assert all(r["rejected"] for r in language.identify(df.filter("lang = 'cc'"), two).collect())
+    # languages that are alike: the limit is the known texts' own
+    alike = pd.DataFrame([("aa", False, 10, 5), ("aa", True, 4, 5)], columns=["lang", "strange", "bin", "n"])
+    assert language.limit_of(alike) == pytest.approx(11 * language.BIN)
+    one = language.learn(df.filter("lang = 'aa'"), F.lit(True))
+    assert np.isfinite(one.limit) and not any(r["rejected"] for r in language.identify(df.filter("lang = 'aa' and doc_id < 180"), one).collect())
+
+
 def _first(model, c):
     """Log probability of ``c`` as the first character of a word."""
     one, _ = model.word_logs([c])
@@ -553,7 +634,7 @@ def _end(model, c):
         at = np.searchsorted(model.contexts[n], h)
         if at < len(model.contexts[n]) and model.contexts[n][at] == h:
             out = out + model.weights[n][at]
-    return out + model.floor
+    return out + model.floor + model.weights[1][0]
 
 
 def test_pipeline_stages(spark, tmp_path):

@@ -12,7 +12,12 @@ A text's cross-entropy in a language is the negative log probability of its
 words over their number of characters (each word's end counts as one). The
 least one wins; ``score`` is the winner's share if the languages are weighted
 by exp(-``SHARPNESS`` x cross-entropy), and ``rejected`` says that even the winner's
-cross-entropy is above the limit that is calibrated on the learned texts.
+cross-entropy is above a limit. The limit is calibrated on all rows that may be learned from, each
+scored twice: by all languages (``known``), and by all but its own, as if that one had never been learned
+(``strange``). It stands in the middle between the known texts' ``TAIL`` quantile and the lowest
+``LEFT_OUT`` quantile of a language's strange texts, and never below the first, so that rejection takes at
+most about 1 - ``TAIL`` of the known texts even where languages are alike. A single language has no strange
+texts; its limit is the known quantile plus ``MARGIN``.
 
 Words are scored once per slice of a batch, however often they occur there.
 
@@ -40,7 +45,8 @@ ORDER = 4
 SAMPLE_ROWS = 600
 SHARPNESS = 6.0
 BLOCK, SLICE = 20_000, 2 << 20  # words and bytes of text that a task scores at once
-TAIL, MARGIN, SHORT = 0.999, 1.2, 6.0
+TAIL, LEFT_OUT, MARGIN, SHORT = 0.9999, 0.05, 1.2, 6.0
+BIN, BINS = 0.001, 50_000  # nats a step of the calibration counts, and their number on either side of 0
 START, END = "\x02", "\x03"
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -72,6 +78,11 @@ def gram_hashes(chars: np.ndarray, size: int) -> np.ndarray:
     return h
 
 
+def room(sizes: np.ndarray) -> np.ndarray:
+    """What a text of so many characters may lie above the limit."""
+    return SHORT / np.sqrt(np.maximum(sizes, 1))
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -113,7 +124,7 @@ class Model:
                 at[at == len(self.contexts[order])] = 0
                 hit = self.contexts[order][at] == h
                 out[open_[hit]] += self.weights[order][at[hit]]
-        out[open_] += self.floor
+        out[open_] += self.floor + self.weights[1][0]  # a character that no language has seen
         return np.add.reduceat(out, np.cumsum(lengths) - lengths, axis=0), lengths
 
     def entropies(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -132,7 +143,7 @@ class Model:
 
     def rejects(self, least: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Short texts scatter more: they get more room."""
-        return ~(least <= self.limit + SHORT / np.sqrt(np.maximum(sizes, 1)))
+        return ~(least - room(sizes) <= self.limit)
 
 
 def kneser_ney(grams: pd.DataFrame, languages: list[str]) -> Model:
@@ -168,6 +179,7 @@ def kneser_ney(grams: pd.DataFrame, languages: list[str]) -> Model:
         share = ((wide - discount).clip(lower=0).to_numpy() / totals.where(totals > 0).reindex(head).to_numpy())
         if order == 1:
             lower = np.full((len(wide), size), np.exp(floor))
+            weights[1] = np.log(weight.to_numpy())  # of the uniform share, after the one empty context
         else:
             lower = below.reindex(wide.index.str[1:]).to_numpy()
         below = pd.DataFrame(np.nan_to_num(share) + spread * lower, index=wide.index)
@@ -184,7 +196,7 @@ def kneser_ney(grams: pd.DataFrame, languages: list[str]) -> Model:
 def learn(df: DataFrame, learned: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
           rows_a_language: int = SAMPLE_ROWS) -> Model | None:
     """Model from a sample of the rows where ``learned`` holds: about ``rows_a_language``
-    of each language, chosen by a hash of their id. None if there is no labelled row."""
+    of each language, chosen by a hash of their id and text. None if there is no labelled row."""
     known = df.filter(learned & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # one row a language
@@ -192,7 +204,7 @@ def learn(df: DataFrame, learned: Column, text_col: str = "text", lang_col: str
         return None
     step = 1 << 20
     shares = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(max(1, round(step * min(1, rows_a_language / n)))))])
-    sample = known.filter(F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(step)) < shares[F.col("lang")])
+    sample = known.filter(F.pmod(F.xxhash64(F.lit(11), "id", "text"), F.lit(step)) < shares[F.col("lang")])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,20 +225,61 @@ def learn(df: DataFrame, learned: Column, text_col: str = "text", lang_col: str
     if table.empty:
         return None
     model = kneser_ney(table, sorted(table["lang"].unique()))
-    shared = df.sparkSession.sparkContext.broadcast(vars(model))
+    model.limit = limit_of(calibration(known, model))
+    return model
+
+
+def calibration(known: DataFrame, model: Model) -> pd.DataFrame:
+    """``(lang, strange, bin, n)`` over all rows of ``known`` (text, lang): how many texts of a language have their least
+    cross-entropy, less their room, in a bin of ``BIN`` nats; ``strange``: without the columns of their own language.
 
-    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    The counts are added up by Spark; at most 2 x 2 x ``BINS`` rows a language reach the driver, however many texts there are.
+    """
+    shared = known.sparkSession.sparkContext.broadcast(vars(model))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(**shared.value)
+        place = {lang: k for k, lang in enumerate(model.languages)}
         for batch in batches:
             for a, b in slices(batch.column(0), SLICE):
                 found, sizes = model.entropies(batch.column(0).slice(a, b - a))
-                least = found.min(axis=1) - SHORT / np.sqrt(np.maximum(sizes, 1))
-                yield pa.RecordBatch.from_arrays([pa.array(least[np.isfinite(least)])], names=["least"])
-
-    found = sample.select("text").mapInArrow(fitted, "least double").agg(F.percentile("least", F.lit(TAIL))).first()[0]
-    if found is not None:
-        model.limit = float(found) + MARGIN
-    return model
+                # a language of which no sampled row has a letter was not learned: its texts have no say
+                own = np.array([place.get(x, -1) for x in batch.column(1).slice(a, b - a).to_pylist()], dtype=np.int64)
+                some = np.flatnonzero((sizes > 0) & (own >= 0))
+                found, own, extra = found[some], own[some], room(sizes[some])
+                for strange in (False, True):
+                    if strange:
+                        found[np.arange(len(own)), own] = np.inf
+                    least = found.min(axis=1) - extra
+                    at = np.isfinite(least)
+                    bins = np.clip(np.floor(least[at] / BIN), -BINS, BINS - 1).astype(np.int64)
+                    pairs, n = np.unique(np.stack([own[at], bins]), axis=1, return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.array(model.languages, dtype=object)[pairs[0]], pa.string()),
+                         pa.array(np.full(len(n), strange)), pa.array(pairs[1]), pa.array(n.astype(np.int64))],
+                        names=["lang", "strange", "bin", "n"])
+
+    counts = known.select("text", "lang").mapInArrow(counted, "lang string, strange boolean, bin bigint, n bigint")
+    return counts.groupBy("lang", "strange", "bin").agg(F.sum("n").alias("n")).toPandas()
+
+
+def quantile(counts: pd.DataFrame, share: float) -> float:
+    """Upper end of the bin that holds the ``share`` quantile."""
+    bins = counts.groupby("bin")["n"].sum().sort_index()
+    reached = np.searchsorted(bins.cumsum().to_numpy(), share * bins.sum())
+    return (int(bins.index[min(reached, len(bins) - 1)]) + 1) * BIN
+
+
+def limit_of(counts: pd.DataFrame) -> float:
+    """The limit on cross-entropy from the counts of :func:`calibration`."""
+    known, strange = counts[~counts["strange"].astype(bool)], counts[counts["strange"].astype(bool)]
+    if known.empty:
+        return float("inf")
+    tail = quantile(known, TAIL)
+    if strange.empty:
+        return tail + MARGIN
+    lowest = min(quantile(one, LEFT_OUT) for _, one in strange.groupby("lang"))
+    return max(tail, (tail + lowest) / 2)
 
 
 def identify(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
