@@ -57,3 +57,44 @@ def test_ids_need_no_sort_of_products(spark):
     assert [g[1] for g in got] == [1, 2, 3, 5, 6] * 3
     every = bronze.build_products(parsed, 0, "2025-04-07 06:00:00", dedup=False)
     assert sorted(int(r["id"]) for r in every.collect()) == list(range(1, 31))
+
+
+def _card_task(monkeypatch, page, keep):
+    import pyarrow as pa
+
+    from vitrine.operators import pages as P
+
+    class OneTask:
+        get = staticmethod(lambda: OneTask)
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(P, "TaskContext", OneTask)
+    names = ["page_id", "page_url", "html", "seller"]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1]), pa.array(["u"]), pa.array([page]), pa.array(["Zoom"])], names=names)
+    return P._card_batches(keep, None, None, False)(iter([batch]))
+
+
+CARD = '<a data-testid="product-card::card" href="/p/{k}"><h2 data-testid="product-card::name">N{k}</h2></a>'
+
+
+def test_cards_do_not_repeat_their_page(spark, monkeypatch):
+    """Memory of a task follows the texts of its cards, not cards times the length of their page."""
+    import pyarrow as pa
+
+    page = "<!--" + "x" * (1 << 20) + "-->" + "".join(CARD.format(k=k) for k in range(1000))
+    before = pa.default_memory_pool().max_memory()
+    assert sum(b.num_rows for b in _card_task(monkeypatch, page, ["page_id", "page_url", "seller"])) == 1000
+    assert pa.default_memory_pool().max_memory() - before < 100 << 20  # the page 1000 times is 1 GB
+
+
+def test_cards_of_a_long_page_come_in_parts(spark, monkeypatch):
+    from vitrine.operators import pages as P
+
+    page = "".join(CARD.format(k=k) for k in range(100))
+    whole = [r for b in _card_task(monkeypatch, page, ["page_id", "seller"]) for r in b.to_pylist()]
+    monkeypatch.setattr(P, "CARD_BYTES", 10_000)
+    parts = list(_card_task(monkeypatch, page, ["page_id", "seller"]))
+    assert len(parts) > 3 and max(b.num_rows for b in parts) < 50
+    assert [r for b in parts for r in b.to_pylist()] == whole
+    assert [r["position"] for r in whole] == list(range(1, 101)) and {r["page"] for r in whole} == {0}

@@ -24,6 +24,7 @@ from vitrine.operators.dialects import DIALECTS
 from vitrine.operators.numbering import running_offsets
 
 CARD_BYTES = 8 << 20  # texts held before a batch of cards is handed on
+ROW_BYTES = 512  # what a held card costs besides its texts
 PAGE_BITS = 33  # a page's number holds its task above these bits
 HOST = r"^https?://([^/?#]+)"
 
@@ -158,12 +159,15 @@ def _card_batches(keep: list[str], limit: int | None, dialect: str | None, with_
             columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
             pages = columns["html" if whole_pages else "card"]
             letters = [dialect] * len(pages) if dialect else [by_seller.get(s) for s in columns["seller"].to_pylist()]
+            # the page column itself is no column of a card: its html is never repeated
+            own_columns = [columns[k] for k in keep]
+            row_bytes = ROW_BYTES + sum(c.nbytes for c in own_columns) // max(1, len(pages))
             decode, first = E.Decoder(), 0
             take, found, held = [], [], 0
 
             def table() -> pa.RecordBatch:
-                head = batch.take(pa.array(take, pa.int64()))
-                own = [head.column(head.schema.get_field_index(k)) for k in keep]
+                at = pa.array(take, pa.int64())
+                own = [c.take(at) for c in own_columns]
                 cells = zip(*found, strict=True)
                 own += [pa.array(c, t) for c, t in zip(cells, types, strict=True)]
                 if not whole_pages:
@@ -178,7 +182,10 @@ def _card_batches(keep: list[str], limit: int | None, dialect: str | None, with_
                 for card in rows_of(page or "", letter, decode):
                     take.append(row)
                     found.append(card if whole_pages else (card[0], *card[2:]))
-                    held += sum(len(x) for x in card[2:] if x)
+                    held += row_bytes + sum(len(x) for x in card[2:] if x)
+                    if whole_pages and held > CARD_BYTES:  # a page of any length is handed on in parts
+                        yield table()
+                        take, found, held = [], [], 0
                 if not whole_pages and len(take) == first:
                     take.append(row)  # a card without an element fails, but counts
                     found.append((letter, *[None] * (len(names) - 1)))
