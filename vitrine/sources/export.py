@@ -1,9 +1,10 @@
 """Single-file exports.
 
-The frame is computed in parallel; only the final write runs in one task
-(``repartition(1)``), into a staging folder next to the target, and the one
-part file is then renamed through the Hadoop file system of the target
-path (local disk, HDFS or an object store alike).
+The frame is computed, encoded and compressed in parallel, into Parquet parts
+next to the target. Only the final write runs in one task, as one file has one
+writer: it reads the compressed parts, not shuffled rows, and writes into a
+staging folder, whose one part file is then renamed through the Hadoop file
+system of the target path (local disk, HDFS or an object store alike).
 """
 
 from __future__ import annotations
@@ -27,14 +28,20 @@ def _fs(df: DataFrame, path: str):
 def export_single_file(df: DataFrame, target: str, fmt: str, options: dict | None = None, max_rows: int | None = None) -> str:
     """Write ``df`` as exactly one ``fmt`` file at ``target``; returns ``target``.
 
-    All rows by default. An explicit ``max_rows`` keeps the first rows in the
+    All rows by default, in no promised order. An explicit ``max_rows`` keeps the first rows in the
     frame's order and warns when it leaves any out.
     """
+    spark = df.sparkSession
     if max_rows and df.limit(max_rows + 1).count() > max_rows:
         warnings.warn(f"{target} holds the first {max_rows} rows only", stacklevel=3)
     staging = f"{target}._staging-{uuid.uuid4().hex[:12]}"
-    out = df.limit(max_rows) if max_rows else df
-    out.repartition(1).write.mode("overwrite").format(fmt).options(**(options or {})).save(staging)
+    encoded = f"{staging}-parts"
+    if max_rows:
+        out = df.limit(max_rows).repartition(1)
+    else:
+        df.write.option("compression", "zstd").parquet(encoded)
+        out = spark.read.schema(df.schema).parquet(encoded).coalesce(1)
+    out.write.mode("overwrite").format(fmt).options(**(options or {})).save(staging)
     fs, target_path, jvm = _fs(df, target)
     staging_path = jvm.org.apache.hadoop.fs.Path(staging)
     parts = [s.getPath() for s in fs.listStatus(staging_path) if s.getPath().getName().startswith("part-")]
@@ -45,6 +52,7 @@ def export_single_file(df: DataFrame, target: str, fmt: str, options: dict | Non
     if not fs.rename(parts[0], target_path):
         raise RuntimeError(f"could not move {parts[0]} to {target}")
     fs.delete(staging_path, True)
+    fs.delete(jvm.org.apache.hadoop.fs.Path(encoded), True)
     return target
 
 
