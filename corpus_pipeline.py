@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.llm import language, secrets
-from vitrine.llm.common import scratch_dir, stored, table
+from vitrine.llm.common import may_be_among, scratch_dir, stored, table
 from vitrine.llm.ngram_join import ngram_join
 from vitrine.llm.packing import pack
 
@@ -54,13 +54,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     gone = named.join(first, ["component_id", "salt"]).select(
         "key", "key2", "times", ((F.col("key") == F.col("f.key")) & (F.col("key2") == F.col("f.key2"))).alias("stays"))
     gone = stored(gone.filter(~F.col("stays") | (F.col("times") > 1)), "pipeline-gone")
-    kept = rows.join(gone.filter(~F.col("stays")).select("key", "key2"), ["key", "key2"], "left_anti")
+    # most rows are surely not named there and stay as they are; the others meet the table
+    flagged = may_be_among(rows, F.col("key"), gone.select("key"), "named")
+    sure = flagged.filter(~F.col("named")).select(*COLUMNS)
+    kept = flagged.filter("named").join(gone.filter(~F.col("stays")).select("key", "key2"), ["key", "key2"], "left_anti")
     repeated = gone.filter("stays").select("key", "key2")
     if repeated.isEmpty():
-        return kept.select(*COLUMNS)
+        return sure.unionByName(kept.select(*COLUMNS))
     least = kept.join(repeated, ["key", "key2"], "left_semi").groupBy("key", "key2").agg(
         F.min(F.struct(*COLUMNS)).alias("r"))
-    return kept.join(repeated, ["key", "key2"], "left_anti").select(*COLUMNS).unionByName(least.select("r.*"))
+    return sure.unionByName(kept.join(repeated, ["key", "key2"], "left_anti").select(*COLUMNS)).unionByName(least.select("r.*"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

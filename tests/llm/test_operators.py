@@ -713,3 +713,48 @@ def test_near_duplicate_stage_matches_brute_force(spark):
     assert only_five  # pairs that four words and 0.85 leave apart
     kept = corpus_pipeline.drop_near_duplicates(spark, df, "").collect()
     assert sorted(r["doc_id"] for r in kept) == sorted({find(i) for i in fives})
+
+
+def test_bitmap_flags_every_key_and_few_others(spark):
+    from vitrine.llm.common import may_be_among
+
+    rows = spark.range(-5000, 5000).selectExpr("CASE WHEN id = 7 THEN NULL ELSE id END AS id", "'x' AS text")
+    keys = spark.range(-5000, 5000).filter("id % 10 = 3").selectExpr("id AS k")
+    got = may_be_among(rows, F.col("id"), keys, "among").collect()
+    assert len(got) == 10_000 and all(r.among is not None for r in got)
+    wanted = {r.k for r in keys.collect()}
+    flagged = {r.id for r in got if r.among}
+    assert wanted <= flagged and len(flagged - wanted) < 1000
+    none = may_be_among(rows, F.col("id"), keys.filter("k > 9000"), "among")
+    assert none.filter("among").count() == 0
+
+
+def test_whole_sets_shuffle_no_texts(spark):
+    """Rows learn by the bitmap whether their sets are wanted, even where Spark would broadcast no keys."""
+    import contextlib
+    import io
+
+    from vitrine.llm import ngram_join as N
+    from vitrine.sources.tables import session_setting
+
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(40))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = spark.createDataFrame([(i,) for i in range(0, 300, 30)], "id long")
+    with session_setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        sets = N.whole_sets(docs, ids, "doc_id", "text", 4)
+        with contextlib.redirect_stdout(io.StringIO()) as text:
+            sets.explain()
+        assert "hashpartitioning(id" not in text.getvalue() and "SortMergeJoin" not in text.getvalue()
+        found = {r.id: r.n for r in sets.collect()}
+    assert set(range(0, 300, 30)) <= set(found) and len(found) < 100 and set(found.values()) == {37}
+
+
+def test_near_duplicates_with_repeated_and_null_rows(spark):
+    import corpus_pipeline as C
+
+    text = lambda i: " ".join(f"w{i}x{k}" for k in range(40))
+    rows = [(i, text(i), "en", "s", 1) for i in range(200)] + [(1000 + i, text(i), "en", "s", 1) for i in range(20)]
+    rows += rows[5:8] + [(9, None, "en", "s", 1), (None, text(30), "en", "s", 1), (None, text(900), "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = collections.Counter((r.doc_id, r.text) for r in C.drop_near_duplicates(spark, docs, "").collect())
+    assert got == {**{(i, text(i)): 1 for i in range(200)}, (9, None): 1, (None, text(900)): 1}

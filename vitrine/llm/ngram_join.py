@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from vitrine.llm.blocks import block_pairs, dealt_blocks, local_roots, whole_groups
 from vitrine.llm.bpe import slices
-from vitrine.llm.common import stored
+from vitrine.llm.common import may_be_among, stored
 from vitrine.llm.components import connected_components
 
 WIDTH, PERCENT = 4, 85
@@ -147,8 +147,10 @@ def survivors(reps: DataFrame, percent: int) -> DataFrame:
 
 
 def whole_sets(df: DataFrame, ids: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """``(id, n, d1, d2, tokens)`` of the rows with the given ids."""
-    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).join(ids, "id", "left_semi")
+    """``(id, n, d1, d2, tokens)`` of the rows with the given ids, and of a few others: a row more costs
+    some work, but no link, and so no text is shuffled."""
+    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    rows = may_be_among(rows, F.col("id"), ids, "among").filter("among").select("id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,7 +221,9 @@ def links_in_block(n: np.ndarray, side: np.ndarray, blobs: list[bytes], percent:
 
 def verified(sets: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
     """``(u, v)``: each document with a linked partner, and a root that its links reach."""
-    placed = sets.select("id", "n", "tokens").join(clusters.withColumnRenamed("node", "id"), "id")
+    # sets outside of all clusters stay where they are
+    some = may_be_among(sets.select("id", "n", "tokens"), F.col("id"), clusters.select("node"), "among").filter("among").drop("among")
+    placed = some.join(clusters.withColumnRenamed("node", "id"), "id")
     sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     dealt = dealt_blocks(block_pairs(placed, ["component"], "id", sizes, BLOCK), ["component"], "id")
 
