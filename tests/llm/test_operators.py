@@ -758,3 +758,12 @@ def test_near_duplicates_with_repeated_and_null_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = collections.Counter((r.doc_id, r.text) for r in C.drop_near_duplicates(spark, docs, "").collect())
     assert got == {**{(i, text(i)): 1 for i in range(200)}, (9, None): 1, (None, text(900)): 1}
+
+
+def test_memo_holds_the_pieces_of_several_batches():
+    from vitrine.llm import bpe
+
+    memo: dict[str, bytes] = {}
+    for batch in range(4):  # about what four batches of documents bring
+        bpe.remember(memo, {f"p{batch}x{k}": b"" for k in range(75_000)})
+    assert len(memo) == 300_000 and "p0x0" in memo

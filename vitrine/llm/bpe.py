@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 
 from vitrine.llm.common import worker_cache
 
-MEMO_ENTRIES, MEMO_LENGTH = 150_000, 64
+MEMO_ENTRIES, MEMO_LENGTH = 400_000, 64
 SLICE_BYTES = 4 << 20
 
 
