@@ -26,11 +26,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Texts without a letter, and texts that no learned language explains, go.
     """
-    rows = docs.select(*COLUMNS).withColumn("row", F.struct(*COLUMNS))
+    # a text goes to the workers once, not in the row as well
+    rows = docs.select(F.struct("doc_id", "source", "n_chars").alias("row"), "text")
     model = language.learn(docs, ~language.held_out())
-    found = language.identify(rows.select("row", "text"), model, id_col="row")
+    found = language.identify(rows, model, id_col="row", with_text=True)
     return found.filter(~F.col("rejected")).select(
-        "row.doc_id", "row.text", F.col("lang_pred").alias("lang"), "row.source", "row.n_chars")
+        "row.doc_id", "text", F.col("lang_pred").alias("lang"), "row.source", "row.n_chars")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -767,3 +767,49 @@ def test_memo_holds_the_pieces_of_several_batches():
     for batch in range(4):  # about what four batches of documents bring
         bpe.remember(memo, {f"p{batch}x{k}": b"" for k in range(75_000)})
     assert len(memo) == 300_000 and "p0x0" in memo
+
+
+def test_an_operator_without_a_cache_empties_that_of_the_worker(spark, monkeypatch):
+    from vitrine.llm import language, ngram_join
+    from vitrine.llm.common import worker_cache
+
+    df = spark.createDataFrame([(1, "um texto", bytearray(8))], "doc_id long, text string, tokens binary")
+    rows = df.withColumnRenamed("doc_id", "id")
+    tasks = []
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, run, schema: tasks.append(run) or self)
+    ngram_join.signatures(df, "doc_id", "text", 4, 85)
+    ngram_join.exploded(rows, "tokens")
+    language.identify(df, None)
+    assert len(tasks) == 3
+    before = dict(worker_cache())
+    try:
+        for task in tasks:
+            worker_cache()["pieces", "x"] = {"a": b""}
+            assert list(task(iter([]))) == [] and not worker_cache()
+    finally:
+        worker_cache().update(before)
+
+
+def test_stored_hands_small_batches_to_python(spark):
+    import pyarrow as pa
+
+    from vitrine.llm.common import stored
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    df = spark.range(0, 100, 1, 1).mapInArrow(sizes, "n long")
+    assert sorted(r.n for r in stored(df, "batches", 30).collect()) == [10, 30, 30, 30]
+    assert [r.n for r in stored(df, "batches").collect()] == [100]
+    assert spark.conf.get(key) == before
+
+
+def test_identify_hands_the_text_back(spark):
+    from vitrine.llm import language
+
+    df = spark.createDataFrame([(1, "um texto"), (2, None)], "doc_id long, body string")
+    got = {r.doc_id: (r.body, r.lang_pred) for r in language.identify(df, None, text_col="body", with_text=True).collect()}
+    assert got == {1: ("um texto", "und"), 2: (None, "und")}

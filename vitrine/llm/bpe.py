@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from vitrine.llm.common import worker_cache
+from vitrine.llm.common import give_back, worker_cache
 
 MEMO_ENTRIES, MEMO_LENGTH = 400_000, 64
 SLICE_BYTES = 4 << 20
@@ -69,8 +69,7 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES):
         stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
         yield start, stop
         start = stop
-    # a worker serves many stages: what a batch no longer needs goes back to the system
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def take_ranges(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -40,6 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm.bpe import slices
+from vitrine.llm.common import forget_caches
 
 ORDER = 4
 SAMPLE_ROWS = 600
@@ -207,6 +208,7 @@ def learn(df: DataFrame, learned: Column, text_col: str = "text", lang_col: str
     sample = known.filter(F.pmod(F.xxhash64(F.lit(11), "id", "text"), F.lit(step)) < shares[F.col("lang")])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_caches()
         for batch in batches:
             langs = np.asarray(batch.column(1).to_pylist(), dtype=object)
             for lang in sorted(set(langs)):
@@ -238,6 +240,7 @@ def calibration(known: DataFrame, model: Model) -> pd.DataFrame:
     shared = known.sparkSession.sparkContext.broadcast(vars(model))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_caches()
         model = Model(**shared.value)
         place = {lang: k for k, lang in enumerate(model.languages)}
         for batch in batches:
@@ -282,13 +285,14 @@ def limit_of(counts: pd.DataFrame) -> float:
     return max(tail, (tail + lowest) / 2)
 
 
-def identify(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id_col, lang_pred, score, cross_entropy, rejected)`` of every row, from its text alone."""
+def identify(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+    """``(id_col, lang_pred, score, cross_entropy, rejected)`` of every row, from its text alone; and its ``text_col`` with ``with_text``."""
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     shared = df.sparkSession.sparkContext.broadcast(model and vars(model))  # bounded by the sample it is learned from
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_caches()
         model = Model(**shared.value) if shared.value else None
         names = np.array([*(model.languages if model else []), "und"], dtype=object)
         for batch in batches:
@@ -305,11 +309,12 @@ def identify(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_co
                     rejected = model.rejects(least, sizes)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(names[best], pa.string()), pa.array(score),
-                     pa.array(least, mask=~np.isfinite(least)), pa.array(rejected)],
-                    names=["id", "lang_pred", "score", "cross_entropy", "rejected"])
+                     pa.array(least, mask=~np.isfinite(least)), pa.array(rejected), *[part.column(1)] * with_text],
+                    names=["id", "lang_pred", "score", "cross_entropy", "rejected", *["text"] * with_text])
 
-    schema = f"id {kind}, lang_pred string, score double, cross_entropy double, rejected boolean"
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    schema = f"id {kind}, lang_pred string, score double, cross_entropy double, rejected boolean" + ", text string" * with_text
+    out = rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return out.withColumnRenamed("text", text_col) if with_text else out
 
 
 def held_out(id_col: str = "doc_id") -> Column:

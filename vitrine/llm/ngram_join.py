@@ -40,11 +40,12 @@ from pyspark.sql import functions as F
 
 from vitrine.llm.blocks import block_pairs, dealt_blocks, local_roots, whole_groups
 from vitrine.llm.bpe import slices
-from vitrine.llm.common import may_be_among, stored
+from vitrine.llm.common import forget_caches, may_be_among, stored
 from vitrine.llm.components import connected_components
 
 WIDTH, PERCENT = 4, 85
 BLOCK = 512
+BATCH_ROWS = 2000  # rows that a task's Python gets at once
 ORDERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
 
 
@@ -94,6 +95,7 @@ def signatures(df: DataFrame, id_col: str, text_col: str, width: int, percent: i
     """``(id, n, d1, d2, prefix)``: number and digest of the tokens, prefix under order 1; and the ``carried`` columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_caches()
         for batch in batches:
             for a, b in slices(batch.column(1)):
                 part = batch.slice(a, b - a)
@@ -119,6 +121,7 @@ def exploded(rows: DataFrame, blob: str) -> DataFrame:
     """``(id, token)`` for each token in the binary column ``blob``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_caches()
         for batch in batches:
             ids = np.asarray(batch.column(0))
             for a, b in slices(batch.column(1), 4 << 20):
@@ -153,6 +156,7 @@ def whole_sets(df: DataFrame, ids: DataFrame, id_col: str, text_col: str, width:
     rows = may_be_among(rows, F.col("id"), ids, "among").filter("among").select("id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_caches()
         for batch in batches:
             for a, b in slices(batch.column(1), 4 << 20):
                 part = batch.slice(a, b - a)
@@ -175,7 +179,7 @@ def candidate_clusters(sets: DataFrame, percent: int) -> DataFrame:
     length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("common"))
     heads = sets.select("id", "n").join(rarest, "id").filter(length > 0).select(
         "id", F.explode(F.slice("common", F.lit(1), length.cast("int"))).alias("t")).select("id", F.col("t.token").alias("token"))
-    heads = stored(heads, "ngram-prefixes")
+    heads = stored(heads, "ngram-prefixes", BATCH_ROWS)
     leaders = heads.groupBy("token").agg(F.min("id").alias("v"), F.max("id").alias("w")).filter("v < w").select("token", "v")
     ties = heads.join(leaders, "token").filter("id <> v").select(F.col("id").alias("u"), "v").distinct()
     return connected_components(ties, "ngram-clusters")
@@ -228,6 +232,7 @@ def verified(sets: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
     dealt = dealt_blocks(block_pairs(placed, ["component"], "id", sizes, BLOCK), ["component"], "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_caches()
         for table, starts in whole_groups(batches, ["component", "bi", "bj"]):
             n, side, ids = (np.asarray(table.column(c)) for c in ("n", "side", "id"))
             blobs = table.column("tokens").to_pylist()
@@ -247,7 +252,7 @@ def verified(sets: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
 def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
                percent: int = PERCENT, carried: Sequence[str] = ()) -> DataFrame:
     """``(id_col, n_shingles, component_id)`` of every row, and its ``carried`` columns."""
-    all_rows = stored(signatures(df, id_col, text_col, width, percent, carried), "ngram-signatures")
+    all_rows = stored(signatures(df, id_col, text_col, width, percent, carried), "ngram-signatures", BATCH_ROWS)
     classes = all_rows.filter("n > 0 and id is not null").groupBy("d1", "d2").agg(F.min("id").alias("rep"))
     classes = stored(classes, "ngram-classes")
     # one row a class: its smallest id, which repeated rows may have several times
@@ -257,14 +262,14 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
 
 
 def _linked(df, all_rows, classes, reps, id_col, text_col, width, percent, carried) -> DataFrame:
-    left = stored(survivors(reps, percent), "ngram-survivors")
+    left = stored(survivors(reps, percent), "ngram-survivors", BATCH_ROWS)
     sets = whole_sets(df, left, id_col, text_col, width)
     # an id may have several texts: only those that stand for a class
     sets = sets.join(classes, [sets["id"] == classes["rep"], sets["d1"] == classes["d1"], sets["d2"] == classes["d2"]],
                      "left_semi").dropDuplicates(["id", "d1", "d2"]).select("id", "n", "tokens")
-    sets = stored(sets, "ngram-sets")
+    sets = stored(sets, "ngram-sets", BATCH_ROWS)
     clusters = candidate_clusters(sets, percent)
-    links = stored(verified(sets, clusters, percent), "ngram-links")
+    links = stored(verified(sets, clusters, percent), "ngram-links", BATCH_ROWS)
     reached = connected_components(links, "ngram-components").withColumnRenamed("node", "rep")
     named = classes.join(reached, "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
     return all_rows.drop("prefix").join(named, ["d1", "d2"], "left").select(
