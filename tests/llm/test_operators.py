@@ -813,3 +813,27 @@ def test_identify_hands_the_text_back(spark):
     df = spark.createDataFrame([(1, "um texto"), (2, None)], "doc_id long, body string")
     got = {r.doc_id: (r.body, r.lang_pred) for r in language.identify(df, None, text_col="body", with_text=True).collect()}
     assert got == {1: ("um texto", "und"), 2: (None, "und")}
+
+
+def test_ngram_join_leaves_no_shuffles_on_disk(spark):
+    """Its steps end in written tables; what they shuffled goes with each step, and the session is as it was."""
+    import time
+
+    def shuffled() -> set[str]:
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+    rows = [(i, " ".join(f"w{i % 40}x{k}" for k in range(30 + i % 3))) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffled(), spark.conf.get(key, None)
+    joined = ngram_join.ngram_join(df)
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get(key, None) == setting
+    first = sorted(map(tuple, joined.collect()))
+    assert first == sorted(map(tuple, joined.collect()))  # the lazy result may be run again
+    assert len(first) == 120 and {c for _, _, c in first} == set(range(40))

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from vitrine.llm.blocks import block_pairs, dealt_blocks, local_roots, whole_groups
 from vitrine.llm.bpe import slices
-from vitrine.llm.common import forget_caches, may_be_among, stored
+from vitrine.llm.common import forget_caches, may_be_among, shuffles_freed, stored
 from vitrine.llm.components import connected_components
 
 WIDTH, PERCENT = 4, 85
@@ -252,16 +252,25 @@ def verified(sets: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
 def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
                percent: int = PERCENT, carried: Sequence[str] = ()) -> DataFrame:
     """``(id_col, n_shingles, component_id)`` of every row, and its ``carried`` columns."""
-    all_rows = stored(signatures(df, id_col, text_col, width, percent, carried), "ngram-signatures", BATCH_ROWS)
-    classes = all_rows.filter("n > 0 and id is not null").groupBy("d1", "d2").agg(F.min("id").alias("rep"))
-    classes = stored(classes, "ngram-classes")
-    # one row a class: its smallest id, which repeated rows may have several times
-    reps = all_rows.join(classes, [all_rows["id"] == classes["rep"], all_rows["d1"] == classes["d1"], all_rows["d2"] == classes["d2"]],
-                         "left_semi").dropDuplicates(["id", "d1", "d2"])
-    return _linked(df, all_rows, classes, reps, id_col, text_col, width, percent, carried)
+    # each step ends in a written table, so its shuffles need no disk beside those of the next
+    with shuffles_freed(df.sparkSession):
+        all_rows = stored(signatures(df, id_col, text_col, width, percent, carried), "ngram-signatures", BATCH_ROWS)
+        classes = all_rows.filter("n > 0 and id is not null").groupBy("d1", "d2").agg(F.min("id").alias("rep"))
+        classes = stored(classes, "ngram-classes")
+        # one row a class: its smallest id, which repeated rows may have several times
+        reps = all_rows.join(classes, [all_rows["id"] == classes["rep"], all_rows["d1"] == classes["d1"], all_rows["d2"] == classes["d2"]],
+                             "left_semi").dropDuplicates(["id", "d1", "d2"])
+        reached = _linked(df, classes, reps, id_col, text_col, width, percent)
+    named = classes.join(reached.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "d1", "d2", F.coalesce("component", "rep").alias("component_id"))
+    return all_rows.drop("prefix").join(named, ["d1", "d2"], "left").select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+        F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),
+        *[F.col(f"c_{c}").alias(c) for c in carried])
 
 
-def _linked(df, all_rows, classes, reps, id_col, text_col, width, percent, carried) -> DataFrame:
+def _linked(df: DataFrame, classes: DataFrame, reps: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """``(node, component)``: the classes that links reach."""
     left = stored(survivors(reps, percent), "ngram-survivors", BATCH_ROWS)
     sets = whole_sets(df, left, id_col, text_col, width)
     # an id may have several texts: only those that stand for a class
@@ -270,9 +279,4 @@ def _linked(df, all_rows, classes, reps, id_col, text_col, width, percent, carri
     sets = stored(sets, "ngram-sets", BATCH_ROWS)
     clusters = candidate_clusters(sets, percent)
     links = stored(verified(sets, clusters, percent), "ngram-links", BATCH_ROWS)
-    reached = connected_components(links, "ngram-components").withColumnRenamed("node", "rep")
-    named = classes.join(reached, "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
-    return all_rows.drop("prefix").join(named, ["d1", "d2"], "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),
-        *[F.col(f"c_{c}").alias(c) for c in carried])
+    return connected_components(links, "ngram-components")
