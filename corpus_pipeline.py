@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.llm import language, secrets
-from vitrine.llm.common import may_be_among, scratch_dir, stored, table
+from vitrine.llm.common import may_be_among, scratch_dir, shuffles_freed, stored, table
 from vitrine.llm.ngram_join import ngram_join
 from vitrine.llm.packing import pack
 
@@ -69,14 +69,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret span replaced by a mask."""
-    scanned = secrets.scan(docs).filter(F.size("spans") > 0).dropDuplicates(["doc_id", "digest"])
-    rows = docs.select(*COLUMNS).withColumn("digest", F.xxhash64(F.coalesce("text", F.lit("")))).alias("d")
+    rows = docs.select(*COLUMNS).withColumn("digest", F.xxhash64(F.coalesce("text", F.lit("")))).withColumn(
+        "n_chars", F.col("n_chars").cast("bigint"))
+    with shuffles_freed(spark):
+        scanned = secrets.scan(docs).filter(F.size("spans") > 0).dropDuplicates(["doc_id", "digest"])
+        scanned = stored(scanned, "pipeline-secrets")
+    # most texts hold no secret and stay as they are, without a shuffle; the others meet their spans
+    flagged = may_be_among(rows, F.col("digest"), scanned.select("digest"), "named")
+    clean = flagged.filter(~F.col("named")).select(*COLUMNS)
     same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.digest") == F.col("s.digest"))
-    joined = rows.join(scanned.alias("s"), same, "left")
+    joined = flagged.filter("named").alias("d").join(scanned.alias("s"), same, "left")
     text = F.when(F.col("s.spans").isNull(), F.col("d.text")).otherwise(secrets.redact(F.col("d.text"), F.col("s.spans")))
-    return joined.select(
+    return clean.unionByName(joined.select(
         "d.doc_id", text.alias("text"), "d.lang", "d.source",
-        F.when(F.col("s.spans").isNull(), F.col("d.n_chars")).otherwise(F.length(text)).cast("bigint").alias("n_chars"))
+        F.when(F.col("s.spans").isNull(), F.col("d.n_chars")).otherwise(F.length(text)).cast("bigint").alias("n_chars")))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
